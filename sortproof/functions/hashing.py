@@ -20,6 +20,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sortproof._pickling import ship_by_value
+
+ship_by_value(__name__)
+
 _MASK32 = (1 << 32) - 1
 _POW_CACHE = np.ones(1, dtype=np.uint32)
 

@@ -5,32 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import Column
+
 from sortproof.functions.record import (
+    csv_fields,
     null_field_reason,
-    parsed_columns,
-    reject_reason,
+    parse_id,
+    reject_reason_of,
     strict_guard,
     to_csv,
 )
 from sortproof.schema import RECORD_COLUMNS
 
 
+def _split(lines: DataFrame, value_col: str) -> DataFrame:
+    # The split is its own projection so that it is computed once per line
+    # (Catalyst does not inline a non-trivial expression used many times).
+    return lines.select(F.col(value_col).alias("_v"), csv_fields(value_col).alias("_p"))
+
+
+def _fields(parts: Column) -> list[Column]:
+    return [
+        parse_id(parts.getItem(0)).alias("id"),
+        parts.getItem(1).alias("name"),
+        parts.getItem(2).alias("address"),
+        parts.getItem(3).alias("continent"),
+    ]
+
+
 def parse_strict(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """CSV lines -> records; the job fails on the first bad line.
 
     The guard is folded into the ``id`` column so that column pruning can
     never drop it.
     """
-    reason = reject_reason(value_col)
-    cols = parsed_columns(value_col)
-    guarded_id = F.coalesce(strict_guard(reason, value_col).cast("int"), cols[0]).alias("id")
-    return lines.select(guarded_id, *cols[1:])
+    s = _split(lines, value_col)
+    v, p = F.col("_v"), F.col("_p")
+    cols = _fields(p)
+    guarded_id = F.coalesce(strict_guard(reject_reason_of(v, p), v).cast("int"), cols[0]).alias("id")
+    return s.select(guarded_id, *cols[1:])
 
 
 def tag_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Every line with its parsed fields and ``reason`` (NULL = good)."""
-    return lines.select(F.col(value_col).alias("value"), reject_reason(value_col).alias("reason"),
-                        *parsed_columns(value_col))
+    s = _split(lines, value_col)
+    v, p = F.col("_v"), F.col("_p")
+    return s.select(v.alias("value"), reject_reason_of(v, p).alias("reason"), *_fields(p))
 
 
 def parse_quarantine(lines: DataFrame, path: str | None = None,

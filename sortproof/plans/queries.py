@@ -43,7 +43,7 @@ from sortproof.sinks.log import (
     write_single_partition_log,
     write_sorted_log,
 )
-from sortproof.sources.generator import generator_sql, records_for_rows
+from sortproof.sources.generator import generator_query, records_for_rows
 from sortproof.sources.log import read_lines, read_log, stream_log
 from sortproof.sources.tables import RECORDS_SQL, read_table, records_from_tables
 from sortproof.streaming.jobs import (
@@ -126,7 +126,7 @@ def q_records_view(spark, sf):
 
 @query(
     "generate",
-    f"SELECT {generator_sql('l_orderkey * 8 + l_linenumber')} FROM lineitem",
+    generator_query("l_orderkey * 8 + l_linenumber", "lineitem"),
 )
 def q_generate(spark, sf):
     """One synthetic record per lineitem row, seeded by its row key."""

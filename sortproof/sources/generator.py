@@ -1,14 +1,20 @@
 """Synthetic record source.
 
-Every field is a pure function of ``(seed, row)``: digits of ``md5`` /
-``sha2`` digests of ``"<seed>:<row>:<field>"``.  The output is therefore the
-same for any partitioning and any retry (``rand(seed)`` is not), and the
-whole recipe is plain SQL that runs inside whole-stage codegen.
+Every field is a pure function of ``(seed, row)``: hex digits of two
+SHA-256 digests of ``"<seed>:<row>:1"`` and ``"<seed>:<row>:2"``.  The output
+is the same for any partitioning and any retry (``rand(seed)`` is not), and
+the recipe is plain SQL inside whole-stage codegen, reproducible in DuckDB.
+
+Digest 1: id (hex 1-8), name length (9-10), address length (11-12),
+continent (13-14), name characters 0-9 (15-29) and 10-14 (30-44), address
+first (45-48) and last (49-52) character.  Digest 2: address middle
+characters 0-8 (1-15) and 9-17 (16-30).  A 60-bit block yields several
+characters as successive base-``len(alphabet)`` digits (exact BIGINT
+``div``/``pmod``).
 
 Domains follow the reference: id uniform over int32; name 10-15 letters;
 address 15-20 characters from letters, digits and spaces, never a space at
-either end; continent one of six names.  A 16-bit digit group modulo the
-alphabet size picks each character (bias below 0.1%).
+either end; continent one of six names.
 """
 
 from __future__ import annotations
@@ -25,43 +31,65 @@ NAME_LEN = (10, 15)
 ADDRESS_LEN = (15, 20)
 # --------------------------------------------------------------------
 
+# (column, digest, first hex digit, number of hex digits)
+_BLOCKS = [
+    ("_id", 1, 1, 8),
+    ("_nlen", 1, 9, 2),
+    ("_alen", 1, 11, 2),
+    ("_cont", 1, 13, 2),
+    ("_n0", 1, 15, 15),
+    ("_n1", 1, 30, 15),
+    ("_afirst", 1, 45, 4),
+    ("_alast", 1, 49, 4),
+    ("_a0", 2, 1, 15),
+    ("_a1", 2, 16, 15),
+]
+# characters drawn from each block: (block, alphabet, how many)
+_NAME_PLAN = [("_n0", LETTERS, 10), ("_n1", LETTERS, 5)]
+_MIDDLE_PLAN = [("_a0", ADDRESS_CHARS, 9), ("_a1", ADDRESS_CHARS, 9)]
+
+
+def _blocks(row: Column, seed: int) -> list[Column]:
+    d = {
+        i: F.sha2(F.concat(F.lit(f"{seed}:"), row.cast("string"), F.lit(f":{i}")), 256) for i in (1, 2)
+    }
+    return [F.conv(F.substring(d[k], start, width), 16, 10).cast("bigint").alias(name)
+            for name, k, start, width in _BLOCKS]
+
+
+def _chars(block: str, alphabet: str, count: int) -> list[Column]:
+    base = len(alphabet)
+    out = []
+    for i in range(count):
+        digit = F.expr(f"pmod({block} div {base ** i}, {base})")
+        out.append(F.substring(F.lit(alphabet), (digit + 1).cast("int"), 1))
+    return out
+
+
+def _assemble() -> list[Column]:
+    name_full = F.concat(*[c for b, a, n in _NAME_PLAN for c in _chars(b, a, n)])
+    name_len = F.lit(NAME_LEN[0]) + F.pmod(F.col("_nlen"), F.lit(NAME_LEN[1] - NAME_LEN[0] + 1))
+    addr_len = F.lit(ADDRESS_LEN[0]) + F.pmod(F.col("_alen"), F.lit(ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1))
+    middle = F.concat(*[c for b, a, n in _MIDDLE_PLAN for c in _chars(b, a, n)])
+    first = _chars("_afirst", ALNUM, 1)[0]
+    last = _chars("_alast", ALNUM, 1)[0]
+    continent = F.element_at(F.array(*[F.lit(c) for c in CONTINENTS]),
+                             (F.pmod(F.col("_cont"), F.lit(len(CONTINENTS))) + 1).cast("int"))
+    return [
+        (F.col("_id") - F.lit(1 << 31)).cast("int").alias("id"),
+        F.substring(name_full, F.lit(1), name_len.cast("int")).alias("name"),
+        F.concat(first, F.substring(middle, F.lit(1), (addr_len - 2).cast("int")), last).alias("address"),
+        continent.alias("continent"),
+    ]
 
-def _digest(seed: int, row: Column, field: str, bits: int) -> Column:
-    text = F.concat(F.lit(f"{seed}:"), row.cast("string"), F.lit(f":{field}"))
-    return F.md5(text) if bits == 128 else F.sha2(text, 256)
 
+def records_for_rows(df: DataFrame, row_col: str, seed: int = 42) -> DataFrame:
+    """One synthetic record per row of ``df``, keyed by its ``row_col`` value.
 
-def _hex_int(h: Column, start: int, width: int) -> Column:
-    """Hex digits ``start..start+width-1`` (1-based) of a digest as BIGINT."""
-    return F.conv(F.substring(h, start, width), 16, 10).cast("bigint")
-
-
-def _pick(alphabet: str, h: Column, group: int) -> Column:
-    """One character of ``alphabet`` chosen by 16-bit digit group ``group``."""
-    idx = F.pmod(_hex_int(h, 4 * group + 1, 4), F.lit(len(alphabet)))
-    return F.substring(F.lit(alphabet), (idx + 1).cast("int"), 1)
-
-
-def record_columns(row: Column, seed: int = 42) -> list[Column]:
-    """The four record columns for row number ``row``."""
-    meta = _digest(seed, row, "meta", 128)
-    rid = (_hex_int(_digest(seed, row, "id", 128), 1, 8) - (1 << 31)).cast("int")
-    name_len = F.lit(NAME_LEN[0]) + F.pmod(_hex_int(meta, 1, 8), F.lit(NAME_LEN[1] - NAME_LEN[0] + 1))
-    addr_len = F.lit(ADDRESS_LEN[0]) + F.pmod(_hex_int(meta, 9, 8), F.lit(ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1))
-    cont_idx = F.pmod(_hex_int(meta, 17, 8), F.lit(len(CONTINENTS)))
-
-    hn = _digest(seed, row, "name", 256)
-    name_full = F.concat(*[_pick(LETTERS, hn, i) for i in range(NAME_LEN[1])])
-    name = F.substring(name_full, F.lit(1), name_len.cast("int"))
-
-    ha = F.concat(_digest(seed, row, "addr", 256), _digest(seed, row, "addr2", 256))
-    first = _pick(ALNUM, ha, 0)
-    middle = F.concat(*[_pick(ADDRESS_CHARS, ha, i) for i in range(1, ADDRESS_LEN[1] - 1)])
-    last = _pick(ALNUM, ha, ADDRESS_LEN[1] - 1)
-    address = F.concat(first, F.substring(middle, F.lit(1), (addr_len - 2).cast("int")), last)
-
-    continent = F.element_at(F.array(*[F.lit(c) for c in CONTINENTS]), (cont_idx + 1).cast("int"))
-    return [rid.alias("id"), name.alias("name"), address.alias("address"), continent.alias("continent")]
+    Two projections: the digit blocks are computed once per row and then
+    cut into characters.
+    """
+    return df.select(*_blocks(F.col(row_col), seed)).select(*_assemble())
 
 
 def generate_records(
@@ -69,42 +97,32 @@ def generate_records(
 ) -> DataFrame:
     """``n`` synthetic records, rows ``0..n-1``."""
     rng = spark.range(0, n, numPartitions=num_partitions) if num_partitions else spark.range(0, n)
-    return rng.select(*record_columns(F.col("id"), seed))
+    return records_for_rows(rng, "id", seed)
 
 
-def records_for_rows(df: DataFrame, row_col: str, seed: int = 42) -> DataFrame:
-    """One synthetic record per row of ``df``, keyed by its ``row_col`` value."""
-    return df.select(*record_columns(F.col(row_col), seed))
-
-
-def generator_sql(row_expr: str, seed: int = 42) -> str:
-    """The same recipe as DuckDB SQL select-list text (for the oracle)."""
-
-    def digest(field: str, bits: int) -> str:
-        text = f"'{seed}:' || CAST({row_expr} AS VARCHAR) || ':{field}'"
-        return f"md5({text})" if bits == 128 else f"sha256({text})"
-
-    def hex_int(h: str, start: int, width: int) -> str:
-        return f"CAST(('0x' || substr({h}, {start}, {width})) AS BIGINT)"
-
-    def pick(alphabet: str, h: str, group: int) -> str:
-        return f"substr('{alphabet}', CAST(({hex_int(h, 4 * group + 1, 4)} % {len(alphabet)}) + 1 AS INTEGER), 1)"
-
-    meta = digest("meta", 128)
-    rid = f"CAST({hex_int(digest('id', 128), 1, 8)} - 2147483648 AS INTEGER)"
-    name_len = f"({NAME_LEN[0]} + {hex_int(meta, 1, 8)} % {NAME_LEN[1] - NAME_LEN[0] + 1})"
-    addr_len = f"({ADDRESS_LEN[0]} + {hex_int(meta, 9, 8)} % {ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1})"
-    cont_idx = f"({hex_int(meta, 17, 8)} % {len(CONTINENTS)})"
-    hn = digest("name", 256)
-    name_full = " || ".join(pick(LETTERS, hn, i) for i in range(NAME_LEN[1]))
-    ha = f"({digest('addr', 256)} || {digest('addr2', 256)})"
-    middle = " || ".join(pick(ADDRESS_CHARS, ha, i) for i in range(1, ADDRESS_LEN[1] - 1))
-    address = (
-        f"{pick(ALNUM, ha, 0)} || substr({middle}, 1, CAST({addr_len} - 2 AS INTEGER)) || "
-        f"{pick(ALNUM, ha, ADDRESS_LEN[1] - 1)}"
+def generator_query(row_expr: str, source: str, seed: int = 42) -> str:
+    """DuckDB SQL producing ``id, name, address, continent`` for every row of ``source``."""
+    digests = {i: f"sha256('{seed}:' || CAST({row_expr} AS VARCHAR) || ':{i}')" for i in (1, 2)}
+    blocks = ", ".join(
+        f"CAST(('0x' || substr({digests[k]}, {start}, {width})) AS BIGINT) AS {name}"
+        for name, k, start, width in _BLOCKS
     )
+
+    def chars(block: str, alphabet: str, count: int) -> list[str]:
+        base = len(alphabet)
+        return [f"substr('{alphabet}', CAST((({block} // {base ** i}) % {base}) + 1 AS INTEGER), 1)"
+                for i in range(count)]
+
+    name_full = " || ".join(c for b, a, n in _NAME_PLAN for c in chars(b, a, n))
+    middle = " || ".join(c for b, a, n in _MIDDLE_PLAN for c in chars(b, a, n))
+    name_len = f"({NAME_LEN[0]} + _nlen % {NAME_LEN[1] - NAME_LEN[0] + 1})"
+    addr_len = f"({ADDRESS_LEN[0]} + _alen % {ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1})"
     continents = ", ".join(f"'{c}'" for c in CONTINENTS)
-    return (
-        f"{rid} AS id, substr({name_full}, 1, CAST({name_len} AS INTEGER)) AS name, "
-        f"{address} AS address, [{continents}][CAST({cont_idx} + 1 AS INTEGER)] AS continent"
+    outer = (
+        f"CAST(_id - 2147483648 AS INTEGER) AS id, "
+        f"substr({name_full}, 1, CAST({name_len} AS INTEGER)) AS name, "
+        f"{chars('_afirst', ALNUM, 1)[0]} || substr({middle}, 1, CAST({addr_len} - 2 AS INTEGER)) || "
+        f"{chars('_alast', ALNUM, 1)[0]} AS address, "
+        f"[{continents}][CAST(_cont % {len(CONTINENTS)} + 1 AS INTEGER)] AS continent"
     )
+    return f"SELECT {outer} FROM (SELECT {blocks} FROM {source})"

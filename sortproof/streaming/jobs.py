@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from sortproof._pickling import ship_by_value
+
+ship_by_value(__name__)
+
 from sortproof.functions.record import parsed_columns, reject_reason, row_hash, wrap_int64
 from sortproof.operators.sort import write_sorted
 
