@@ -25,6 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from sortproof.operators.aggregate import count_and_checksum  # noqa: E402
 from sortproof.operators.parse import parse_strict  # noqa: E402
 from sortproof.operators.sort import global_rank, write_sorted  # noqa: E402
 from sortproof.operators.verify import verify  # noqa: E402
@@ -52,9 +53,10 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    # warm-up (JVM, codegen, Python workers); not timed
+    # warm-up (JVM, codegen, one Python worker per core); not timed
     warm = records_from_tables(spark, sf_dir).limit(1000)
     write_sorted(warm, "id", scratch_path(spark, "warm"))
+    count_and_checksum(warm.repartition(cpus)).collect()
 
     # lineitem at sf0.1 is a single Parquet row group, i.e. one scan task;
     # the generator and the source log are spread over all cores the way a

@@ -72,7 +72,7 @@ def reject_reason_of(value: Column, parts: Column) -> Column:
     return (
         F.when(value.isNull(), F.lit("BLANK"))
         .when(F.size(parts) != 4, F.when(value.rlike(r"^\s*$"), F.lit("BLANK")).otherwise(F.lit("FIELD_COUNT")))
-        .when(parse_id(parts.getItem(0)).isNull(), F.lit("BAD_ID"))
+        .when(parse_id(F.get(parts, 0)).isNull(), F.lit("BAD_ID"))
     )
 
 
@@ -97,10 +97,10 @@ def parsed_columns(value: Column | str = "value") -> list[Column]:
     """The four record columns of a line (valid only where the reason is NULL)."""
     parts = csv_fields(value)
     return [
-        parse_id(parts.getItem(0)).alias("id"),
-        parts.getItem(1).alias("name"),
-        parts.getItem(2).alias("address"),
-        parts.getItem(3).alias("continent"),
+        parse_id(F.get(parts, 0)).alias("id"),
+        F.get(parts, 1).alias("name"),
+        F.get(parts, 2).alias("address"),
+        F.get(parts, 3).alias("continent"),
     ]
 
 

@@ -26,10 +26,10 @@ def _split(lines: DataFrame, value_col: str) -> DataFrame:
 
 def _fields(parts: Column) -> list[Column]:
     return [
-        parse_id(parts.getItem(0)).alias("id"),
-        parts.getItem(1).alias("name"),
-        parts.getItem(2).alias("address"),
-        parts.getItem(3).alias("continent"),
+        parse_id(F.get(parts, 0)).alias("id"),
+        F.get(parts, 1).alias("name"),
+        F.get(parts, 2).alias("address"),
+        F.get(parts, 3).alias("continent"),
     ]
 
 
