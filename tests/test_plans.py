@@ -1,0 +1,44 @@
+"""Plan shape: pushdown, pruning, and no single-partition exchange over raw rows."""
+
+from sortproof.operators.sort import global_rank, write_sorted
+from sortproof.operators.verify import order_violations
+from sortproof.sources.log import read_log
+from sortproof.sources.tables import records_from_tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topic_filter_pushed_and_columns_pruned(spark, tmp_path):
+    from sortproof.sinks.log import write_keyed_log
+
+    p = str(tmp_path / "log")
+    write_keyed_log(records_from_tables(spark, SF), "source", p, 2)
+    s = plan(read_log(spark, p, topic="source").select("value"))
+    assert "PushedFilters: [IsNotNull(topic), EqualTo(topic,source)]" in s
+    assert "ReadSchema: struct<value:string,topic:string>" in s
+
+
+def test_rank_single_partition_only_over_range_counts(spark, tmp_path):
+    t = write_sorted(records_from_tables(spark, SF), "continent", str(tmp_path / "s"))
+    s = plan(global_rank(t))
+    # exactly one single-partition exchange, and it sits above the per-range
+    # partial aggregate (one row per range), not above raw rows
+    assert s.count("SinglePartition") == 1
+    before = s.split("SinglePartition")[1]
+    assert "HashAggregate" in before.split("Scan")[0]
+
+
+def test_order_check_reads_only_key_and_positions(spark, tmp_path):
+    t = write_sorted(records_from_tables(spark, SF), "name", str(tmp_path / "s"))
+    s = plan(order_violations(t, "name", with_lines=False))
+    assert "ReadSchema: struct<name:string,range_id:int,offset:bigint>" in s
+
+
+def test_records_view_broadcasts_only_fixed_dimensions_by_hint(spark):
+    df = records_from_tables(spark, SF)
+    s = df._jdf.queryExecution().optimizedPlan().toString()
+    assert s.count("broadcast") <= 1  # nation x region only; the rest is Catalyst/AQE's choice
