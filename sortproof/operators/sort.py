@@ -97,14 +97,34 @@ def sort_exprs(df: DataFrame, spec: SortSpec, java_string_order: bool = False) -
 
 
 def _spec(df: DataFrame, key, tiebreak: bool) -> SortSpec:
-    return order_spec(key, columns=[c for c in df.columns if c not in (RANGE_COL, OFFSET_COL)],
+    return order_spec(key, columns=[c for c in df.columns if c not in (RANGE_COL, OFFSET_COL, _DUP)],
                       tiebreak=tiebreak)
 
 
 # --------------------------------------------------------------- O1-O4, O7
+_DUP = "_copy"
+
+
+def _with_copy_breaker(df: DataFrame, tiebreak: bool) -> tuple[DataFrame, list[Column]]:
+    """Spread identical rows over ranges.
+
+    With every column in the key, identical copies still share one key, and
+    the range partitioner sends equal keys to one range: a record repeated
+    for a third of the input would make one task sort a third of the data.
+    A per-row id as the very last key gives copies distinct keys; copies are
+    interchangeable, so any order among them is a correct result.
+    """
+    if not tiebreak:
+        return df, []
+    return df.withColumn(_DUP, F.monotonically_increasing_id()), [F.col(_DUP).asc()]
+
+
 def total_sort(df: DataFrame, key, tiebreak: bool = True, java_string_order: bool = False) -> DataFrame:
     """Total order by ``key`` (O1 id, O2 name, O3 continent, O4 any order)."""
-    return df.orderBy(*sort_exprs(df, _spec(df, key, tiebreak), java_string_order))
+    exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
+    tagged, extra = _with_copy_breaker(df, tiebreak)
+    out = tagged.orderBy(*exprs, *extra)
+    return out.drop(_DUP) if extra else out
 
 
 def range_sort(
@@ -116,7 +136,9 @@ def range_sort(
     sorted; the concatenation of partitions is the total order.
     """
     exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
-    return df.repartitionByRange(num_ranges, *exprs).sortWithinPartitions(*exprs)
+    tagged, extra = _with_copy_breaker(df, tiebreak)
+    out = tagged.repartitionByRange(num_ranges, *exprs, *extra).sortWithinPartitions(*exprs, *extra)
+    return out.drop(_DUP) if extra else out
 
 
 def with_positions(sorted_df: DataFrame) -> DataFrame:

@@ -141,3 +141,17 @@ def test_java_string_order(spark):
     spark_order = [r.id for r in total_sort(df, "name").collect()]
     java_order = [r.id for r in total_sort(df, "name", java_string_order=True).collect()]
     assert spark_order == [1, 2] and java_order == [2, 1]
+
+
+def test_identical_copies_do_not_make_a_hot_range(spark, tmp_path):
+    # a third of all rows is one repeated record
+    hot = spark.range(9_000).select(F.lit(7).cast("int").alias("id"), F.lit("same").alias("name"),
+                                    F.lit("a").alias("address"), F.lit("Asia").alias("continent"))
+    rest = spark.range(18_000).select((F.col("id") % 1000).cast("int").alias("id"),
+                                      F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"),
+                                      F.lit("b").alias("address"), F.lit("Europe").alias("continent"))
+    t = write_sorted(hot.unionByName(rest), "id", str(tmp_path / "s"), num_ranges=8)
+    sizes = [r["count"] for r in t.groupBy("range_id").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 27_000 / 8
+    ranked = global_rank(t)
+    assert ranked.agg(F.countDistinct("pos")).first()[0] == 27_000
