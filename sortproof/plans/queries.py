@@ -438,6 +438,15 @@ def _report_sql() -> str:
     return _with(f", s AS ({stats})\n" + "\nUNION ALL ".join(rows))
 
 
+@query("pipeline_report", _report_sql())
+def q_pipeline_report(spark, sf):
+    """Whole job: keyed source log, strict parse, three sorts, verification report."""
+    from sortproof.plans.pipeline import run_pipeline
+
+    report, _ = run_pipeline(spark, scratch_path(spark, "pipeline"), source=records(spark, sf), exact=True)
+    return report
+
+
 @query("verify_report", _report_sql())
 def q_verify_report(spark, sf):
     """V1, V2, V3, V4, V5: full report over the three sorted outputs."""
