@@ -262,9 +262,10 @@ def q_checksum(spark, sf):
 @query(
     "dataset_stats",
     _with(
-        f"SELECT d.dataset, s.n, s.checksum, true AS all_equal FROM "
-        f"(SELECT CAST(count(*) AS BIGINT) AS n, {_wrap('sum(' + ROW_HASH_SQL + ')')} AS checksum FROM records) s, "
-        "(VALUES ('source'), ('roundtrip'), ('sorted_id')) d(dataset)"
+        f", s AS (SELECT CAST(count(*) AS BIGINT) AS n, {_wrap('sum(' + ROW_HASH_SQL + ')')} AS checksum "
+        "FROM records)\n"
+        + " UNION ALL ".join(f"SELECT '{d}' AS dataset, n, checksum, true AS all_equal FROM s"
+                             for d in ("source", "roundtrip", "sorted_id"))
     ),
 )
 def q_dataset_stats(spark, sf):
