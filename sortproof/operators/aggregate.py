@@ -12,8 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sortproof.functions.record import row_hash, size_estimate, wrap_int64, wrapping_sum
-from sortproof.schema import RECORD_COLUMNS
+from sortproof.functions.record import row_hash, size_estimate, wrapping_sum
 
 
 def count_and_checksum(df: DataFrame, impl: str = "arrow") -> DataFrame:
@@ -75,15 +74,3 @@ def observed_metrics(obs: Observation) -> dict:
     total = int(m.get("checksum_sum") or 0)
     wrapped = ((total + (1 << 63)) % (1 << 64)) - (1 << 63)
     return {"rows": int(m.get("rows") or 0), "checksum": wrapped}
-
-
-__all__ = [
-    "count_and_checksum",
-    "dataset_stats",
-    "counts_all_equal",
-    "estimated_bytes",
-    "observe_records",
-    "observed_metrics",
-    "wrap_int64",
-    "RECORD_COLUMNS",
-]

@@ -19,6 +19,7 @@ back from the written table, never recomputed.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -282,8 +283,12 @@ def sort_many(
         landed = f"{out_root.rstrip('/')}/_landed"
         df.write.mode("overwrite").parquet(landed)
         src = spark.read.parquet(landed)
-    out = {}
-    for k in keys:
-        name = order_spec(k, columns=src.columns, tiebreak=False)[0][0]
-        out[name] = write_sorted(src, k, f"{out_root.rstrip('/')}/{name}", num_ranges)
-    return out
+    names = [order_spec(k, columns=src.columns, tiebreak=False)[0][0] for k in keys]
+    # Independent jobs over the same landed input: run them concurrently so
+    # one sort's stragglers do not leave the cluster idle.
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        futures = {
+            name: pool.submit(write_sorted, src, k, f"{out_root.rstrip('/')}/{name}", num_ranges)
+            for name, k in zip(names, keys)
+        }
+        return {name: f.result() for name, f in futures.items()}
