@@ -89,6 +89,18 @@ def write_sorted_log(
     return spark.read.parquet(path)
 
 
+def range_files(table: DataFrame) -> dict[int, list[str]]:
+    """``{range_id: [file paths]}`` of a written sorted table.
+
+    One column-pruned scan; the result has one entry per written file, so
+    collecting it is bounded by the file count, not the row count.
+    """
+    files: dict[int, list[str]] = {}
+    for r in table.select(RANGE_COL, F.col("_metadata.file_path").alias("f")).distinct().collect():
+        files.setdefault(r[RANGE_COL], []).append(r["f"])
+    return files
+
+
 def write_single_partition_log(
     records: DataFrame,
     key,
@@ -102,14 +114,15 @@ def write_single_partition_log(
     Table form: the rank is computed in parallel (O8), so no task holds the
     whole output.  Kafka form: a one-partition topic is a serial log by
     nature; the ranges are produced one after another in key order, each
-    by its own task.
+    by one task that reads only that range's files (:func:`range_files`).
     """
     spark = records.sparkSession
     table = write_sorted(records, key, scratch_path(spark, "sorted"))
     if bootstrap_servers:
-        ranges = [r[0] for r in table.select(RANGE_COL).distinct().orderBy(RANGE_COL).collect()]
-        for rid in ranges:  # bounded: one entry per range
-            part = table.filter(F.col(RANGE_COL) == rid).repartition(1).sortWithinPartitions(OFFSET_COL)
+        files = range_files(table)
+        for rid in sorted(files):  # key order; each job reads only its range's files
+            part = (spark.read.parquet(*files[rid]).filter(F.col(RANGE_COL) == rid)
+                    .repartition(1).sortWithinPartitions(OFFSET_COL))
             _kafka_write(part.select(F.lit(None).cast("string").alias("key"), to_csv().alias("value")),
                          topic, bootstrap_servers, options)
         return None

@@ -86,3 +86,15 @@ def test_pipeline_end_to_end(spark, tmp_path):
 def test_pipeline_needs_input(spark, tmp_path):
     with pytest.raises(ValueError):
         run_pipeline(spark, _p(tmp_path, "x"))
+
+
+def test_range_files_map_each_range_to_its_own_files(spark, records_df, tmp_path):
+    from sortproof.operators.sort import write_sorted
+    from sortproof.sinks.log import range_files
+
+    t = write_sorted(records_df(ROWS), "id", _p(tmp_path, "rf"), num_ranges=4)
+    files = range_files(t)
+    assert sorted(files) == [0, 1, 2, 3]
+    for rid, paths in files.items():
+        got = spark.read.parquet(*paths).select("range_id").distinct().collect()
+        assert [r.range_id for r in got] == [rid]
