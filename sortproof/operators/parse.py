@@ -18,10 +18,10 @@ from sortproof.functions.record import (
 from sortproof.schema import RECORD_COLUMNS
 
 
-def _split(lines: DataFrame, value_col: str) -> DataFrame:
+def _split(lines: DataFrame, value_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     # The split is its own projection so that it is computed once per line
     # (Catalyst does not inline a non-trivial expression used many times).
-    return lines.select(F.col(value_col).alias("_v"), csv_fields(value_col).alias("_p"))
+    return lines.select(*keep, F.col(value_col).alias("_v"), csv_fields(value_col).alias("_p"))
 
 
 def _fields(parts: Column) -> list[Column]:
@@ -46,11 +46,15 @@ def parse_strict(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return s.select(guarded_id, *cols[1:])
 
 
-def tag_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Every line with its parsed fields and ``reason`` (NULL = good)."""
-    s = _split(lines, value_col)
+def tag_lines(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every line with its parsed fields and ``reason`` (NULL = good).
+
+    ``keep`` carries other input columns along (e.g. topic, partition,
+    offset of a log); works on batch and streaming DataFrames.
+    """
+    s = _split(lines, value_col, keep)
     v, p = F.col("_v"), F.col("_p")
-    return s.select(v.alias("value"), reject_reason_of(v, p).alias("reason"), *_fields(p))
+    return s.select(*keep, v.alias("value"), reject_reason_of(v, p).alias("reason"), *_fields(p))
 
 
 def parse_quarantine(lines: DataFrame, path: str | None = None,

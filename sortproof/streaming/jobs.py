@@ -19,7 +19,8 @@ from sortproof._pickling import ship_by_value
 
 ship_by_value(__name__)
 
-from sortproof.functions.record import parsed_columns, reject_reason, row_hash, wrap_int64
+from sortproof.functions.record import row_hash, wrap_int64
+from sortproof.operators.parse import tag_lines
 from sortproof.operators.sort import write_sorted
 
 
@@ -43,7 +44,7 @@ def stream_stats(log_stream: DataFrame, impl: str = "arrow") -> DataFrame:
 
     Bad lines are not counted (``rejected`` counts them instead).
     """
-    rec = log_stream.select("topic", reject_reason("value").alias("_r"), *parsed_columns("value"))
+    rec = tag_lines(log_stream, keep=("topic",)).withColumnRenamed("reason", "_r")
     good = F.col("_r").isNull()
     hashed = rec.select("topic", "_r", F.when(good, row_hash(impl=impl)).alias("_h"))
     agg = hashed.groupBy("topic").agg(
@@ -134,7 +135,7 @@ def order_monitor(log_stream: DataFrame, key: str = "id", ascending: bool = True
     offset order across files).  Each group holds one micro-batch of one
     partition - bounded by the trigger's rate limit.
     """
-    parsed = log_stream.select("topic", "partition", "offset", *parsed_columns("value"))
+    parsed = tag_lines(log_stream, keep=("topic", "partition", "offset"))
     key_type = dict(parsed.dtypes)[key]
     keyed = parsed.select("topic", "partition", "offset", F.col(key).alias("k"))
     return keyed.groupBy("topic", "partition").applyInPandasWithState(
@@ -175,5 +176,5 @@ def land_and_sort(
     so the total order is a batch job over the landed table.
     """
     landed = drain(log_stream, landing, checkpoint)
-    rec = landed.filter(reject_reason("value").isNull()).select(*parsed_columns("value"))
+    rec = tag_lines(landed).filter(F.col("reason").isNull()).select("id", "name", "address", "continent")
     return write_sorted(rec, key, out_path, num_ranges)
