@@ -44,11 +44,8 @@ def records_from_tables(
     spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()
 ) -> DataFrame:
     """The ``records`` view; ``extra`` keeps lineitem columns (e.g. for slicing)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *[c for c in extra if c.startswith("l_")
-                                                                   and c not in ("l_orderkey", "l_partkey",
-                                                                                 "l_suppkey", "l_linenumber")]
-    )
+    base = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    li = read_table(spark, sf_dir, "lineitem").select(*base, *[c for c in extra if c not in base])
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
