@@ -1,16 +1,15 @@
 """Synthetic record source.
 
-Every field is a pure function of ``(seed, row)``: hex digits of two
-SHA-256 digests of ``"<seed>:<row>:1"`` and ``"<seed>:<row>:2"``.  The output
-is the same for any partitioning and any retry (``rand(seed)`` is not), and
-the recipe is plain SQL inside whole-stage codegen, reproducible in DuckDB.
-
-Digest 1: id (hex 1-8), name length (9-10), address length (11-12),
-continent (13-14), name characters 0-9 (15-29) and 10-14 (30-44), address
-first (45-48) and last (49-52) character.  Digest 2: address middle
-characters 0-8 (1-15) and 9-17 (16-30).  A 60-bit block yields several
-characters as successive base-``len(alphabet)`` digits (exact BIGINT
-``div``/``pmod``).
+Every field is a pure function of ``(seed, row)``: the output is the same
+for any partitioning and any retry (``rand(seed)`` is not), and the recipe is
+plain SQL integer arithmetic inside whole-stage codegen, reproducible in
+DuckDB (the oracle runs the same template).
+
+Randomness: a 32-bit integer mixing hash, ``x = ((x >> 16) ^ x) * 0x45d9f3b``
+twice then ``(x >> 16) ^ x``, all modulo 2^32 (products stay below 2^59, so
+BIGINT never overflows).  The row is hashed once; every drawn value
+``j`` is the hash of ``row_hash + j * 0x9E3779B1``.  Characters are
+``value mod len(alphabet)``; lengths and the continent likewise.
 
 Domains follow the reference: id uniform over int32; name 10-15 letters;
 address 15-20 characters from letters, digits and spaces, never a space at
@@ -19,7 +18,7 @@ either end; continent one of six names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---- fixed values: the generated domain (must stay as they are) ----
@@ -31,65 +30,101 @@ NAME_LEN = (10, 15)
 ADDRESS_LEN = (15, 20)
 # --------------------------------------------------------------------
 
-# (column, digest, first hex digit, number of hex digits)
-_BLOCKS = [
-    ("_id", 1, 1, 8),
-    ("_nlen", 1, 9, 2),
-    ("_alen", 1, 11, 2),
-    ("_cont", 1, 13, 2),
-    ("_n0", 1, 15, 15),
-    ("_n1", 1, 30, 15),
-    ("_afirst", 1, 45, 4),
-    ("_alast", 1, 49, 4),
-    ("_a0", 2, 1, 15),
-    ("_a1", 2, 16, 15),
-]
-# characters drawn from each block: (block, alphabet, how many)
-_NAME_PLAN = [("_n0", LETTERS, 10), ("_n1", LETTERS, 5)]
-_MIDDLE_PLAN = [("_a0", ADDRESS_CHARS, 9), ("_a1", ADDRESS_CHARS, 9)]
-
-
-def _blocks(row: Column, seed: int) -> list[Column]:
-    d = {
-        i: F.sha2(F.concat(F.lit(f"{seed}:"), row.cast("string"), F.lit(f":{i}")), 256) for i in (1, 2)
-    }
-    return [F.conv(F.substring(d[k], start, width), 16, 10).cast("bigint").alias(name)
-            for name, k, start, width in _BLOCKS]
-
-
-def _chars(block: str, alphabet: str, count: int) -> list[Column]:
-    base = len(alphabet)
-    out = []
-    for i in range(count):
-        digit = F.expr(f"pmod({block} div {base ** i}, {base})")
-        out.append(F.substring(F.lit(alphabet), (digit + 1).cast("int"), 1))
-    return out
-
-
-def _assemble() -> list[Column]:
-    name_full = F.concat(*[c for b, a, n in _NAME_PLAN for c in _chars(b, a, n)])
-    name_len = F.lit(NAME_LEN[0]) + F.pmod(F.col("_nlen"), F.lit(NAME_LEN[1] - NAME_LEN[0] + 1))
-    addr_len = F.lit(ADDRESS_LEN[0]) + F.pmod(F.col("_alen"), F.lit(ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1))
-    middle = F.concat(*[c for b, a, n in _MIDDLE_PLAN for c in _chars(b, a, n)])
-    first = _chars("_afirst", ALNUM, 1)[0]
-    last = _chars("_alast", ALNUM, 1)[0]
-    continent = F.element_at(F.array(*[F.lit(c) for c in CONTINENTS]),
-                             (F.pmod(F.col("_cont"), F.lit(len(CONTINENTS))) + 1).cast("int"))
+_M32 = 0xFFFFFFFF
+_MUL = 0x45D9F3B
+_GOLD = 0x9E3779B1
+
+# drawn values, in order: (column, purpose)
+_DRAWS = (
+    ["_id", "_nlen", "_alen", "_cont", "_afirst", "_alast"]
+    + [f"_n{i}" for i in range(NAME_LEN[1])]
+    + [f"_m{i}" for i in range(ADDRESS_LEN[1] - 2)]
+)
+
+
+class _Dialect:
+    def __init__(self, spark: bool):
+        self.spark = spark
+
+    def shr(self, x: str, n: int) -> str:
+        return f"shiftright({x}, {n})" if self.spark else f"({x} >> {n})"
+
+    def xor(self, a: str, b: str) -> str:
+        return f"({a} ^ {b})" if self.spark else f"xor({a}, {b})"
+
+    def round_(self, x: str) -> str:
+        return f"(({self.xor(self.shr(x, 16), x)} * {_MUL}) & {_M32})"
+
+    def final(self, x: str) -> str:
+        return self.xor(self.shr(x, 16), x)
+
+
+def _stages(row: str, seed: int, d: _Dialect) -> list[list[tuple[str, str]]]:
+    """Successive projections ``[(name, sql), ...]``; each references the previous one."""
+    seed_mix = (seed * _GOLD) & _M32
+    s0 = [("_x", f"({d.xor(d.xor(f'({row} & {_M32})', d.shr(row, 32)), str(seed_mix))} & {_M32})")]
+    s1 = [("_x", d.round_("_x"))]
+    s2 = [("_x", d.round_("_x"))]
+    s3 = [("_hrow", d.final("_x"))]
+    t0 = [(v, f"((_hrow + {(j + 1) * _GOLD & _M32}) & {_M32})") for j, v in enumerate(_DRAWS)]
+    t1 = [(v, d.round_(v)) for v in _DRAWS]
+    t2 = [(v, d.round_(v)) for v in _DRAWS]
+    t3 = [(v, d.final(v)) for v in _DRAWS]
+    # digits in their own projection: the character expressions below then
+    # stay small enough for the JIT (repeating `v % n` inside every CASE made
+    # the fused code several times slower)
+    t4 = [(v, f"CAST({v} % {_BASE[v]} AS INTEGER)") for v in _DRAWS if v != "_id"]
+    return [s0, s1, s2, s3, t0, t1, t2, t3, t4]
+
+
+_BASE = {
+    "_nlen": NAME_LEN[1] - NAME_LEN[0] + 1,
+    "_alen": ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1,
+    "_cont": len(CONTINENTS),
+    "_afirst": len(ALNUM),
+    "_alast": len(ALNUM),
+    **{f"_n{i}": len(LETTERS) for i in range(NAME_LEN[1])},
+    **{f"_m{i}": len(ADDRESS_CHARS) for i in range(ADDRESS_LEN[1] - 2)},
+}
+
+
+def _char(alphabet: str, v: str) -> str:
+    """``alphabet[v]`` (``v`` already reduced modulo the alphabet length)."""
+    return f"substr('{alphabet}', {v} + 1, 1)"
+
+
+def _outputs(d: _Dialect) -> list[tuple[str, str]]:
+    cat = (lambda xs: "concat(" + ", ".join(xs) + ")") if d.spark else (lambda xs: "(" + " || ".join(xs) + ")")
+    name_full = cat([_char(LETTERS, f"_n{i}") for i in range(NAME_LEN[1])])
+    middle = cat([_char(ADDRESS_CHARS, f"_m{i}") for i in range(ADDRESS_LEN[1] - 2)])
+    name_len = f"({NAME_LEN[0]} + _nlen)"
+    addr_len = f"({ADDRESS_LEN[0]} + _alen)"
+    first = _char(ALNUM, "_afirst")
+    last = _char(ALNUM, "_alast")
+    address = cat([first, f"substr({middle}, 1, {addr_len} - 2)", last])
+    conts = ", ".join(f"'{c}'" for c in CONTINENTS)
+    pick = "(_cont + 1)"
+    continent = f"element_at(array({conts}), {pick})" if d.spark else f"([{conts}])[{pick}]"
     return [
-        (F.col("_id") - F.lit(1 << 31)).cast("int").alias("id"),
-        F.substring(name_full, F.lit(1), name_len.cast("int")).alias("name"),
-        F.concat(first, F.substring(middle, F.lit(1), (addr_len - 2).cast("int")), last).alias("address"),
-        continent.alias("continent"),
+        ("id", "CAST(_id - 2147483648 AS INTEGER)"),
+        ("name", f"substr({name_full}, 1, {name_len})"),
+        ("address", address),
+        ("continent", continent),
     ]
 
 
 def records_for_rows(df: DataFrame, row_col: str, seed: int = 42) -> DataFrame:
-    """One synthetic record per row of ``df``, keyed by its ``row_col`` value.
+    """One synthetic record per row of ``df``, keyed by its BIGINT ``row_col`` value.
 
-    Two projections: the digit blocks are computed once per row and then
-    cut into characters.
+    A handful of narrow projections (one per hash round) that Catalyst keeps
+    apart, so each intermediate value is computed once per row.
     """
-    return df.select(*_blocks(F.col(row_col), seed)).select(*_assemble())
+    d = _Dialect(spark=True)
+    out = df.select(F.col(row_col).cast("bigint").alias("_row"))
+    for stage in _stages("_row", seed, d):
+        out = out.selectExpr(*[f"{sql} AS {name}" for name, sql in stage],
+                             *[c for c in out.columns if c not in {n for n, _ in stage} and c != "_row"])
+    return out.selectExpr(*[f"{sql} AS {name}" for name, sql in _outputs(d)])
 
 
 def generate_records(
@@ -102,27 +137,13 @@ def generate_records(
 
 def generator_query(row_expr: str, source: str, seed: int = 42) -> str:
     """DuckDB SQL producing ``id, name, address, continent`` for every row of ``source``."""
-    digests = {i: f"sha256('{seed}:' || CAST({row_expr} AS VARCHAR) || ':{i}')" for i in (1, 2)}
-    blocks = ", ".join(
-        f"CAST(('0x' || substr({digests[k]}, {start}, {width})) AS BIGINT) AS {name}"
-        for name, k, start, width in _BLOCKS
-    )
-
-    def chars(block: str, alphabet: str, count: int) -> list[str]:
-        base = len(alphabet)
-        return [f"substr('{alphabet}', CAST((({block} // {base ** i}) % {base}) + 1 AS INTEGER), 1)"
-                for i in range(count)]
-
-    name_full = " || ".join(c for b, a, n in _NAME_PLAN for c in chars(b, a, n))
-    middle = " || ".join(c for b, a, n in _MIDDLE_PLAN for c in chars(b, a, n))
-    name_len = f"({NAME_LEN[0]} + _nlen % {NAME_LEN[1] - NAME_LEN[0] + 1})"
-    addr_len = f"({ADDRESS_LEN[0]} + _alen % {ADDRESS_LEN[1] - ADDRESS_LEN[0] + 1})"
-    continents = ", ".join(f"'{c}'" for c in CONTINENTS)
-    outer = (
-        f"CAST(_id - 2147483648 AS INTEGER) AS id, "
-        f"substr({name_full}, 1, CAST({name_len} AS INTEGER)) AS name, "
-        f"{chars('_afirst', ALNUM, 1)[0]} || substr({middle}, 1, CAST({addr_len} - 2 AS INTEGER)) || "
-        f"{chars('_alast', ALNUM, 1)[0]} AS address, "
-        f"[{continents}][CAST(_cont % {len(CONTINENTS)} + 1 AS INTEGER)] AS continent"
-    )
-    return f"SELECT {outer} FROM (SELECT {blocks} FROM {source})"
+    d = _Dialect(spark=False)
+    sql = f"SELECT CAST({row_expr} AS BIGINT) AS _row FROM {source}"
+    cols = ["_row"]
+    for stage in _stages("_row", seed, d):
+        names = [n for n, _ in stage]
+        carry = [c for c in cols if c not in names and c != "_row"]
+        sql = f"SELECT {', '.join(f'{s} AS {n}' for n, s in stage + [(c, c) for c in carry])} FROM ({sql})"
+        cols = names + carry
+    outs = ", ".join(f"{s} AS {n}" for n, s in _outputs(d))
+    return f"SELECT {outs} FROM ({sql})"
