@@ -42,10 +42,30 @@ def has_separator(*cols: Column | str) -> Column:
     """True when any field holds a comma or a line break (cannot be encoded)."""
     cond = F.lit(False)
     for c in cols:
-        cond = cond | _c(c).rlike("[,\\n\\r]")
+        col = _c(c)
+        cond = cond | col.contains(",") | col.contains("\n") | col.contains("\r")
     return cond
 
 
+def to_csv_checked(
+    id: Column | str = "id",
+    name: Column | str = "name",
+    address: Column | str = "address",
+    continent: Column | str = "continent",
+) -> Column:
+    """:func:`to_csv` that fails the job on a record it cannot encode.
+
+    The format has no quoting: a comma or line break inside a field, or a
+    null field, would produce a line that does not parse back.
+    """
+    bad_null = _c(id).isNull() | _c(name).isNull() | _c(address).isNull() | _c(continent).isNull()
+    return F.when(
+        bad_null | has_separator(name, address, continent),
+        F.raise_error(F.concat(F.lit("Record cannot be encoded as CSV (null field, comma or line break): "),
+                               F.coalesce(_c(id).cast("string"), F.lit("<null id>")))),
+    ).otherwise(to_csv(id, name, address, continent))
+
+
 # ---------------------------------------------------------------- P2-P4
 def csv_fields(value: Column | str = "value") -> Column:
     """The comma-separated fields of a line, trailing empties kept."""

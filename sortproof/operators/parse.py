@@ -13,7 +13,7 @@ from sortproof.functions.record import (
     parse_id,
     reject_reason_of,
     strict_guard,
-    to_csv,
+    to_csv_checked,
 )
 from sortproof.schema import RECORD_COLUMNS
 
@@ -97,4 +97,4 @@ def validate_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def encode_records(df: DataFrame) -> DataFrame:
     """Records -> CSV lines (P1) as a ``value`` column."""
-    return df.select(to_csv().alias("value"))
+    return df.select(to_csv_checked().alias("value"))

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.functions.record import message_key, to_csv
+from sortproof.functions.record import message_key, to_csv, to_csv_checked
 from sortproof.operators.sort import (
     global_rank,
     sorted_chunks,
@@ -51,7 +51,7 @@ def write_keyed_log(
     offset increases within every writing task (gaps allowed, as in a
     compacted topic).  Kafka form: the producer's partitioner decides.
     """
-    kv = records.select(message_key().alias("key"), to_csv().alias("value"))
+    kv = records.select(message_key().alias("key"), to_csv_checked().alias("value"))
     if bootstrap_servers:
         _kafka_write(kv, topic, bootstrap_servers, options)
         return None
@@ -151,7 +151,7 @@ def write_runs(
     """
     chunks, n = sorted_chunks(records, key, budget_bytes, num_chunks=num_chunks)
     if fmt == "text":
-        chunks.select(to_csv().alias("value")).write.mode("overwrite").text(path)
+        chunks.select(to_csv_checked().alias("value")).write.mode("overwrite").text(path)
     else:
         chunks.write.mode("overwrite").parquet(path)
     return n

@@ -133,3 +133,10 @@ def test_size_estimate_utf16(spark):
     r = df.select(size_estimate().alias("a"), size_estimate(utf16_exact=True).alias("b")).first()
     assert (r.a, r.b) == (46, 48)
     assert F is not None
+
+
+@pytest.mark.parametrize("bad", [(1, "a,b", "x", "y"), (1, "a", "x\ny", "y"), (1, None, "x", "y")])
+def test_encoding_rejects_unencodable_records(spark, bad):
+    df = spark.createDataFrame([bad], "id int, name string, address string, continent string")
+    with pytest.raises(Exception, match="cannot be encoded"):
+        encode_records(df).collect()
