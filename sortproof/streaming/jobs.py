@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -38,6 +39,18 @@ def drain(stream_df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     return stream_df.sparkSession.read.format(fmt).load(path)
 
 
+def _read_or_empty(stream_df: DataFrame, path: str, with_epoch: bool = False) -> DataFrame:
+    """The table a stream wrote, or an empty one if no micro-batch ever ran."""
+    spark = stream_df.sparkSession
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        schema = stream_df.schema
+        if with_epoch:
+            schema = schema.add("_epoch", "int")
+        return spark.createDataFrame([], schema)
+
+
 # ------------------------------------------------------------------ T2
 def stream_stats(log_stream: DataFrame, impl: str = "arrow") -> DataFrame:
     """Running ``(topic, n, checksum)`` over a log stream; constant state.
@@ -70,7 +83,7 @@ def run_complete(stats_stream: DataFrame, path: str, checkpoint: str) -> DataFra
         .start()
     )
     q.awaitTermination()
-    return stats_stream.sparkSession.read.parquet(path)
+    return _read_or_empty(stats_stream, path)
 
 
 # ------------------------------------------------------------------ T3
@@ -151,7 +164,9 @@ def run_update(stream_df: DataFrame, path: str, checkpoint: str, keys: list[str]
     """Run an update-mode stream to the end; return the latest row per key."""
 
     def _write(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(path)
+        # one folder per epoch, overwritten: a retried micro-batch (foreachBatch
+        # is at-least-once) replaces its own output instead of adding a copy
+        batch.write.mode("overwrite").parquet(f"{path}/_epoch={epoch}")
 
     q = (
         stream_df.writeStream.outputMode("update")
@@ -161,7 +176,7 @@ def run_update(stream_df: DataFrame, path: str, checkpoint: str, keys: list[str]
         .start()
     )
     q.awaitTermination()
-    t = stream_df.sparkSession.read.parquet(path)
+    t = _read_or_empty(stream_df, path, with_epoch=True)
     latest = t.groupBy(*keys).agg(F.max("_epoch").alias("_epoch"))
     return t.join(latest, [*keys, "_epoch"]).drop("_epoch")
 

@@ -56,3 +56,13 @@ def test_land_and_sort(spark, records_df, tmp_path):
     got = [r.id for r in t.orderBy("range_id", "offset").collect()]
     assert got == sorted(r[0] for r in rows)
     assert F is not None
+
+
+def test_empty_stream_gives_empty_results(spark, tmp_path):
+    log = _p(tmp_path, "empty")
+    spark.createDataFrame([], LOG_SCHEMA).write.parquet(log)
+    stats = run_complete(stream_stats(stream_log(spark, log)), _p(tmp_path, "o"), _p(tmp_path, "ck"))
+    assert stats.count() == 0
+    mon = run_update(order_monitor(stream_log(spark, log), "id"), _p(tmp_path, "m"), _p(tmp_path, "ck2"),
+                     ["topic", "partition"])
+    assert mon.count() == 0
