@@ -34,6 +34,7 @@ SortSpec = list[tuple[str, bool]]
 # Reference default for the run budget (150 MiB of estimated row bytes).
 DEFAULT_RUN_BUDGET = 157_286_400
 _OFFSET_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id
+_DUP = "_copy"  # per-row id appended to every tie-broken sort key
 
 
 # --------------------------------------------------------------- key specs
@@ -103,9 +104,6 @@ def _spec(df: DataFrame, key, tiebreak: bool) -> SortSpec:
 
 
 # --------------------------------------------------------------- O1-O4, O7
-_DUP = "_copy"
-
-
 def _with_copy_breaker(df: DataFrame, tiebreak: bool) -> tuple[DataFrame, list[Column]]:
     """Spread identical rows over ranges.
 
@@ -262,7 +260,7 @@ def merge_sorted(spark: SparkSession, inputs: list[DataFrame], key, tiebreak: bo
     Returns the rows with their global rank ``pos``.
     """
     if not inputs:
-        return empty_records(spark).withColumn("pos", F.lit(None).cast("bigint")).limit(0)
+        return empty_records(spark).withColumn("pos", F.lit(None).cast("bigint"))
     cols = [c for c in inputs[0].columns if c not in (RANGE_COL, OFFSET_COL, "pos")]
     union = reduce(lambda a, b: a.unionByName(b), [d.select(*cols) for d in inputs])
     return rank_records(union, key, num_ranges=num_ranges, tiebreak=tiebreak)
