@@ -16,6 +16,7 @@ from sortproof.functions.record import message_key, to_csv, to_csv_checked
 from sortproof.operators.sort import (
     global_rank,
     sorted_chunks,
+    total_sort,
     write_sorted,
 )
 from sortproof.schema import OFFSET_COL, RANGE_COL
@@ -171,3 +172,23 @@ def for_each_sorted_partition(sorted_df: DataFrame, fn: Callable[[Iterable], Non
     delivery is ordered only inside a range.
     """
     sorted_df.foreachPartition(fn)
+
+
+def stream_to_callback(stream_df: DataFrame, key, fn: Callable[[Iterable], None], checkpoint: str,
+                       available_now: bool = True):
+    """Streaming form of K5: every micro-batch is sorted and pushed to ``fn``.
+
+    Each micro-batch is range-sorted and handed to ``fn`` range by range
+    (ordered inside a range, ranges in parallel).  Order across micro-batches
+    is arrival order, as in the reference's consumer loop.  Returns the
+    started query (already finished when ``available_now``).
+    """
+
+    def _batch(batch: DataFrame, _epoch: int) -> None:
+        total_sort(batch, key).foreachPartition(fn)
+
+    w = stream_df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_batch)
+    q = (w.trigger(availableNow=True) if available_now else w).start()
+    if available_now:
+        q.awaitTermination()
+    return q

@@ -98,3 +98,26 @@ def test_range_files_map_each_range_to_its_own_files(spark, records_df, tmp_path
     for rid, paths in files.items():
         got = spark.read.parquet(*paths).select("range_id").distinct().collect()
         assert [r.range_id for r in got] == [rid]
+
+
+def test_stream_to_callback(spark, records_df, tmp_path):
+    from sortproof.operators.parse import parse_strict
+    from sortproof.sinks.log import stream_to_callback
+    from sortproof.sources.log import stream_log
+
+    log = _p(tmp_path, "cb-log")
+    write_keyed_log(records_df(ROWS).repartition(3), "source", log, num_partitions=2)
+    seen = spark.sparkContext.accumulator(0)
+    bad = spark.sparkContext.accumulator(0)
+
+    def fn(it):
+        prev = None
+        for r in it:
+            seen.add(1)
+            if prev is not None and prev > r.id:
+                bad.add(1)
+            prev = r.id
+
+    parsed = parse_strict(stream_log(spark, log, max_files_per_trigger=1))
+    stream_to_callback(parsed, "id", fn, _p(tmp_path, "cb-ck"))
+    assert seen.value == 600 and bad.value == 0
