@@ -83,15 +83,27 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def tag_records(df: DataFrame) -> DataFrame:
+    """Typed records with ``reason`` (``NULL_FIELD`` or NULL) and ``value``, one pass.
+
+    ``value`` is the CSV line of a good record and a best-effort line (nulls
+    as empty fields) of a rejected one.
+    """
+    reason = F.when(F.col("id").isNull(), F.lit("NULL_FIELD")).otherwise(null_field_reason())
+    t = df.withColumn("reason", reason)
+    loose = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RECORD_COLUMNS])
+    return t.withColumn("value", F.when(F.col("reason").isNull(), to_csv_checked()).otherwise(loose))
+
+
 def validate_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed records -> (valid, rejects with ``NULL_FIELD``)."""
-    reason = null_field_reason()
-    tagged = df.withColumn("_reason", F.when(F.col("id").isNull(), F.lit("NULL_FIELD")).otherwise(reason))
-    good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
-    bad = tagged.filter(F.col("_reason").isNotNull()).select(
-        F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RECORD_COLUMNS]).alias("value"),
-        F.col("_reason").alias("reason"),
-    )
+    """Typed records -> (valid, rejects with ``NULL_FIELD``).
+
+    Two lazy filters of :func:`tag_records`; use that directly (or persist
+    it) when both outputs are consumed, so the input is read once.
+    """
+    tagged = tag_records(df)
+    good = tagged.filter(F.col("reason").isNull()).select(*RECORD_COLUMNS)
+    bad = tagged.filter(F.col("reason").isNotNull()).select("value", "reason")
     return good, bad
 
 

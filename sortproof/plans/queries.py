@@ -230,6 +230,39 @@ def q_parse_quarantine(spark, sf):
                     F.when(good, F.col("name")).alias("name"))
 
 
+_NULLS_SQL = _with(
+    """
+, planted AS (
+  SELECT id,
+         CASE WHEN ((id % 11) + 11) % 11 = 0 THEN NULL ELSE name END AS name,
+         CASE WHEN ((id % 13) + 13) % 13 = 0 THEN NULL ELSE address END AS address,
+         continent
+  FROM records
+)
+SELECT CASE WHEN name IS NULL OR address IS NULL OR continent IS NULL
+            THEN concat_ws(',', coalesce(CAST(id AS VARCHAR), ''), coalesce(name, ''), coalesce(address, ''),
+                           coalesce(continent, ''))
+            ELSE CAST(id AS VARCHAR) || ',' || name || ',' || address || ',' || continent END AS value,
+       CASE WHEN name IS NULL OR address IS NULL OR continent IS NULL THEN 'NULL_FIELD' END AS reason
+FROM planted"""
+)
+
+
+@query("validate_nulls", _NULLS_SQL)
+def q_validate_nulls(spark, sf):
+    """Records with planted null fields; every record as a line with its reason."""
+    from sortproof.operators.parse import tag_records
+
+    r = records(spark, sf)
+    planted = r.select(
+        "id",
+        F.when(F.pmod("id", F.lit(11)) == 0, F.lit(None)).otherwise(F.col("name")).alias("name"),
+        F.when(F.pmod("id", F.lit(13)) == 0, F.lit(None)).otherwise(F.col("address")).alias("address"),
+        "continent",
+    )
+    return tag_records(planted).select("value", "reason")
+
+
 @query(
     "row_hash",
     _with(
