@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sortproof.functions.record import size_estimate
 from sortproof.schema import OFFSET_COL, RANGE_COL, RECORD_COLUMNS, RECORD_SCHEMA, SORT_KEYS
-from sortproof.session import scratch_path
+from sortproof.session import scratch_path, write_and_read
 
 SortSpec = list[tuple[str, bool]]
 
@@ -169,8 +169,7 @@ def write_sorted(
         s = range_sort(df, key, num_ranges, tiebreak, java_string_order)
     else:
         s = total_sort(df, key, tiebreak, java_string_order)
-    with_positions(s).write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return write_and_read(with_positions(s), path, mode)
 
 
 def write_sorted_observed(
@@ -186,8 +185,8 @@ def write_sorted_observed(
 
     s = range_sort(df, key, num_ranges) if num_ranges else total_sort(df, key)
     observed, obs = observe_records(with_positions(s), "sorted_write", impl=impl)
-    observed.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), observed_metrics(obs)
+    table = write_and_read(observed, path)
+    return table, observed_metrics(obs)
 
 
 def global_rank(table: DataFrame, rank_col: str = "pos") -> DataFrame:

@@ -85,3 +85,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below :func:`checkpoint_root` for one table."""
     return f"{checkpoint_root(spark)}/sortproof/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_and_read(df, path: str, mode: str = "overwrite", partition_by: list[str] | None = None):
+    """Write ``df`` as Parquet at ``path`` and return it read back.
+
+    The schema is known before the write, so the read-back passes it
+    explicitly instead of running a job to infer it from the file footers.
+    """
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

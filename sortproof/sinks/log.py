@@ -20,7 +20,7 @@ from sortproof.operators.sort import (
     write_sorted,
 )
 from sortproof.schema import OFFSET_COL, RANGE_COL
-from sortproof.session import scratch_path
+from sortproof.session import scratch_path, write_and_read
 
 # Producer settings of the reference, as Spark Kafka writer options.
 KAFKA_PRODUCER_OPTIONS = {
@@ -64,8 +64,7 @@ def write_keyed_log(
         F.monotonically_increasing_id().alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
-    out.write.mode("overwrite").parquet(path)
-    return records.sparkSession.read.parquet(path)
+    return write_and_read(out, path)
 
 
 def write_sorted_log(
@@ -86,8 +85,7 @@ def write_sorted_log(
         F.col(OFFSET_COL).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return write_and_read(out, path)
 
 
 def range_files(table: DataFrame) -> dict[int, list[str]]:
@@ -136,8 +134,7 @@ def write_single_partition_log(
         (F.col("pos") - 1).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return write_and_read(out, path)
 
 
 def write_runs(
