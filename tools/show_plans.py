@@ -14,8 +14,6 @@ from contextlib import redirect_stdout
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from sortproof.operators.aggregate import dataset_stats  # noqa: E402
 from sortproof.operators.parse import parse_strict  # noqa: E402
 from sortproof.operators.sort import global_rank, total_sort, with_positions, write_sorted  # noqa: E402
@@ -72,7 +70,6 @@ def main() -> None:
     print("Initial plans; AQE re-plans joins and coalesces partitions at run time.\n")
     for title, df in sections:
         print(f"## {title}\n\n```\n{plan_text(df)}\n```\n")
-    _ = F
 
 
 if __name__ == "__main__":
