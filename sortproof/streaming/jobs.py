@@ -150,7 +150,9 @@ def order_monitor(log_stream: DataFrame, key: str = "id", ascending: bool = True
     """
     parsed = tag_lines(log_stream, keep=("topic", "partition", "offset"))
     key_type = dict(parsed.dtypes)[key]
-    keyed = parsed.select("topic", "partition", "offset", F.col(key).alias("k"))
+    # lines that do not parse have no key to compare; they are left out
+    # (the stats stream counts them as rejected)
+    keyed = parsed.filter(F.col("reason").isNull()).select("topic", "partition", "offset", F.col(key).alias("k"))
     return keyed.groupBy("topic", "partition").applyInPandasWithState(
         _make_monitor(ascending),
         outputStructType=MONITOR_OUTPUT,

@@ -27,9 +27,10 @@ def test_stream_stats_equal_batch(spark, records_df, tmp_path):
 
 
 def _write_log(spark, path, batches):
-    # each batch: list of (partition, offset, id) -> one file per batch, in order
+    # each batch: list of (partition, offset, id) -> one file per batch, in order;
+    # an id of None writes an unparseable line
     for b in batches:
-        rows = [(None, f"{i},n,a,c", "t", p, o, None) for p, o, i in b]
+        rows = [(None, f"{i},n,a,c" if i is not None else "garbage", "t", p, o, None) for p, o, i in b]
         spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -38,7 +39,7 @@ def test_order_monitor_finds_planted_violation(spark, tmp_path):
     _write_log(spark, log, [
         [(0, 0, 1), (0, 1, 2), (1, 0, 10)],
         [(0, 2, 3), (0, 3, 2), (1, 1, 11)],   # violation in partition 0 at position 4
-        [(0, 4, 5), (1, 2, 9)],                # violation in partition 1 at position 3
+        [(0, 4, 5), (1, 2, 9), (1, 3, None)],  # violation in partition 1 at position 3; bad line skipped
     ])
     res = run_update(order_monitor(stream_log(spark, log, max_files_per_trigger=1), "id"),
                      _p(tmp_path, "mon"), _p(tmp_path, "ck"), ["topic", "partition"])
