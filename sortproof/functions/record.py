@@ -159,7 +159,7 @@ def row_hash(
     name: Column | str = "name",
     address: Column | str = "address",
     continent: Column | str = "continent",
-    impl: str = "arrow",
+    impl: str = "jvm",
 ) -> Column:
     """``((id*31 + h(name))*31 + h(address))*31 + h(continent)`` as BIGINT.
 

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from sortproof.functions.record import row_hash, size_estimate, wrapping_sum
 
 
-def count_and_checksum(df: DataFrame, impl: str = "arrow") -> DataFrame:
+def count_and_checksum(df: DataFrame, impl: str = "jvm") -> DataFrame:
     """One row ``(n, checksum)``: row count and wrapping sum of row hashes (A1, A2)."""
     return df.select(row_hash(impl=impl).alias("_h")).agg(
         F.count(F.lit(1)).alias("n"), wrapping_sum("_h").alias("checksum")
     )
 
 
-def dataset_stats(datasets: dict[str, DataFrame], impl: str = "arrow") -> DataFrame:
+def dataset_stats(datasets: dict[str, DataFrame], impl: str = "jvm") -> DataFrame:
     """``(dataset, n, checksum)`` for several datasets in one job (A3).
 
     The datasets are tagged and unioned; one grouped aggregation computes
@@ -54,7 +54,7 @@ def estimated_bytes(df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(F.sum(size_estimate()), F.lit(0)).cast("bigint").alias("bytes"))
 
 
-def observe_records(df: DataFrame, name: str = "records", impl: str = "arrow") -> tuple[DataFrame, Observation]:
+def observe_records(df: DataFrame, name: str = "records", impl: str = "jvm") -> tuple[DataFrame, Observation]:
     """Attach count and checksum metrics to whatever action runs on ``df``.
 
     The metrics come from the same job (e.g. the write of a sorted output);

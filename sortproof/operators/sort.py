@@ -173,7 +173,7 @@ def write_sorted(
 
 
 def write_sorted_observed(
-    df: DataFrame, key, path: str, num_ranges: int | None = None, impl: str = "arrow"
+    df: DataFrame, key, path: str, num_ranges: int | None = None, impl: str = "jvm"
 ) -> tuple[DataFrame, dict]:
     """:func:`write_sorted` that also returns ``{"rows", "checksum"}`` of what it wrote.
 

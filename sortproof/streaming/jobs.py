@@ -52,7 +52,7 @@ def _read_or_empty(stream_df: DataFrame, path: str, with_epoch: bool = False) ->
 
 
 # ------------------------------------------------------------------ T2
-def stream_stats(log_stream: DataFrame, impl: str = "arrow") -> DataFrame:
+def stream_stats(log_stream: DataFrame, impl: str = "jvm") -> DataFrame:
     """Running ``(topic, n, checksum)`` over a log stream; constant state.
 
     Bad lines are not counted (``rejected`` counts them instead).

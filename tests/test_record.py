@@ -82,7 +82,7 @@ JAVA_HASHES = [("Alice", 63350368), ("", 0), ("héllo", 103094734), ("日本", 8
                ("\U0001F600x", 54959989), ("￮", 65518)]
 
 
-@pytest.mark.parametrize("impl", ["arrow", "sql"])
+@pytest.mark.parametrize("impl", ["jvm", "arrow", "sql"])
 def test_java_string_hash(spark, impl):
     df = spark.createDataFrame([(s,) for s, _ in JAVA_HASHES], "s string")
     got = dict((r.s, r.h) for r in df.select("s", java_string_hash("s", impl).alias("h")).collect())
