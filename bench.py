@@ -53,7 +53,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    # warm-up (JVM, codegen, one Python worker per core); not timed
+    # warm-up (JVM start, class loading, code generation); not timed
     warm = records_from_tables(spark, sf_dir).limit(1000)
     write_sorted(warm, "id", scratch_path(spark, "warm"))
     count_and_checksum(warm.repartition(cpus)).collect()
