@@ -1,4 +1,4 @@
-"""Benchmark: the reference's pipeline phases on the driver's tables.
+"""Benchmark: the reference's job phases on the driver's tables.
 
 Phases (each timed, rows/s derived from the record count):
   generate        S1 synthetic records (as many as lineitem rows) -> keyed log (K1)
@@ -93,7 +93,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "pipeline_wall_time",
+                "metric": "total_wall_time",
                 "value": total,
                 "unit": "sec",
                 "queries": times,

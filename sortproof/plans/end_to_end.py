@@ -19,7 +19,7 @@ from sortproof.sources.log import read_log
 DEFAULT_KEYS = ("id", "name", "continent")
 
 
-def run_pipeline(
+def run_end_to_end(
     spark: SparkSession,
     out_dir: str,
     n: int | None = None,
@@ -31,7 +31,7 @@ def run_pipeline(
     exact: bool = False,
     fail: bool = False,
 ) -> tuple[DataFrame, dict]:
-    """Run the pipeline; return the verification report and per-phase metrics.
+    """Run the whole job; return the verification report and per-phase metrics.
 
     ``source`` (records) or ``n`` (generate that many) gives the input.  The
     source is written as a keyed log with ``source_partitions`` partitions,

@@ -472,12 +472,12 @@ def _report_sql() -> str:
     return _with(f", s AS ({stats})\n" + "\nUNION ALL ".join(rows))
 
 
-@query("pipeline_report", _report_sql())
-def q_pipeline_report(spark, sf):
+@query("end_to_end_report", _report_sql())
+def q_end_to_end_report(spark, sf):
     """Whole job: keyed source log, strict parse, three sorts, verification report."""
-    from sortproof.plans.pipeline import run_pipeline
+    from sortproof.plans.end_to_end import run_end_to_end
 
-    report, _ = run_pipeline(spark, scratch_path(spark, "pipeline"), source=records(spark, sf), exact=True)
+    report, _ = run_end_to_end(spark, scratch_path(spark, "end-to-end"), source=records(spark, sf), exact=True)
     return report
 
 

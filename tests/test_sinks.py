@@ -1,4 +1,4 @@
-"""Ordered and keyed sinks, and the whole pipeline."""
+"""Ordered and keyed sinks, and the whole job end to end."""
 
 import uuid
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sortproof.operators.sort import total_sort
 from sortproof.operators.verify import order_violations
-from sortproof.plans.pipeline import run_pipeline
+from sortproof.plans.end_to_end import run_end_to_end
 from sortproof.sinks.log import (
     for_each_sorted_partition,
     write_keyed_log,
@@ -74,8 +74,8 @@ def test_callback_sink_gets_sorted_rows_per_range(spark, records_df, tmp_path):
     assert acc.value == 600 and bad.value == 0
 
 
-def test_pipeline_end_to_end(spark, tmp_path):
-    report, metrics = run_pipeline(spark, _p(tmp_path, "pipe"), n=3_000, seed=5, exact=True)
+def test_end_to_end(spark, tmp_path):
+    report, metrics = run_end_to_end(spark, _p(tmp_path, "pipe"), n=3_000, seed=5, exact=True)
     rows = {(r.check, r.dataset): r for r in report.collect()}
     assert rows[("all", "*")].passed
     assert set(metrics) == {"id", "name", "continent"}
@@ -83,9 +83,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert all(m["rows"] == 3_000 and m["checksum"] == src_ck for m in metrics.values())
 
 
-def test_pipeline_needs_input(spark, tmp_path):
+def test_end_to_end_needs_input(spark, tmp_path):
     with pytest.raises(ValueError):
-        run_pipeline(spark, _p(tmp_path, "x"))
+        run_end_to_end(spark, _p(tmp_path, "x"))
 
 
 def test_range_files_map_each_range_to_its_own_files(spark, records_df, tmp_path):

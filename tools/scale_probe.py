@@ -1,4 +1,4 @@
-"""Throughput at a larger size: the pipeline phases on N generated records.
+"""Throughput at a larger size: the job phases on N generated records.
 
 Usage: python tools/scale_probe.py [N] [cpus]   (default 6,000,000 on local[8])
 Prints one JSON line with seconds and rows/s per phase.
