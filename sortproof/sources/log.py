@@ -61,18 +61,30 @@ def read_log(
     return df.filter(F.col("topic") == topic) if topic else df
 
 
+# Default rate limits: every micro-batch (and so every stateful group in it)
+# stays bounded however large the backlog is; `availableNow` still drains all.
+DEFAULT_MAX_FILES_PER_TRIGGER = 256
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 50_000_000
+
+
 def stream_log(
     spark: SparkSession,
     path: str | None = None,
     topic: str | None = None,
     bootstrap_servers: str | None = None,
     options: dict | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """Incremental scan of a topic as a streaming DataFrame (S3)."""
+    """Incremental scan of a topic as a streaming DataFrame (S3).
+
+    Micro-batches are rate-limited by default (files per trigger for a log
+    table, offsets per trigger for Kafka), so a backlog is processed in
+    bounded steps.
+    """
     if bootstrap_servers:
         opts = _kafka_options(bootstrap_servers, topic, options)
         opts.setdefault("startingOffsets", "earliest")
+        opts.setdefault("maxOffsetsPerTrigger", str(DEFAULT_MAX_OFFSETS_PER_TRIGGER))
         return _kafka_projection(spark.readStream.format("kafka").options(**opts).load())
     reader = spark.readStream.schema(LOG_SCHEMA)
     if max_files_per_trigger:

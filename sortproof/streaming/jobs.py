@@ -146,7 +146,8 @@ def order_monitor(log_stream: DataFrame, key: str = "id", ascending: bool = True
     A micro-batch is sorted by offset; an offset that goes back behind the
     state is counted in ``offset_regressions`` (file streams do not promise
     offset order across files).  Each group holds one micro-batch of one
-    partition - bounded by the trigger's rate limit.
+    partition - bounded by the trigger's rate limit (``stream_log`` sets one
+    by default).
     """
     parsed = tag_lines(log_stream, keep=("topic", "partition", "offset"))
     key_type = dict(parsed.dtypes)[key]
