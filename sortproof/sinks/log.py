@@ -32,10 +32,15 @@ KAFKA_PRODUCER_OPTIONS = {
 }
 
 
-def _kafka_write(df: DataFrame, topic: str, bootstrap_servers: str, options: dict | None) -> None:
+def kafka_write_options(topic: str, bootstrap_servers: str, options: dict | None) -> dict:
+    """Options of Spark's Kafka sink: the reference's producer settings, caller options win."""
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic, **KAFKA_PRODUCER_OPTIONS}
     opts.update(options or {})
-    df.write.format("kafka").options(**opts).save()
+    return opts
+
+
+def _kafka_write(df: DataFrame, topic: str, bootstrap_servers: str, options: dict | None) -> None:
+    df.write.format("kafka").options(**kafka_write_options(topic, bootstrap_servers, options)).save()
 
 
 def write_keyed_log(

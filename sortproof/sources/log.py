@@ -15,6 +15,11 @@ from sortproof.schema import LOG_SCHEMA
 
 _LOG_COLS = [f.name for f in LOG_SCHEMA.fields]
 
+# Default rate limits: every micro-batch (and so every stateful group in it)
+# stays bounded however large the backlog is; `availableNow` still drains all.
+DEFAULT_MAX_FILES_PER_TRIGGER = 256
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 50_000_000
+
 
 def _kafka_options(bootstrap_servers: str, topic: str, options: dict | None) -> dict:
     opts = {
@@ -28,6 +33,25 @@ def _kafka_options(bootstrap_servers: str, topic: str, options: dict | None) ->
     return opts
 
 
+def kafka_read_options(spark: SparkSession, bootstrap_servers: str, topic: str, options: dict | None,
+                       stream: bool) -> dict:
+    """Options of Spark's Kafka source for a whole-topic read (batch or stream).
+
+    Reads from the earliest offset; a batch read ends at the offsets current
+    at planning time (the end of a drain), a stream is rate-limited.  Topics
+    with few partitions (4 in the reference) are split into offset ranges so
+    that every core reads (``minPartitions``).  Caller options win.
+    """
+    opts = _kafka_options(bootstrap_servers, topic, options)
+    opts.setdefault("startingOffsets", "earliest")
+    if stream:
+        opts.setdefault("maxOffsetsPerTrigger", str(DEFAULT_MAX_OFFSETS_PER_TRIGGER))
+    else:
+        opts.setdefault("endingOffsets", "latest")
+    opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+    return opts
+
+
 def _kafka_projection(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("key").cast("string").alias("key"),
@@ -53,23 +77,12 @@ def read_log(
     otherwise a Parquet log table at ``path``, optionally one ``topic``.
     """
     if bootstrap_servers:
-        opts = _kafka_options(bootstrap_servers, topic, options)
-        opts.setdefault("startingOffsets", "earliest")
-        opts.setdefault("endingOffsets", "latest")
-        # a topic with few partitions (4 in the reference) is split into
-        # offset ranges so that every core reads, not one task per partition
-        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+        opts = kafka_read_options(spark, bootstrap_servers, topic, options, stream=False)
         return _kafka_projection(spark.read.format("kafka").options(**opts).load())
     df = spark.read.schema(LOG_SCHEMA).parquet(path)
     return df.filter(F.col("topic") == topic) if topic else df
 
 
-# Default rate limits: every micro-batch (and so every stateful group in it)
-# stays bounded however large the backlog is; `availableNow` still drains all.
-DEFAULT_MAX_FILES_PER_TRIGGER = 256
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 50_000_000
-
-
 def stream_log(
     spark: SparkSession,
     path: str | None = None,
@@ -85,10 +98,7 @@ def stream_log(
     bounded steps.
     """
     if bootstrap_servers:
-        opts = _kafka_options(bootstrap_servers, topic, options)
-        opts.setdefault("startingOffsets", "earliest")
-        opts.setdefault("maxOffsetsPerTrigger", str(DEFAULT_MAX_OFFSETS_PER_TRIGGER))
-        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+        opts = kafka_read_options(spark, bootstrap_servers, topic, options, stream=True)
         return _kafka_projection(spark.readStream.format("kafka").options(**opts).load())
     reader = spark.readStream.schema(LOG_SCHEMA)
     if max_files_per_trigger:

@@ -121,3 +121,18 @@ def test_stream_to_callback(spark, records_df, tmp_path):
     parsed = parse_strict(stream_log(spark, log, max_files_per_trigger=1))
     stream_to_callback(parsed, "id", fn, _p(tmp_path, "cb-ck"))
     assert seen.value == 600 and bad.value == 0
+
+
+def test_kafka_options(spark):
+    from sortproof.sinks.log import kafka_write_options
+    from sortproof.sources.log import kafka_read_options
+
+    r = kafka_read_options(spark, "b:9092", "source", {"kafka.fetch.min.bytes": "1"}, stream=False)
+    assert r["kafka.bootstrap.servers"] == "b:9092" and r["subscribe"] == "source"
+    assert r["startingOffsets"] == "earliest" and r["endingOffsets"] == "latest"
+    assert int(r["minPartitions"]) == spark.sparkContext.defaultParallelism
+    assert r["kafka.fetch.min.bytes"] == "1" and r["kafka.max.partition.fetch.bytes"] == "1048576"
+    st = kafka_read_options(spark, "b:9092", "source", None, stream=True)
+    assert "endingOffsets" not in st and int(st["maxOffsetsPerTrigger"]) > 0
+    w = kafka_write_options("id", "b:9092", {"kafka.acks": "all"})
+    assert w["topic"] == "id" and w["kafka.acks"] == "all" and w["kafka.compression.type"] == "zstd"
