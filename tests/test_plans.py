@@ -44,3 +44,17 @@ def test_records_view_broadcasts_only_fixed_dimensions_by_hint(spark):
     df = records_from_tables(spark, SF)
     s = df._jdf.queryExecution().optimizedPlan().toString()
     assert s.count("broadcast") <= 1  # nation x region only; the rest is Catalyst/AQE's choice
+
+
+def test_sort_with_positions_is_one_range_exchange(spark, tmp_path):
+    from sortproof.operators.sort import total_sort, with_positions
+
+    src = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr(
+        "CAST(l_orderkey AS INT) AS id", "l_returnflag AS name", "l_linestatus AS address",
+        "l_returnflag AS continent")
+    s = plan(with_positions(total_sort(src, "continent")))
+    assert s.count("Exchange rangepartitioning") == 1
+    assert s.count("Exchange") == 1
+    # the copy breaker is the last sort key, after every record column
+    keys = s.split("Exchange rangepartitioning(")[1].split("], ")[0]
+    assert keys.index("_copy") > keys.index("address")
