@@ -68,7 +68,7 @@ def parse_quarantine(lines: DataFrame, path: str | None = None,
     tagged = tag_lines(lines, value_col)
     if path:
         (tagged.withColumn("status", F.when(F.col("reason").isNull(), "ok").otherwise("rejected"))
-         .write.mode("overwrite").partitionBy("status").parquet(path))
+         .write.mode("overwrite").option("compression", "zstd").partitionBy("status").parquet(path))
         tagged = lines.sparkSession.read.parquet(path)
         good = tagged.filter(F.col("status") == "ok")
         bad = tagged.filter(F.col("status") == "rejected")

@@ -278,7 +278,7 @@ def sort_many(
     src = df
     if land:
         landed = f"{out_root.rstrip('/')}/_landed"
-        df.write.mode("overwrite").parquet(landed)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(landed)
         src = spark.read.parquet(landed)
     names = [order_spec(k, columns=src.columns, tiebreak=False)[0][0] for k in keys]
     # Independent jobs over the same landed input: run them concurrently so

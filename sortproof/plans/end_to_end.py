@@ -45,7 +45,7 @@ def run_end_to_end(
     out = out_dir.rstrip("/")
     write_keyed_log(source, "source", f"{out}/source", num_partitions=source_partitions)
     parsed = parse_strict(read_log(spark, f"{out}/source", topic="source"))
-    parsed.write.mode("overwrite").parquet(f"{out}/landed")
+    parsed.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/landed")
     landed = spark.read.parquet(f"{out}/landed")
     outputs, metrics = {}, {}
     for k in keys:

@@ -399,7 +399,7 @@ def q_merge_sorted(spark, sf):
 def q_range_sort(spark, sf):
     """Explicit range partitioning into 8 ranges, local sorts, rank."""
     path = scratch_path(spark, "ranges")
-    with_positions(range_sort(records(spark, sf), "name", 8)).write.parquet(path)
+    with_positions(range_sort(records(spark, sf), "name", 8)).write.option("compression", "zstd").parquet(path)
     return global_rank(spark.read.parquet(path)).select(*REC, "pos")
 
 

@@ -93,7 +93,8 @@ def write_and_read(df, path: str, mode: str = "overwrite", partition_by: list[st
     The schema is known before the write, so the read-back passes it
     explicitly instead of running a job to infer it from the file footers.
     """
-    w = df.write.mode(mode)
+    # zstd like the reference's topics, whatever the session default is
+    w = df.write.mode(mode).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

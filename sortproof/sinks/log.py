@@ -156,7 +156,7 @@ def write_runs(
     if fmt == "text":
         chunks.select(to_csv_checked().alias("value")).write.mode("overwrite").text(path)
     else:
-        chunks.write.mode("overwrite").parquet(path)
+        chunks.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return n
 
 

@@ -73,7 +73,7 @@ def run_complete(stats_stream: DataFrame, path: str, checkpoint: str) -> DataFra
     """Run a complete-mode aggregate to the end; the table holds the final result."""
 
     def _write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
     q = (
         stats_stream.writeStream.outputMode("complete")
@@ -169,7 +169,7 @@ def run_update(stream_df: DataFrame, path: str, checkpoint: str, keys: list[str]
     def _write(batch: DataFrame, epoch: int) -> None:
         # one folder per epoch, overwritten: a retried micro-batch (foreachBatch
         # is at-least-once) replaces its own output instead of adding a copy
-        batch.write.mode("overwrite").parquet(f"{path}/_epoch={epoch}")
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/_epoch={epoch}")
 
     q = (
         stream_df.writeStream.outputMode("update")
