@@ -28,7 +28,6 @@ from sortproof.operators.sort import (
     rank_records,
     sort_many,
     total_sort,
-    with_positions,
     write_sorted,
     write_sorted_observed,
     range_sort,
@@ -398,9 +397,8 @@ def q_merge_sorted(spark, sf):
 @query("range_sort", _ranked_sql(_order("name")))
 def q_range_sort(spark, sf):
     """Explicit range partitioning into 8 ranges, local sorts, rank."""
-    path = scratch_path(spark, "ranges")
-    with_positions(range_sort(records(spark, sf), "name", 8)).write.option("compression", "zstd").parquet(path)
-    return global_rank(spark.read.parquet(path)).select(*REC, "pos")
+    table = write_sorted(records(spark, sf), "name", scratch_path(spark, "ranges"), num_ranges=8)
+    return global_rank(table).select(*REC, "pos")
 
 
 @query("global_rank", _ranked_sql("address, id DESC, name, continent"))
