@@ -30,7 +30,6 @@ from sortproof.operators.sort import (
     total_sort,
     write_sorted,
     write_sorted_observed,
-    range_sort,
 )
 from sortproof.operators.verify import chunk_check, order_violations, verify
 from sortproof.schema import RECORD_COLUMNS
