@@ -138,3 +138,12 @@ def test_encoding_rejects_unencodable_records(spark, bad):
     df = spark.createDataFrame([bad], "id int, name string, address string, continent string")
     with pytest.raises(Exception, match="cannot be encoded"):
         encode_records(df).collect()
+
+
+def test_text_lines_skip_empty_lines(spark, tmp_path):
+    from sortproof.sources.log import read_lines
+
+    p = tmp_path / "run.txt"
+    p.write_text("1,a,b,c\n\n2,d,e,f\n\n")
+    rows = parse_strict(read_lines(spark, str(p))).collect()
+    assert sorted(r.id for r in rows) == [1, 2]

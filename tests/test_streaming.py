@@ -65,3 +65,15 @@ def test_empty_stream_gives_empty_results(spark, tmp_path):
     mon = run_update(order_monitor(stream_log(spark, log), "id"), _p(tmp_path, "m"), _p(tmp_path, "ck2"),
                      ["topic", "partition"])
     assert mon.count() == 0
+
+
+def test_drain_appends_everything_then_stops(spark, records_df, tmp_path):
+    from sortproof.streaming.jobs import drain
+
+    log = _p(tmp_path, "dlog")
+    write_keyed_log(records_df([(i, "n", "a", "c") for i in range(300)]).repartition(3), "source", log, 2)
+    out, ck = _p(tmp_path, "dout"), _p(tmp_path, "dck")
+    t = drain(stream_log(spark, log, max_files_per_trigger=1), out, ck)
+    assert t.count() == 300
+    # a second drain with the same checkpoint finds nothing new
+    assert drain(stream_log(spark, log, max_files_per_trigger=1), out, ck).count() == 300
