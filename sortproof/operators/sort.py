@@ -34,7 +34,7 @@ SortSpec = list[tuple[str, bool]]
 # Reference default for the run budget (150 MiB of estimated row bytes).
 DEFAULT_RUN_BUDGET = 157_286_400
 _OFFSET_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id
-_DUP = "_copy"  # per-row id appended to every tie-broken sort key
+_DUP = "_copy"  # input partition id appended to every tie-broken sort key
 
 
 # --------------------------------------------------------------- key specs
@@ -110,12 +110,16 @@ def _with_copy_breaker(df: DataFrame, tiebreak: bool) -> tuple[DataFrame, list[C
     With every column in the key, identical copies still share one key, and
     the range partitioner sends equal keys to one range: a record repeated
     for a third of the input would make one task sort a third of the data.
-    A per-row id as the very last key gives copies distinct keys; copies are
-    interchangeable, so any order among them is a correct result.
+    The input partition id as the very last key splits such a record into
+    one key per input partition, so ranges balance at the granularity of an
+    input partition.  It is order-independent: a retried map task (whose row
+    order may differ after a shuffle) routes every row exactly as before,
+    which a row counter would not guarantee.  Copies are interchangeable, so
+    any order among them is a correct result.
     """
     if not tiebreak:
         return df, []
-    return df.withColumn(_DUP, F.monotonically_increasing_id()), [F.col(_DUP).asc()]
+    return df.withColumn(_DUP, F.spark_partition_id()), [F.col(_DUP).asc()]
 
 
 def total_sort(df: DataFrame, key, tiebreak: bool = True, java_string_order: bool = False) -> DataFrame:
