@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortproof.llm import line_dedup, mixing, sharding
+from sortproof.llm import bpe, line_dedup, mixing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = bpe.Codec.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.bpe_digest(table(spark, sf_dir, "documents"), codec)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_digest(table(spark, sf_dir, "documents"))
 
@@ -26,6 +32,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
