@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortproof.llm import bpe, line_dedup, mixing, sharding
+from sortproof.llm import bpe, line_dedup, mixing, sharding, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +31,19 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op7_line_dedup": line_dedup.LINE_DEDUP_SQL,
+    "op10_substring_dedup": substring_dedup.SUBSTRING_DEDUP_SQL,
 }
