@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sortproof.llm.columns import SPACES, let, row_identity
+from sortproof.session import scratch_path, write_and_read
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -48,6 +49,8 @@ def frequent_line_positions(
         .where(F.length("key") >= max(1, min_key_chars))
         .select("_id", "_t", "pos", F.unhex(F.md5("key")).alias("h"))
     )
+    # read twice, so written once: normalising and hashing all lines is the dear part
+    keyed = write_and_read(keyed, scratch_path(docs.sparkSession, "line-hashes"))
     frequent = (
         keyed.groupBy("h", "_id", "_t").agg(F.lit(1).alias("one"))
         .groupBy("h").agg(F.count("*").alias("n"))
