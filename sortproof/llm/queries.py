@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortproof.llm import ann, bpe, line_dedup, mixing, quality_rules, sharding, substring_dedup, toxicity
+from sortproof.llm import ann, bpe, line_dedup, mixing, near_dup, quality_rules, sharding, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), codec)
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_dup_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_digest(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_near_dup": op4_near_dup,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,

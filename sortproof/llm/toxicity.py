@@ -53,7 +53,7 @@ MIN_LIFT = 2.5
 MODELS = 3
 STEPS = 600
 RATE = 0.05
-DECAY = 3e-5
+DECAY = 1e-4
 #: At this score a text counts as toxic.
 THRESHOLD = 0.7
 SEED = 5
