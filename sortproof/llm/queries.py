@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortproof.llm import ann, bpe, line_dedup, mixing, near_dup, quality_rules, sharding, substring_dedup, toxicity
+from sortproof.llm import ann, bpe, line_dedup, mixing, near_dup, quality_rules, sharding, site_quality, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.site_quality_digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), table(spark, sf_dir, "pages")
+    )
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.ann_digest(table(spark, sf_dir, "embeddings"))
 
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_site_quality": op8_site_quality,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
 }
