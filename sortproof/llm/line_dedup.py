@@ -83,24 +83,22 @@ def _kept_text(lines: Column, drop: Column) -> Column:
 def drop_frequent_lines(
     docs: DataFrame, min_docs: int = 10, min_key_chars: int = 1, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with every column, plus ``_n_lines``, ``_n_dropped`` and ``_kept`` (the remaining text).
+    """``docs`` with every column, plus ``__ld_lines``, ``__ld_dropped``, ``__ld_kept`` (the remaining text).
 
     Lines whose key has at least ``min_key_chars`` characters and stands in
     at least ``min_docs`` documents lose all their occurrences.
     """
-    drops = frequent_line_positions(docs, min_docs, min_key_chars, doc_id, text)
-    ident = row_identity(doc_id, text)
-    joined = docs.select("*", *ident).join(drops, ["_id", "_t"], "left")
-    lines = split_lines(F.col(text))
-    n_dropped = F.coalesce(F.size("drop"), F.lit(0))
-    kept = F.when(F.col("drop").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
-        _kept_text(lines, F.col("drop"))
-    )
+    own = ["__ld_id", "__ld_t", "__ld_drop"]  # names that no table is likely to have
+    drops = frequent_line_positions(docs, min_docs, min_key_chars, doc_id, text).toDF(*own)
+    ident = [c.alias(n) for c, n in zip(row_identity(doc_id, text), own, strict=False)]
+    joined = docs.select("*", *ident).join(drops, own[:2], "left")
+    lines, drop = split_lines(F.col(text)), F.col(own[2])
+    kept = F.when(drop.isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(_kept_text(lines, drop))
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.size(lines).cast("long").alias("_n_lines"),
-        n_dropped.cast("long").alias("_n_dropped"),
-        kept.alias("_kept"),
+        F.size(lines).cast("long").alias("__ld_lines"),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("__ld_dropped"),
+        kept.alias("__ld_kept"),
     )
 
 
@@ -112,7 +110,7 @@ def remove_frequent_lines(docs: DataFrame, min_docs: int = 10, min_key_chars: in
     out = drop_frequent_lines(docs, min_docs, min_key_chars)
     return out.select(
         *[
-            F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text")).alias("text")
+            F.when(F.col("__ld_dropped") > 0, F.col("__ld_kept")).otherwise(F.col("text")).alias("text")
             if c == "text" else F.col(f"`{c}`")
             for c in docs.columns
         ]
@@ -123,9 +121,9 @@ def line_dedup_digest(docs: DataFrame) -> DataFrame:
     """Digest of the operator's result per document: counts and the hash of the kept text."""
     return drop_frequent_lines(docs.select("doc_id", "text")).select(
         "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        F.col("__ld_lines").alias("n_lines"),
+        F.col("__ld_dropped").alias("n_dropped"),
+        F.sha2("__ld_kept", 256).alias("kept_sha256"),
     )
 
 

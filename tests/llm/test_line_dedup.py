@@ -1,0 +1,57 @@
+import hashlib
+from collections import defaultdict
+
+from sortproof.llm.line_dedup import line_dedup_digest, remove_frequent_lines
+
+
+SPACES = " \t\n\x0b\f\r"
+
+
+def brute(rows, min_docs=10):
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(SPACES))
+
+    found = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if key(line):
+                found[key(line)].add((i, t))
+    gone = {k for k, v in found.items() if len(v) >= min_docs}
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if key(x) not in gone]
+        out.append((i, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def check(docs_df, rows):
+    got = [tuple(r) for r in line_dedup_digest(docs_df(rows)).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
+def test_against_brute_force(docs_df):
+    rows = [(i, f"Head\nline {i}\n  shared LINE\t\n\nÄ\n{'tail' if i % 2 else 'TAIL '}") for i in range(12)]
+    rows += [(20, None), (21, ""), (22, "\n\n"), (23, "shared line"), (24, "head\nHEAD\nown"), (None, "head\nx"), (None, "tail\ny")]
+    check(docs_df, rows)
+
+
+def test_nine_documents_are_not_enough_and_repeats_are_one_document(docs_df):
+    rows = [(i, f"same\n{i}") for i in range(9)]
+    check(docs_df, rows)
+    check(docs_df, rows + [rows[0]] * 5)
+    check(docs_df, rows + [(9, "same")])
+
+
+def test_many_lines_and_columns_kept(docs_df, clashing):
+    rows = [(i, "\n".join(["common"] * 50 + [f"{i}-{j}" for j in range(200)])) for i in range(11)]
+    df = docs_df(rows, clashing)
+    out = remove_frequent_lines(df)
+    assert out.columns == df.columns
+    assert {r["doc_id"]: r["text"] for r in out.collect()}[3] == "\n".join(f"3-{j}" for j in range(200))
+
+
+def test_empty_table_and_untouched_null(docs_df, spark):
+    empty = docs_df([(1, "x")]).limit(0)
+    assert line_dedup_digest(empty).count() == 0
+    assert remove_frequent_lines(docs_df([(1, None)])).first()["text"] is None
