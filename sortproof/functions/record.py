@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from sortproof.functions.hashing import java_string_hash
 
 
+# Fixed value: the ASCII characters that Java counts as white space.
+JAVA_SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f "
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -75,18 +79,19 @@ def csv_fields(value: Column | str = "value") -> Column:
 def parse_id(field: Column) -> Column:
     """Whitespace-stripped decimal int32, or NULL when it is not one.
 
-    Spark's string-to-int cast already trims surrounding whitespace and
-    accepts exactly ``[+-]?[0-9]+`` within the int32 range ('1.5', '5e1',
-    '0x1', '' and overflow give NULL), which is what the reference's
-    ``Integer.parseInt(s.strip())`` accepts for ASCII text.
+    White space is Java's (``strip()``) in ASCII; the rest must be
+    ``[+-]?[0-9]+`` within the int32 range.  Spark's own cast would also drop
+    control characters around the number, so the text is tested first.
     """
-    return field.try_cast("int")
+    text = F.btrim(field, F.lit(JAVA_SPACES))
+    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int"))
 
 
 def reject_reason_of(value: Column, parts: Column) -> Column:
-    """Reject reason from a line and its already split fields (see :func:`reject_reason`).
+    """Why a line cannot become a record (P3), from it and its split fields; NULL for a good line.
 
-    A blank line has no comma, so it always fails the field count; the
+    ``BLANK``: null or only whitespace; ``FIELD_COUNT``: not exactly four
+    fields; ``BAD_ID``: first field is not a 32-bit decimal integer.  A blank line has no comma, so it always fails the field count; the
     whitespace regex therefore runs only for lines that are bad anyway.
     """
     return (
@@ -96,15 +101,6 @@ def reject_reason_of(value: Column, parts: Column) -> Column:
     )
 
 
-def reject_reason(value: Column | str = "value") -> Column:
-    """Why a line cannot become a record (P3), NULL for a good line.
-
-    ``BLANK``: null or only whitespace; ``FIELD_COUNT``: not exactly four
-    fields; ``BAD_ID``: first field is not a 32-bit decimal integer.
-    """
-    return reject_reason_of(_c(value), csv_fields(value))
-
-
 def null_field_reason(name: Column | str = "name", address: Column | str = "address",
                       continent: Column | str = "continent") -> Column:
     """``NULL_FIELD`` when a string field of a record is null."""
@@ -113,17 +109,6 @@ def null_field_reason(name: Column | str = "name", address: Column | str = "addr
     )
 
 
-def parsed_columns(value: Column | str = "value") -> list[Column]:
-    """The four record columns of a line (valid only where the reason is NULL)."""
-    parts = csv_fields(value)
-    return [
-        parse_id(F.get(parts, 0)).alias("id"),
-        F.get(parts, 1).alias("name"),
-        F.get(parts, 2).alias("address"),
-        F.get(parts, 3).alias("continent"),
-    ]
-
-
 def strict_guard(reason: Column, value: Column | str = "value") -> Column:
     """Raise (fail the job) on a bad line, as the reference does."""
     return F.when(

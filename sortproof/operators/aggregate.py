@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sortproof.functions.record import row_hash, size_estimate, wrapping_sum
+from sortproof.schema import RECORD_COLUMNS
 
 
 def count_and_checksum(df: DataFrame, impl: str = "jvm") -> DataFrame:
@@ -26,21 +27,26 @@ def dataset_stats(datasets: dict[str, DataFrame], impl: str = "jvm") -> DataFram
     """``(dataset, n, checksum)`` for several datasets in one job (A3).
 
     The datasets are tagged and unioned; one grouped aggregation computes
-    all counts and checksums.  A null-hash marker row per dataset makes an
-    empty dataset show up with ``n = 0``.
+    all counts and checksums.  Every record carries a 1 that is summed, so a
+    record counts whatever its fields hold; ``null_rows`` is the number of
+    records with a null field (their hash is null and not in the checksum).
+    A marker row with a 0 makes an empty dataset show up with ``n = 0``.
     """
     if not datasets:
         raise ValueError("no datasets given")
     parts = []
     for name, df in datasets.items():
-        parts.append(df.select(F.lit(name).alias("dataset"), row_hash(impl=impl).alias("_h")))
+        has_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in RECORD_COLUMNS])
+        parts.append(df.select(F.lit(name).alias("dataset"), row_hash(impl=impl).alias("_h"),
+                               F.lit(1).alias("_one"), has_null.cast("int").alias("_null")))
     spark = next(iter(datasets.values())).sparkSession
     markers = spark.createDataFrame([(n,) for n in datasets], "dataset string").select(
-        "dataset", F.lit(None).cast("bigint").alias("_h")
+        "dataset", F.lit(None).cast("bigint").alias("_h"), F.lit(0).alias("_one"), F.lit(0).alias("_null")
     )
     tagged = reduce(lambda a, b: a.unionByName(b), parts + [markers])
     return tagged.groupBy("dataset").agg(
-        F.count("_h").alias("n"), wrapping_sum("_h").alias("checksum")
+        F.sum("_one").cast("bigint").alias("n"), wrapping_sum("_h").alias("checksum"),
+        F.sum("_null").cast("bigint").alias("null_rows"),
     )
 
 

@@ -16,6 +16,7 @@ from sortproof.functions.record import (
     to_csv_checked,
 )
 from sortproof.schema import RECORD_COLUMNS
+from sortproof.session import write_and_read
 
 
 def _split(lines: DataFrame, value_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -33,17 +34,19 @@ def _fields(parts: Column) -> list[Column]:
     ]
 
 
-def parse_strict(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_strict(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """CSV lines -> records; the job fails on the first bad line.
 
     The guard is folded into the ``id`` column so that column pruning can
-    never drop it.
+    never drop it (an action that needs no record column at all, such as a
+    bare count, parses nothing).  ``keep`` carries other input columns along,
+    e.g. the partition and offset of a log.
     """
-    s = _split(lines, value_col)
+    s = _split(lines, value_col, keep)
     v, p = F.col("_v"), F.col("_p")
     cols = _fields(p)
     guarded_id = F.coalesce(strict_guard(reject_reason_of(v, p), v).cast("int"), cols[0]).alias("id")
-    return s.select(guarded_id, *cols[1:])
+    return s.select(*keep, guarded_id, *cols[1:])
 
 
 def tag_lines(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -67,9 +70,8 @@ def parse_quarantine(lines: DataFrame, path: str | None = None,
     """
     tagged = tag_lines(lines, value_col)
     if path:
-        (tagged.withColumn("status", F.when(F.col("reason").isNull(), "ok").otherwise("rejected"))
-         .write.mode("overwrite").option("compression", "zstd").partitionBy("status").parquet(path))
-        tagged = lines.sparkSession.read.parquet(path)
+        tagged = tagged.withColumn("status", F.when(F.col("reason").isNull(), "ok").otherwise("rejected"))
+        tagged = write_and_read(tagged, path, partition_by=["status"])
         good = tagged.filter(F.col("status") == "ok")
         bad = tagged.filter(F.col("status") == "rejected")
     else:
@@ -78,11 +80,6 @@ def parse_quarantine(lines: DataFrame, path: str | None = None,
     return good.select(*RECORD_COLUMNS), bad.select("value", "reason")
 
 
-def reject_counts(rejects: DataFrame) -> DataFrame:
-    """Number of rejected lines per reason."""
-    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-
-
 def tag_records(df: DataFrame) -> DataFrame:
     """Typed records with ``reason`` (``NULL_FIELD`` or NULL) and ``value``, one pass.
 

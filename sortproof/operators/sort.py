@@ -22,6 +22,7 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ SortSpec = list[tuple[str, bool]]
 
 # Reference default for the run budget (150 MiB of estimated row bytes).
 DEFAULT_RUN_BUDGET = 157_286_400
-_OFFSET_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id
+_PARTITION_SHIFT = 33  # monotonically_increasing_id starts partition p at p * 2^33
 _DUP = "_copy"  # input partition id appended to every tie-broken sort key
 
 
@@ -54,21 +55,20 @@ def order_spec(key, columns: list[str] | None = None, tiebreak: bool = True) ->
     else:
         items = [key]
     if not items:
-        raise ValueError("Sort key must not be empty")
+        raise ValueError("no sort column given")
     spec: SortSpec = []
     for it in items:
         if isinstance(it, tuple):
             name, asc = it
         else:
             if it is None or not str(it).strip():
-                raise ValueError("Sort key must not be null or blank")
+                raise ValueError("a sort column has no name")
             s = str(it).strip()
             asc = not s.startswith("-")
             s = s.lstrip("+-")
             name = SORT_KEYS.get(s.upper(), s)
         if name not in columns:
-            valid = ", ".join(list(SORT_KEYS) + [c for c in columns if c.upper() not in SORT_KEYS])
-            raise ValueError(f"Unknown sort key '{it}'. Valid values: {valid}")
+            raise ValueError(f"cannot sort by {it!r}: the columns are {', '.join(columns)}")
         spec.append((name, bool(asc)))
     if tiebreak:
         used = {n for n, _ in spec}
@@ -148,10 +148,12 @@ def with_positions(sorted_df: DataFrame) -> DataFrame:
     """Tag each row of a just-sorted DataFrame with ``range_id`` and ``offset``.
 
     Must sit directly on top of the sort: both values come from the
-    partition the row is in and its place there.
+    partition the row is in and its place there.  The partition's start is
+    subtracted, so offsets stay right beyond 2^33 rows in one range.
     """
+    start = F.shiftleft(F.spark_partition_id().cast("bigint"), _PARTITION_SHIFT)
     return sorted_df.withColumn(RANGE_COL, F.spark_partition_id()).withColumn(
-        OFFSET_COL, F.monotonically_increasing_id().bitwiseAND(F.lit(_OFFSET_MASK))
+        OFFSET_COL, F.monotonically_increasing_id() - start
     )
 
 
@@ -177,7 +179,8 @@ def write_sorted(
 
 
 def write_sorted_observed(
-    df: DataFrame, key, path: str, num_ranges: int | None = None, impl: str = "jvm"
+    df: DataFrame, key, path: str, num_ranges: int | None = None, impl: str = "jvm",
+    java_string_order: bool = False,
 ) -> tuple[DataFrame, dict]:
     """:func:`write_sorted` that also returns ``{"rows", "checksum"}`` of what it wrote.
 
@@ -187,7 +190,8 @@ def write_sorted_observed(
     """
     from sortproof.operators.aggregate import observe_records, observed_metrics
 
-    s = range_sort(df, key, num_ranges) if num_ranges else total_sort(df, key)
+    s = (range_sort(df, key, num_ranges, java_string_order=java_string_order) if num_ranges
+         else total_sort(df, key, java_string_order=java_string_order))
     observed, obs = observe_records(with_positions(s), "sorted_write", impl=impl)
     table = write_and_read(observed, path)
     return table, observed_metrics(obs)
@@ -256,7 +260,7 @@ def empty_records(spark: SparkSession) -> DataFrame:
 
 
 def merge_sorted(spark: SparkSession, inputs: list[DataFrame], key, tiebreak: bool = True,
-                 num_ranges: int | None = None) -> DataFrame:
+                 num_ranges: int | None = None, java_string_order: bool = False) -> DataFrame:
     """Merge sorted inputs into one total order, duplicates kept.
 
     UNION ALL then one range sort; an empty list gives an empty result.
@@ -266,30 +270,45 @@ def merge_sorted(spark: SparkSession, inputs: list[DataFrame], key, tiebreak: bo
         return empty_records(spark).withColumn("pos", F.lit(None).cast("bigint"))
     cols = [c for c in inputs[0].columns if c not in (RANGE_COL, OFFSET_COL, "pos")]
     union = reduce(lambda a, b: a.unionByName(b), [d.select(*cols) for d in inputs])
-    return rank_records(union, key, num_ranges=num_ranges, tiebreak=tiebreak)
+    return rank_records(union, key, num_ranges=num_ranges, tiebreak=tiebreak, java_string_order=java_string_order)
 
 
 # --------------------------------------------------------------- O9
+def order_name(key, columns: list[str] | None = None) -> str:
+    """A name for an order that no other order has: ``id``, ``id_desc``, ``name__id_desc``."""
+    spec = order_spec(key, columns=columns, tiebreak=False)
+    return "__".join(name if asc else f"{name}_desc" for name, asc in spec)
+
+
+def order_names(keys, columns: list[str] | None = None) -> list[str]:
+    """Names of several orders; raises if two of them are the same order."""
+    names = [order_name(k, columns) for k in keys]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"the same order is asked for twice: {', '.join(twice)}")
+    return names
+
+
 def sort_many(
-    df: DataFrame, keys, out_root: str, num_ranges: int | None = None, land: bool = True
+    df: DataFrame, keys, out_root: str, num_ranges: int | None = None, land: bool = True,
+    java_string_order: bool = False,
 ) -> dict[str, DataFrame]:
-    """Several sorted outputs from one source.
+    """Several sorted outputs from one source (O9), by the names of their orders.
 
     The source is parsed/joined once and landed as Parquet, so each sort
     reads the landed columns instead of recomputing the input.
     """
     spark = df.sparkSession
-    src = df
-    if land:
-        landed = f"{out_root.rstrip('/')}/_landed"
-        df.write.mode("overwrite").option("compression", "zstd").parquet(landed)
-        src = spark.read.parquet(landed)
-    names = [order_spec(k, columns=src.columns, tiebreak=False)[0][0] for k in keys]
+    names = order_names(keys, df.columns)
+    src = write_and_read(df, f"{out_root.rstrip('/')}/_landed") if land else df
     # Independent jobs over the same landed input: run them concurrently so
     # one sort's stragglers do not leave the cluster idle.
     with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
         futures = {
-            name: pool.submit(write_sorted, src, k, f"{out_root.rstrip('/')}/{name}", num_ranges)
-            for name, k in zip(names, keys)
+            name: pool.submit(
+                inheritable_thread_target(spark)(write_sorted), src, k, f"{out_root.rstrip('/')}/{name}", num_ranges,
+                java_string_order=java_string_order,
+            )
+            for name, k in zip(names, keys, strict=True)
         }
         return {name: f.result() for name, f in futures.items()}

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sortproof.operators.parse import parse_strict
-from sortproof.operators.sort import order_spec, write_sorted_observed
+from sortproof.operators.sort import order_names, write_sorted_observed
 from sortproof.operators.verify import verify
+from sortproof.session import write_and_read
 from sortproof.sinks.log import write_keyed_log
 from sortproof.sources.generator import generate_records
 from sortproof.sources.log import read_log
@@ -42,16 +43,16 @@ def run_end_to_end(
         if n is None:
             raise ValueError("give source records or a row count n")
         source = generate_records(spark, n, seed=seed)
+    names = order_names(keys)
     out = out_dir.rstrip("/")
     write_keyed_log(source, "source", f"{out}/source", num_partitions=source_partitions)
     parsed = parse_strict(read_log(spark, f"{out}/source", topic="source"))
-    parsed.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/landed")
-    landed = spark.read.parquet(f"{out}/landed")
+    landed = write_and_read(parsed, f"{out}/landed")
     outputs, metrics = {}, {}
-    for k in keys:
-        name = order_spec(k, tiebreak=False)[0][0]
+    for name, k in zip(names, keys, strict=True):
         table, m = write_sorted_observed(landed, k, f"{out}/sorted/{name}", num_ranges)
         outputs[name] = (table, k)
         metrics[name] = m
-    report = verify(landed, outputs, exact=exact, fail=fail)
+    # against the source log itself, so that a lossy landing cannot go unseen
+    report = verify(parsed, outputs, exact=exact, fail=fail)
     return report, metrics

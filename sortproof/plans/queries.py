@@ -18,10 +18,11 @@ from sortproof.functions.hashing import java_string_hash
 from sortproof.functions.record import message_key, row_hash, size_estimate, to_csv
 from sortproof.operators.aggregate import (
     count_and_checksum,
+    counts_all_equal,
     dataset_stats,
     estimated_bytes,
 )
-from sortproof.operators.parse import encode_records, parse_strict, tag_lines
+from sortproof.operators.parse import encode_records, parse_quarantine, parse_strict, tag_lines
 from sortproof.operators.sort import (
     global_rank,
     merge_sorted,
@@ -31,10 +32,11 @@ from sortproof.operators.sort import (
     write_sorted,
     write_sorted_observed,
 )
-from sortproof.operators.verify import chunk_check, order_violations, verify
+from sortproof.operators.verify import chunk_check, order_violations, verify, verify_logs
 from sortproof.schema import RECORD_COLUMNS
-from sortproof.session import scratch_path
+from sortproof.session import scratch_path, write_and_read
 from sortproof.sinks.log import (
+    for_each_sorted_partition,
     read_runs,
     write_keyed_log,
     write_runs,
@@ -46,9 +48,8 @@ from sortproof.sources.log import read_lines, read_log, stream_log
 from sortproof.sources.tables import RECORDS_SQL, read_table, records_from_tables
 from sortproof.streaming.jobs import (
     land_and_sort,
-    order_monitor,
     run_complete,
-    run_update,
+    run_order_monitor,
     stream_stats,
 )
 
@@ -172,7 +173,7 @@ def q_parse_roundtrip(spark, sf):
 # Bad lines are planted by a rule on the id, so every row is still processed.
 
 def _planted_lines(df: DataFrame) -> DataFrame:
-    k = F.pmod(F.col("id"), F.lit(7))
+    k = F.pmod(F.col("id"), F.lit(11))
     line = to_csv()
     planted = (
         F.when(k == 0, F.lit("   "))
@@ -183,37 +184,49 @@ def _planted_lines(df: DataFrame) -> DataFrame:
                                "address", F.lit(","), "continent"))
         .when(k == 5, F.concat(F.col("id").cast("string"), F.lit(".5,"), "name", F.lit(","), "address",
                                F.lit(","), "continent"))
+        .when(k == 6, F.concat(F.lit("\x01"), line))
+        .when(k == 7, F.concat(F.col("id").cast("string"), F.lit("\x7f,"), "name", F.lit(","), "address",
+                               F.lit(","), "continent"))
+        .when(k == 8, F.concat(F.lit("\t+"), line))
+        .when(k == 9, F.concat(F.lit("\x1d"), line))
         .otherwise(line)
     )
     return df.select(planted.alias("value"))
 
 
 _PLANT_SQL = f"""
-  CASE ((id % 7) + 7) % 7
+  CASE ((id % 11) + 11) % 11
     WHEN 0 THEN '   '
     WHEN 1 THEN {CSV_SQL} || ',extra'
     WHEN 2 THEN 'x' || {CSV_SQL}
     WHEN 3 THEN CAST(id AS VARCHAR) || ',' || name || ',' || address
     WHEN 4 THEN ' ' || CAST(id AS VARCHAR) || ' ,' || name || ',' || address || ',' || continent
     WHEN 5 THEN CAST(id AS VARCHAR) || '.5,' || name || ',' || address || ',' || continent
+    WHEN 6 THEN chr(1) || {CSV_SQL}
+    WHEN 7 THEN CAST(id AS VARCHAR) || chr(127) || ',' || name || ',' || address || ',' || continent
+    WHEN 8 THEN chr(9) || '+' || {CSV_SQL}
+    WHEN 9 THEN chr(29) || {CSV_SQL}
     ELSE {CSV_SQL} END"""
 
 
-@query(
-    "parse_quarantine",
-    _with(
-        f"""
-SELECT value, reason, CASE WHEN reason IS NULL THEN CAST(CAST(trim(p[1]) AS INTEGER) AS VARCHAR) END AS id,
-       CASE WHEN reason IS NULL THEN p[2] END AS name
-FROM (
-  SELECT value, p,
+# Java's white space in ASCII
+_STRIP = "trim(p[1], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31))"
+_TAGGED_SQL = f"""(
+  SELECT value, p, {_STRIP} AS id_text,
     CASE WHEN value IS NULL OR regexp_full_match(value, '\\s*') THEN 'BLANK'
          WHEN len(p) <> 4 THEN 'FIELD_COUNT'
-         WHEN NOT regexp_full_match(trim(p[1]), '[+-]?[0-9]+') OR TRY_CAST(trim(p[1]) AS INTEGER) IS NULL
+         WHEN NOT regexp_full_match({_STRIP}, '[+-]?[0-9]+') OR TRY_CAST({_STRIP} AS INTEGER) IS NULL
            THEN 'BAD_ID'
     END AS reason
   FROM (SELECT value, string_split(value, ',') AS p FROM (SELECT {_PLANT_SQL} AS value FROM records))
 )"""
+
+
+@query(
+    "parse_quarantine",
+    _with(
+        "SELECT value, reason, CASE WHEN reason IS NULL THEN CAST(CAST(id_text AS INTEGER) AS VARCHAR) END AS id, "
+        f"CASE WHEN reason IS NULL THEN p[2] END AS name FROM {_TAGGED_SQL}"
     ),
 )
 def q_parse_quarantine(spark, sf):
@@ -228,6 +241,27 @@ def q_parse_quarantine(spark, sf):
                     F.when(good, F.col("name")).alias("name"))
 
 
+# Good lines as "field|field|..." and rejected ones with their reason, as one table.
+_OUTPUTS_SQL = f"""
+SELECT 'record' AS output, CAST(CAST(id_text AS INTEGER) AS VARCHAR) || '|' || p[2] || '|' || p[3] || '|' || p[4] AS value,
+       CAST(NULL AS VARCHAR) AS reason FROM {_TAGGED_SQL} WHERE reason IS NULL
+UNION ALL
+SELECT 'reject', value, reason FROM {_TAGGED_SQL} WHERE reason IS NOT NULL"""
+
+
+def _outputs(good: DataFrame, rejects: DataFrame) -> DataFrame:
+    fields = F.concat_ws("|", F.col("id").cast("string"), "name", "address", "continent")
+    records_ = good.select(F.lit("record").alias("output"), fields.alias("value"), F.lit(None).cast("string").alias("reason"))
+    return records_.unionByName(rejects.select(F.lit("reject").alias("output"), "value", "reason"))
+
+
+@query("quarantine_outputs", _with(_OUTPUTS_SQL))
+def q_quarantine_outputs(spark, sf):
+    """The two written outputs of the quarantine over lines with planted errors."""
+    good, rejects = parse_quarantine(_planted_lines(records(spark, sf)), scratch_path(spark, "quarantine"))
+    return _outputs(good, rejects)
+
+
 _NULLS_SQL = _with(
     """
 , planted AS (
@@ -305,12 +339,9 @@ def q_dataset_stats(spark, sf):
     sorted_id = write_sorted(src, "id", scratch_path(spark, "sorted"))
     stats = dataset_stats({"source": src, "roundtrip": parse_strict(encode_records(src)),
                            "sorted_id": sorted_id.select(*REC)})
-    # one row per dataset: the all-equal flag is a window over three rows
-    from pyspark.sql import Window
-
-    everyone = Window.partitionBy()
-    return stats.select("dataset", "n", "checksum",
-                        (F.min("n").over(everyone) == F.max("n").over(everyone)).alias("all_equal"))
+    stats = write_and_read(stats, scratch_path(spark, "stats"))  # three rows
+    equal = counts_all_equal(stats).first()["all_equal"]
+    return stats.select("dataset", "n", "checksum", F.lit(equal).alias("all_equal"))
 
 
 @query("estimated_bytes", _with(
@@ -374,8 +405,10 @@ def q_sorted_chunks(spark, sf):
     )
 
 
+SLICES = 7
 _SLICE_SQL = " UNION ALL ".join(
-    f"SELECT id, name, address, continent FROM records WHERE l_linenumber = {i}" for i in range(1, 8)
+    f"SELECT id, name, address, continent FROM records WHERE ((l_linenumber % {SLICES}) + {SLICES}) % {SLICES} = {i}"
+    for i in range(SLICES)
 )
 
 
@@ -387,16 +420,24 @@ _SLICE_SQL = " UNION ALL ".join(
     ),
 )
 def q_merge_sorted(spark, sf):
-    """Seven sorted inputs (one per line number) merged into one order."""
-    src = records(spark, sf, extra=("l_linenumber",))
-    inputs = [total_sort(src.filter(F.col("l_linenumber") == i).select(*REC), "name") for i in range(1, 8)]
-    return merge_sorted(spark, inputs, "name")
+    """Seven sorted inputs (line numbers modulo 7, so every row is in one) merged into one order.
+
+    The view is landed once and sorted inside each slice by one job; the
+    slices read back are the sorted inputs, merged by one range sort.
+    """
+    src = records(spark, sf, extra=("l_linenumber",)).withColumn("slice", F.pmod("l_linenumber", F.lit(SLICES)))
+    landed = write_and_read(
+        src.select("slice", *REC).sortWithinPartitions("slice", "name"), scratch_path(spark, "slices"),
+        partition_by=["slice"],
+    )
+    return merge_sorted(spark, [landed.filter(F.col("slice") == i).select(*REC) for i in range(SLICES)], "name")
 
 
 @query("range_sort", _ranked_sql(_order("name")))
 def q_range_sort(spark, sf):
-    """Explicit range partitioning into 8 ranges, local sorts, rank."""
-    table = write_sorted(records(spark, sf), "name", scratch_path(spark, "ranges"), num_ranges=8)
+    """Explicit range partitioning (two ranges per core), local sorts, rank."""
+    ranges = 2 * spark.sparkContext.defaultParallelism
+    table = write_sorted(records(spark, sf), "name", scratch_path(spark, "ranges"), num_ranges=ranges)
     return global_rank(table).select(*REC, "pos")
 
 
@@ -421,7 +462,21 @@ def q_three_sorts(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-# ----------------------------------------------------------- K1-K3
+_MANY = {"id": "id, name, address, continent", "id_desc": "id DESC, name, address, continent",
+         "name__id_desc": "name, id DESC, address, continent"}
+
+
+@query("many_orders", _with(" UNION ALL ".join(
+    f"SELECT '{k}' AS sort_key, id, name, address, continent, "
+    f"CAST(row_number() OVER (ORDER BY {o}) AS BIGINT) AS pos FROM records" for k, o in _MANY.items())))
+def q_many_orders(spark, sf):
+    """Orders that share their leading column, each an output of its own."""
+    outs = sort_many(records(spark, sf), ["id", "-id", ["name", "-id"]], scratch_path(spark, "many"))
+    parts = [global_rank(t).select(F.lit(k).alias("sort_key"), *REC, "pos") for k, t in outs.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# ----------------------------------------------------------- K1-K5
 @query("sink_keyed_log", _with(f"SELECT CAST(id AS VARCHAR) AS key, {CSV_SQL} AS value, 'source' AS topic FROM records"))
 def q_sink_keyed_log(spark, sf):
     """K1: keyed log table read back."""
@@ -454,6 +509,25 @@ def q_sink_sorted_log(spark, sf):
     return ranked.select("value", "pos")
 
 
+@query("callback_totals", _with("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(CAST(id AS BIGINT)) AS BIGINT) AS id_sum, "
+                                "CAST(0 AS BIGINT) AS disorder FROM records"))
+def q_callback_totals(spark, sf):
+    """K5: rows pushed to a callback range by range; what it saw, in accumulators."""
+    rows, id_sum, disorder = (spark.sparkContext.accumulator(0) for _ in range(3))
+
+    def take(part):
+        last = None
+        for r in part:
+            rows.add(1)
+            id_sum.add(r["id"])
+            disorder.add(int(last is not None and r["name"] < last))
+            last = r["name"]
+
+    table = write_sorted(records(spark, sf), "name", scratch_path(spark, "sorted"))
+    for_each_sorted_partition(total_sort(table.select(*REC), "name"), take)
+    return spark.createDataFrame([(rows.value, id_sum.value, disorder.value)], "rows bigint, id_sum bigint, disorder bigint")
+
+
 # ----------------------------------------------------------- V1-V6
 def _report_sql() -> str:
     stats = (f"SELECT CAST(count(*) AS BIGINT) AS n, {_wrap('sum(' + ROW_HASH_SQL + ')')} AS checksum "
@@ -514,11 +588,115 @@ def q_order_violations(spark, sf):
     return order_violations(planted.drop("pos"), "id", position=("pos2",), chunk_rows=4096)
 
 
+# Planted damage, by the row's rank in the order of id (every row is still processed).
+_DAMAGE = {
+    "dropped": ("id", "name", "continent", "pos", "pos % 1000 <> 500"),
+    "changed": ("id", "name", "CASE WHEN pos % 1000 = 7 THEN continent || 'x' ELSE continent END", "pos", "true"),
+    "swapped": ("id", "name", "continent",
+                "CASE WHEN pos % 1000 = 0 THEN pos + 1 WHEN pos % 1000 = 1 AND pos > 1 THEN pos - 1 ELSE pos END", "true"),
+    # id + 1 and the second-last letter one lower: the linear hash stays the same
+    "cancelled": ("CASE WHEN pos % 1000 = 11 THEN id + 1 ELSE id END",
+                  "CASE WHEN pos % 1000 = 11 THEN substring(name, 1, length(name) - 2) || "
+                  "chr({code}(substring(name, length(name) - 1, 1)) - 1) || substring(name, length(name), 1) ELSE name END",
+                  "continent", "pos", "true"),
+}
+
+
+def _damaged(name: str, code: str) -> str:
+    i, n, c, p, keep = (x.replace("{code}", code) for x in _DAMAGE[name])
+    return f"SELECT {i} AS id, {n} AS name, address, {c} AS continent, CAST({p} AS BIGINT) AS pos2 FROM ranked WHERE {keep}"
+
+
+# and copies of some rows without an id at the end
+_EXTRA = ("SELECT id, name, address, continent, pos AS pos2 FROM ranked UNION ALL SELECT CAST(NULL AS INT) AS id, name, "
+          "address, continent, pos + 1000000000000 AS pos2 FROM ranked WHERE pos % 5000 = 1")
+
+
+def _damage_sql() -> str:
+    ctes, rows = [], []
+    tables = {"source": "SELECT id, name, address, continent, pos AS pos2 FROM ranked",
+              **{n: _damaged(n, "ord") for n in _DAMAGE}, "extra": _EXTRA}
+    loose = "concat_ws(',', coalesce(CAST(id AS VARCHAR), ''), name, address, continent)"
+    for n, body in tables.items():
+        ctes.append(f"t_{n} AS ({body})")
+        ctes.append(f"s_{n} AS (SELECT count(*) AS n, {_wrap('sum(' + ROW_HASH_SQL + ')')} AS ck, "
+                    f"count(*) FILTER (WHERE id IS NULL) AS nulls FROM t_{n})")
+        rows.append(f"SELECT 'count', '{n}', CAST(n AS VARCHAR), false FROM s_{n}")
+        rows.append(f"SELECT 'integrity', '{n}', CAST(ck AS VARCHAR), ck = (SELECT ck FROM s_source) FROM s_{n}")
+        rows.append(f"SELECT 'null_fields', '{n}', 'rows=' || nulls, false FROM s_{n} WHERE nulls > 0")
+        if n == "source":
+            continue
+        ctes.append(f"l_{n} AS (SELECT id, {loose} AS line, row_number() OVER w AS position, lag(id) OVER w AS prev_id, "
+                    f"lag({loose}) OVER w AS prev_line FROM t_{n} WINDOW w AS (ORDER BY pos2))")
+        ctes.append(f"v_{n} AS (SELECT count(*) AS v, min(position) AS first, arg_min(prev_line, position) AS prev, "
+                    f"arg_min(line, position) AS curr FROM l_{n} WHERE prev_id > id)")
+        rows.append(f"SELECT 'order', '{n}', CASE WHEN v = 0 THEN 'violations=0, first=none' ELSE 'violations=' || v || "
+                    f"', first=' || first || ', prev=' || prev || ', curr=' || curr END, v = 0 FROM v_{n}")
+        ctes.append(f"d_{n} AS (SELECT coalesce(sum(abs(d)), 0) AS d FROM (SELECT sum(s) AS d FROM (SELECT id, name, address, "
+                    f"continent, 1 AS s FROM t_source UNION ALL SELECT id, name, address, continent, -1 FROM t_{n}) "
+                    "GROUP BY id, name, address, continent))")
+        rows.append(f"SELECT 'exact', '{n}', 'differing_rows=' || CAST(d AS BIGINT), d = 0 FROM d_{n}")
+    rows.append("SELECT 'all', '*', 'FAILED', false")
+    ranked = f"ranked AS (SELECT *, row_number() OVER (ORDER BY {_order('id')}) AS pos FROM records)"
+    return _with(", " + ", ".join([ranked, *ctes]) + " SELECT column0 AS \"check\", column1 AS dataset, column2 AS value, "
+                 "column3 AS passed FROM (" + " UNION ALL ".join(rows).replace("SELECT 'count', 'source',", "SELECT 'count' AS column0, 'source' AS column1,", 1)
+                 .replace("CAST(n AS VARCHAR), false FROM s_source", "CAST(n AS VARCHAR) AS column2, false AS column3 FROM s_source", 1) + ")")
+
+
+@query("verify_damaged", _damage_sql())
+def q_verify_damaged(spark, sf):
+    """V1-V5 on planted damage: dropped rows, extra rows without an id, changed and swapped rows, cancelling edits."""
+    ranked = write_and_read(rank_records(records(spark, sf), "id"), scratch_path(spark, "ranked"))
+    ranked.createOrReplaceTempView("ranked")
+    source = ranked.select(*REC)
+    outputs = {n: (spark.sql(_damaged(n, "ascii")), "id") for n in _DAMAGE}
+    outputs["extra"] = (spark.sql(_EXTRA), "id")
+    return verify(source, outputs, position=("pos2",), exact=True, chunk_rows=4096)
+
+
+@query("verify_logs", _report_sql())
+def q_verify_logs(spark, sf):
+    """V5 on existing logs: a keyed source log against one- and many-partition sorted logs."""
+    recs = records(spark, sf)
+    source = write_keyed_log(recs, "source", scratch_path(spark, "log"))
+    logs = {
+        "id": write_single_partition_log(recs, "id", "id", scratch_path(spark, "log1")),
+        "name": write_sorted_log(recs, "name", "name", scratch_path(spark, "logk3")),
+        "continent": write_sorted_log(recs, "continent", "continent", scratch_path(spark, "logk3")),
+    }
+    return verify_logs(source, {k: (log, k) for k, log in logs.items()}, exact=True)
+
+
+@query(
+    "chunk_violations",
+    _with(
+        f", ranked AS (SELECT id, CAST(row_number() OVER (ORDER BY {_order('id')}) - 1 AS BIGINT) AS p FROM records), "
+        "planted AS (SELECT id, p // 1000 AS chunk, CASE WHEN p % 100 = 50 THEN p + 1 WHEN p % 100 = 51 THEN p - 1 ELSE p END AS q "
+        "FROM ranked), lagged AS (SELECT *, lag(id) OVER (PARTITION BY chunk ORDER BY q) AS prev FROM planted) "
+        "SELECT chunk, count(*) AS rows, count(*) FILTER (WHERE prev > id) AS violations FROM lagged GROUP BY chunk"
+    ),
+)
+def q_chunk_violations(spark, sf):
+    """V6: rows and violations of every chunk, with planted swaps."""
+    p = F.col("pos") - 1
+    swapped = F.when(p % 100 == 50, p + 1).when(p % 100 == 51, p - 1).otherwise(p)
+    ranked = rank_records(records(spark, sf), "id")
+    runs = ranked.select(*REC, F.floor(p / 1000).alias("chunk"), swapped.alias("row_index"))
+    return chunk_check(runs, "id")
+
+
 # ----------------------------------------------------------- T1-T4
-def _multi_file_log(spark, sf, files: int = 8):
+def _multi_file_log(spark, sf, lines: bool = False):
     path = scratch_path(spark, "stream-log")
-    recs = records(spark, sf)
-    write_keyed_log(recs.repartition(files), "source", path, num_partitions=4)
+    recs = records(spark, sf).repartition(2 * spark.sparkContext.defaultParallelism)  # several micro-batches
+    if lines:  # with planted errors
+        row = F.monotonically_increasing_id()
+        write_and_read(
+            _planted_lines(recs).select(F.lit(None).cast("string").alias("key"), "value", F.lit("source").alias("topic"),
+                                        F.lit(0).alias("partition"), row.alias("offset"),
+                                        F.lit(None).cast("timestamp").alias("timestamp")), path)
+        return path
+    write_keyed_log(recs, "source", path, num_partitions=4)
     return path
 
 
@@ -536,21 +714,63 @@ def q_stream_stats(spark, sf):
 
 @query(
     "stream_order_monitor",
-    _with("SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS violations, "
+    _with("SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS rejected, CAST(0 AS BIGINT) AS violations, "
           "CAST(0 AS BIGINT) AS offset_regressions FROM records"),
 )
 def q_stream_order_monitor(spark, sf):
-    """Stateful order monitor over a range-partitioned sorted log stream."""
+    """Order monitor over a range-partitioned sorted log stream."""
     log_path = scratch_path(spark, "logk3")
-    write_sorted_log(records(spark, sf), "id", "id", log_path, num_ranges=4)
-    stream = stream_log(spark, log_path, max_files_per_trigger=1)
-    state = run_update(order_monitor(stream, "id"), scratch_path(spark, "monitor"),
-                       scratch_path(spark, "ckpt"), ["topic", "partition"])
-    return state.agg(
-        F.sum("n").cast("bigint").alias("n"),
-        F.sum("violations").cast("bigint").alias("violations"),
-        F.sum("offset_regressions").cast("bigint").alias("offset_regressions"),
-    )
+    write_sorted_log(records(spark, sf), "id", "id", log_path)
+    state = run_order_monitor(stream_log(spark, log_path, max_files_per_trigger=2), scratch_path(spark, "monitor"),
+                              scratch_path(spark, "ckpt"), "id")
+    return state.agg(*[F.sum(c).cast("bigint").alias(c) for c in ("n", "rejected", "violations", "offset_regressions")])
+
+
+# 16 log partitions by rank; every 500th pair swapped, every 700th line broken,
+# and the first row of the odd partitions lowered below the partition before.
+_MONITOR_SQL = _with(
+    f"""
+, ranked AS (
+  SELECT id, CAST(row_number() OVER (ORDER BY {_order('id')}) - 1 AS BIGINT) AS p, count(*) OVER () AS total FROM records
+), placed AS (
+  SELECT p * 16 // total AS part, id, p,
+         CASE WHEN p % 500 = 250 THEN p + 1 WHEN p % 500 = 251 THEN p - 1 ELSE p END AS off, p % 700 = 13 AS broken FROM ranked
+), lowered AS (
+  SELECT part, off, broken, CASE WHEN part % 2 = 1 AND off = min(off) OVER (PARTITION BY part) THEN -1 ELSE id END AS id FROM placed
+), good AS (
+  SELECT part, off, id, lag(id) OVER (ORDER BY part, off) AS prev FROM lowered WHERE NOT broken
+), found AS (
+  SELECT part, count(*) AS n, count(*) FILTER (WHERE prev > id) AS violations, min(off) FILTER (WHERE prev > id) AS first_violation
+  FROM good GROUP BY part
+)
+SELECT CAST(l.part AS INTEGER) AS partition, coalesce(any_value(f.n), 0) AS n, count(*) FILTER (WHERE broken) AS rejected,
+       coalesce(any_value(f.violations), 0) AS violations, coalesce(any_value(f.first_violation), -1) AS first_violation
+FROM lowered l LEFT JOIN found f ON l.part = f.part GROUP BY l.part"""
+)
+
+
+@query("stream_order_planted", _MONITOR_SQL)
+def q_stream_order_planted(spark, sf):
+    """Violations inside partitions and chunks, across micro-batches and across partitions, and broken lines."""
+    ranked = write_and_read(rank_records(records(spark, sf), "id"), scratch_path(spark, "ranked"))
+    total = ranked.count()
+    p = F.col("pos") - 1
+    part = F.floor(p * 16 / F.lit(total)).cast("int")
+    off = F.when(p % 500 == 250, p + 1).when(p % 500 == 251, p - 1).otherwise(p)
+    placed = ranked.select(*REC, part.alias("partition"), off.alias("offset"), (p % 700 == 13).alias("broken"))
+    starts = placed.groupBy("partition").agg(F.min("offset").alias("start"))  # 16 rows
+    low = (F.col("partition") % 2 == 1) & (F.col("offset") == F.col("start"))
+    line = F.concat_ws(",", F.when(low, F.lit(-1)).otherwise(F.col("id")).cast("string"), "name", "address", "continent")
+    log = placed.join(F.broadcast(starts), "partition").select(
+        F.lit(None).cast("string").alias("key"), F.when(F.col("broken"), F.lit("broken")).otherwise(line).alias("value"),
+        F.lit("id").alias("topic"), "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"))
+    path = scratch_path(spark, "planted-log")
+    # small files in order of offset: chunks and micro-batches end inside partitions
+    write_and_read(log.repartitionByRange(2 * spark.sparkContext.defaultParallelism, "partition", "offset"), path)
+    state = run_order_monitor(stream_log(spark, path, max_files_per_trigger=3), scratch_path(spark, "monitor"),
+                              scratch_path(spark, "ckpt"), "id", chunk_rows=1000)
+    first = F.coalesce("first_violation", F.lit(-1).cast("bigint")).alias("first_violation")
+    return state.select("partition", "n", "rejected", "violations", first)
 
 
 @query("stream_land_sort", _ranked_sql(_order("name")))
@@ -561,3 +781,12 @@ def q_stream_land_sort(spark, sf):
     table = land_and_sort(stream, scratch_path(spark, "landing"), scratch_path(spark, "ckpt"), "name",
                           scratch_path(spark, "sorted"))
     return global_rank(table).select(*REC, "pos")
+
+
+@query("stream_land_quarantine", _with(_OUTPUTS_SQL))
+def q_stream_land_quarantine(spark, sf):
+    """T4 in quarantine mode: a stream with broken lines, landed; good records sorted, the others with reasons."""
+    stream = stream_log(spark, _multi_file_log(spark, sf, lines=True), max_files_per_trigger=3)
+    table, rejects = land_and_sort(stream, scratch_path(spark, "landing"), scratch_path(spark, "ckpt"), "name",
+                                   scratch_path(spark, "sorted"), mode="quarantine")
+    return _outputs(table, rejects)

@@ -15,9 +15,6 @@ RECORD_SCHEMA = T.StructType(
 )
 RECORD_COLUMNS = [f.name for f in RECORD_SCHEMA.fields]
 
-# A CSV line, the wire form of a record.
-LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
-
 # Table stand-in for a message-log topic: the columns of Spark's Kafka
 # source, with strings instead of binary for key and value.
 LOG_SCHEMA = T.StructType(
@@ -31,15 +28,6 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
-# Lines that fail to parse, with the reason.
-REJECT_SCHEMA = T.StructType(
-    [
-        T.StructField("value", T.StringType(), True),
-        T.StructField("reason", T.StringType(), False),
-    ]
-)
-REJECT_REASONS = ("BLANK", "FIELD_COUNT", "BAD_ID", "NULL_FIELD")
-
 # One row per verification finding.
 REPORT_SCHEMA = T.StructType(
     [
@@ -59,15 +47,3 @@ OFFSET_COL = "offset"
 # the remaining record columns are appended as tie-breakers so that the
 # output (and every rank) is reproducible.
 SORT_KEYS = {"ID": "id", "NAME": "name", "CONTINENT": "continent"}
-
-
-def resolve_sort_key(key: str) -> str:
-    """Map a key name such as ``"Name"`` to its column; reject unknown keys."""
-    if key is None or not str(key).strip():
-        raise ValueError("Sort key must not be null or blank")
-    k = str(key).strip().upper()
-    if k not in SORT_KEYS:
-        raise ValueError(
-            f"Unknown sort key '{key}'. Valid values: {', '.join(SORT_KEYS)}"
-        )
-    return SORT_KEYS[k]

@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortproof.functions.record import message_key, to_csv, to_csv_checked
+from sortproof.functions.record import message_key, to_csv_checked
 from sortproof.operators.sort import (
     global_rank,
+    range_sort,
     sorted_chunks,
     total_sort,
+    with_positions,
     write_sorted,
 )
 from sortproof.schema import OFFSET_COL, RANGE_COL
@@ -73,18 +75,19 @@ def write_keyed_log(
 
 
 def write_sorted_log(
-    records: DataFrame, key, topic: str, path: str, num_ranges: int | None = None
+    records: DataFrame, key, topic: str, path: str, num_ranges: int | None = None,
+    java_string_order: bool = False,
 ) -> DataFrame:
     """Range-partitioned ordered log (K3): partition = range, offset = place in it.
 
     Partition ``i`` holds keys <= those of ``i+1``; concatenating partitions
     in order is the total order.  Null message keys, as in the reference.
     """
-    spark = records.sparkSession
-    table = write_sorted(records, key, scratch_path(spark, "sorted"), num_ranges)
-    out = table.select(
+    s = (range_sort(records, key, num_ranges, java_string_order=java_string_order) if num_ranges
+         else total_sort(records, key, java_string_order=java_string_order))
+    out = with_positions(s).select(  # a projection on top of the sort: one write
         F.lit(None).cast("string").alias("key"),
-        to_csv().alias("value"),
+        to_csv_checked().alias("value"),
         F.lit(topic).alias("topic"),
         F.col(RANGE_COL).cast("int").alias("partition"),
         F.col(OFFSET_COL).alias("offset"),
@@ -112,6 +115,7 @@ def write_single_partition_log(
     path: str | None = None,
     bootstrap_servers: str | None = None,
     options: dict | None = None,
+    java_string_order: bool = False,
 ) -> DataFrame | None:
     """Totally ordered one-partition log: offset = rank - 1 (K2).
 
@@ -121,19 +125,19 @@ def write_single_partition_log(
     by one task that reads only that range's files (:func:`range_files`).
     """
     spark = records.sparkSession
-    table = write_sorted(records, key, scratch_path(spark, "sorted"))
+    table = write_sorted(records, key, scratch_path(spark, "sorted"), java_string_order=java_string_order)
     if bootstrap_servers:
         files = range_files(table)
         for rid in sorted(files):  # key order; each job reads only its range's files
             part = (spark.read.parquet(*files[rid]).filter(F.col(RANGE_COL) == rid)
                     .repartition(1).sortWithinPartitions(OFFSET_COL))
-            _kafka_write(part.select(F.lit(None).cast("string").alias("key"), to_csv().alias("value")),
+            _kafka_write(part.select(F.lit(None).cast("string").alias("key"), to_csv_checked().alias("value")),
                          topic, bootstrap_servers, options)
         return None
     ranked = global_rank(table)
     out = ranked.select(
         F.lit(None).cast("string").alias("key"),
-        to_csv().alias("value"),
+        to_csv_checked().alias("value"),
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         (F.col("pos") - 1).alias("offset"),

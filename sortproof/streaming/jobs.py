@@ -9,45 +9,41 @@ offsets, so a rerun continues where the last one ended.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from sortproof._pickling import ship_by_value
-
-ship_by_value(__name__)
+from pyspark.sql.types import IntegerType, StructType
 
 from sortproof.functions.record import row_hash, wrap_int64
-from sortproof.operators.parse import tag_lines
-from sortproof.operators.sort import write_sorted
+from sortproof.operators.parse import parse_quarantine, parse_strict, tag_lines
+from sortproof.operators.sort import key_column, write_sorted
 
 
 # ------------------------------------------------------------------ T1
 def drain(stream_df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataFrame:
-    """Append everything available now to a table, then stop."""
+    """Append everything available now to a table, then stop.
+
+    Nothing there yet gives an empty table.
+    """
     q = (
         stream_df.writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
+        .option("compression", "zstd")
         .outputMode("append")
         .trigger(availableNow=True)
         .start(path)
     )
     q.awaitTermination()
-    return stream_df.sparkSession.read.format(fmt).load(path)
+    return _read_or_empty(stream_df.sparkSession, path, stream_df.schema, fmt)
 
 
-def _read_or_empty(stream_df: DataFrame, path: str, with_epoch: bool = False) -> DataFrame:
-    """The table a stream wrote, or an empty one if no micro-batch ever ran."""
-    spark = stream_df.sparkSession
+def _read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The table a stream wrote, or an empty one if no micro-batch ever ran; other errors are raised."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        schema = stream_df.schema
-        if with_epoch:
-            schema = schema.add("_epoch", "int")
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -83,116 +79,130 @@ def run_complete(stats_stream: DataFrame, path: str, checkpoint: str) -> DataFra
         .start()
     )
     q.awaitTermination()
-    return _read_or_empty(stats_stream, path)
+    return _read_or_empty(stats_stream.sparkSession, path, stats_stream.schema)
 
 
 # ------------------------------------------------------------------ T3
-MONITOR_OUTPUT = (
-    "topic string, partition int, n long, violations long, first_violation long, "
-    "offset_regressions long"
-)
-
+#: Consecutive offsets of a log partition that one window partition holds.
+MONITOR_CHUNK_ROWS = 1 << 20
 
-def _monitor_state_schema(key_type: str) -> str:
-    return (
-        f"n long, last_key {key_type}, last_offset long, violations long, "
-        "first_violation long, offset_regressions long"
-    )
 
+def _batch_chunks(batch: DataFrame, key: str, ascending: bool, chunk_rows: int, java_string_order: bool) -> DataFrame:
+    """One row per (topic, partition, chunk) of a micro-batch: counts, edges, violations inside.
 
-def _make_monitor(ascending: bool):
-    def step(group_key, batches, state):
-        topic, partition = group_key
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if state.exists:
-            n, last_key, last_off, viol, first, regress = state.get
-        else:
-            n, last_key, last_off, viol, first, regress = 0, None, None, 0, None, 0
-        if len(pdf):
-            pdf = pdf.sort_values("offset", kind="stable")
-            offs = pdf["offset"].to_numpy()
-            keys = pdf["k"].to_numpy(dtype=object)
-            if last_off is not None and offs[0] <= last_off:
-                regress += 1  # data arrived behind what was already checked
-            prev = np.empty(len(keys), dtype=object)
-            prev[0] = last_key
-            prev[1:] = keys[:-1]
-            has_prev = np.array([p is not None for p in prev])
-            bad = np.zeros(len(keys), dtype=bool)
-            if has_prev.any():
-                p, c = prev[has_prev], keys[has_prev]
-                bad[has_prev] = (p > c) if ascending else (p < c)
-            if bad.any():
-                viol += int(bad.sum())
-                if first is None:
-                    first = n + int(np.argmax(bad)) + 1
-            n += len(keys)
-            last_key, last_off = keys[-1], int(offs[-1])
-            last_key = last_key.item() if hasattr(last_key, "item") else last_key
-        state.update((n, last_key, last_off, viol, first, regress))
-        yield pd.DataFrame(
-            [{"topic": topic, "partition": int(partition), "n": n, "violations": viol,
-              "first_violation": first, "offset_regressions": regress}]
-        )
-
-    return step
-
-
-def order_monitor(log_stream: DataFrame, key: str = "id", ascending: bool = True) -> DataFrame:
-    """Per log partition: rows seen and order violations on ``key``.
-
-    State per (topic, partition) is constant: count, last key, last offset,
-    violation count, first violation (1-based position in the partition).
-    A micro-batch is sorted by offset; an offset that goes back behind the
-    state is counted in ``offset_regressions`` (file streams do not promise
-    offset order across files).  Each group holds one micro-batch of one
-    partition - bounded by the trigger's rate limit (``stream_log`` sets one
-    by default).
+    All on the JVM: one shuffle by chunk for the neighbour comparison, and
+    the aggregation of a chunk in place.  Lines that don't parse are counted
+    as rejected and have no key to compare.
     """
-    parsed = tag_lines(log_stream, keep=("topic", "partition", "offset"))
-    key_type = dict(parsed.dtypes)[key]
-    # lines that do not parse have no key to compare; they are left out
-    # (the stats stream counts them as rejected)
-    keyed = parsed.filter(F.col("reason").isNull()).select("topic", "partition", "offset", F.col(key).alias("k"))
-    return keyed.groupBy("topic", "partition").applyInPandasWithState(
-        _make_monitor(ascending),
-        outputStructType=MONITOR_OUTPUT,
-        stateStructType=_monitor_state_schema(key_type),
-        outputMode="update",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+    tagged = tag_lines(batch, keep=("topic", "partition", "offset"))
+    k = key_column(tagged, key, java_string_order)
+    rows = tagged.select(
+        "topic", "partition", "offset", F.expr(f"offset div {int(chunk_rows)}").alias("chunk"),
+        F.col("reason").isNotNull().alias("rejected"), F.when(F.col("reason").isNull(), k).alias("k"),
+    )
+    good = Window.partitionBy("topic", "partition", "chunk").orderBy("rejected", "offset")  # good lines first
+    rows = rows.withColumn("prev", F.lag("k").over(good))
+    later, earlier = (F.col("k"), F.col("prev")) if ascending else (F.col("prev"), F.col("k"))
+    rows = rows.withColumn("bad", F.coalesce(~F.col("rejected") & (earlier > later), F.lit(False)))
+    place = F.when(~F.col("rejected"), F.col("offset"))
+    return rows.groupBy("topic", "partition", "chunk").agg(
+        F.count_if(~F.col("rejected")).alias("n"), F.count_if("rejected").alias("rejected"),
+        F.count_if("bad").alias("bad"), F.min(F.when(F.col("bad"), F.col("offset"))).alias("first_bad"),
+        F.min(place).alias("first_offset"), F.max(place).alias("last_offset"),
+        F.min_by("k", place).alias("first_key"), F.max_by("k", place).alias("last_key"),
     )
 
 
-def run_update(stream_df: DataFrame, path: str, checkpoint: str, keys: list[str]) -> DataFrame:
-    """Run an update-mode stream to the end; return the latest row per key."""
+def run_order_monitor(
+    log_stream: DataFrame, path: str, checkpoint: str, key: str = "id", ascending: bool = True,
+    chunk_rows: int = MONITOR_CHUNK_ROWS, java_string_order: bool = False,
+) -> DataFrame:
+    """Check a log stream's order on ``key`` as it arrives; the state so far per log partition.
 
+    Each micro-batch is reduced to one row per (topic, partition, chunk of
+    offsets) and written under ``path`` per epoch, so a retried micro-batch
+    replaces its own rows.  The result joins the chunks: see
+    :func:`order_state`.
+    """
     def _write(batch: DataFrame, epoch: int) -> None:
-        # one folder per epoch, overwritten: a retried micro-batch (foreachBatch
-        # is at-least-once) replaces its own output instead of adding a copy
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/_epoch={epoch}")
+        chunks = _batch_chunks(batch, key, ascending, chunk_rows, java_string_order)
+        chunks.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/epoch={epoch}")
 
     q = (
-        stream_df.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(_write)
-        .trigger(availableNow=True)
-        .start()
+        log_stream.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(_write).trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    t = _read_or_empty(stream_df, path, with_epoch=True)
-    latest = t.groupBy(*keys).agg(F.max("_epoch").alias("_epoch"))
-    return t.join(latest, [*keys, "_epoch"]).drop("_epoch")
+    spark = log_stream.sparkSession
+    empty = spark.createDataFrame([], log_stream.schema)
+    schema = _batch_chunks(empty, key, ascending, chunk_rows, java_string_order).schema.add("epoch", IntegerType())
+    return order_state(_read_or_empty(spark, path, schema), ascending)
+
+
+def order_state(chunks: DataFrame, ascending: bool = True) -> DataFrame:
+    """Per log partition: ``n, rejected, violations, first_violation, offset_regressions``.
+
+    ``chunks`` has a row per chunk and epoch.  In order of offsets, the first
+    key of a chunk is compared with the last key before it; the first key of
+    a partition with the last key of the partitions before it (a sorted log
+    is its partitions one after the other).  Where the offsets of two epochs
+    interleave, their keys can't be compared any more; this and data that
+    arrive behind offsets already seen are counted in ``offset_regressions``.
+    ``first_violation`` is the offset of the first violating row.
+    """
+    parts = ["topic", "partition"]
+
+    def wrong(earlier: Column, later: Column) -> Column:
+        return F.coalesce((earlier > later) if ascending else (earlier < later), F.lit(False))
+
+    place = Window.partitionBy(*parts).orderBy("first_offset", "last_offset")
+    arrival = Window.partitionBy(*parts).orderBy("epoch", "first_offset").rowsBetween(Window.unboundedPreceding, -1)
+    full = chunks.filter(F.col("n") > 0)
+    edges = full.select(
+        "*", F.lag("last_key").over(place).alias("before"), F.lag("last_offset").over(place).alias("upto"),
+        F.max("last_offset").over(arrival).alias("seen"),
+    )
+    apart = F.coalesce(F.col("upto") < F.col("first_offset"), F.lit(False))
+    edge = apart & wrong(F.col("before"), F.col("first_key"))
+    by_part = edges.groupBy(*parts).agg(
+        F.sum("n").alias("n"), (F.sum("bad") + F.count_if(edge)).alias("inside"),
+        F.min(F.least("first_bad", F.when(edge, F.col("first_offset")))).alias("first_inside"),
+        F.count_if(F.col("seen") >= F.col("first_offset")).alias("offset_regressions"),
+        F.min_by("first_key", "first_offset").alias("first_key"), F.max_by("last_key", "last_offset").alias("last_key"),
+        F.min("first_offset").alias("first_offset"),
+    )
+    in_order = Window.partitionBy("topic").orderBy("partition")  # one row per log partition
+    across = wrong(F.lag("last_key").over(in_order), F.col("first_key"))
+    out = by_part.withColumn("_across", across).select(
+        *parts, "n", (F.col("inside") + F.col("_across").cast("bigint")).alias("violations"),
+        F.when(F.col("_across"), F.col("first_offset")).otherwise(F.col("first_inside")).alias("first_violation"),
+        "offset_regressions",
+    )
+    rejected = chunks.groupBy(*parts).agg(F.sum("rejected").alias("rejected"))
+    zero = F.lit(0).cast("bigint")
+    return rejected.join(out, parts, "left").select(
+        *parts, F.coalesce("n", zero).alias("n"), "rejected", F.coalesce("violations", zero).alias("violations"),
+        "first_violation", F.coalesce("offset_regressions", zero).alias("offset_regressions"),
+    )
 
 
 # ------------------------------------------------------------------ T4
 def land_and_sort(
-    log_stream: DataFrame, landing: str, checkpoint: str, key, out_path: str, num_ranges: int | None = None
-) -> DataFrame:
+    log_stream: DataFrame, landing: str, checkpoint: str, key, out_path: str, num_ranges: int | None = None,
+    mode: str = "failfast", java_string_order: bool = False,
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Land a stream (append), then sort the landed data in batch (T4).
 
     A streaming ``orderBy`` exists only after a complete-mode aggregation,
-    so the total order is a batch job over the landed table.
+    so the total order is a batch job over the landed table.  ``failfast``
+    fails the job on a line that doesn't parse, as the batch sort does;
+    ``quarantine`` sorts the good lines and also returns the others with
+    their reasons (written under ``out_path`` + ``_parsed``).
     """
+    if mode not in ("failfast", "quarantine"):
+        raise ValueError(f"mode must be failfast or quarantine, not {mode!r}")
     landed = drain(log_stream, landing, checkpoint)
-    rec = tag_lines(landed).filter(F.col("reason").isNull()).select("id", "name", "address", "continent")
-    return write_sorted(rec, key, out_path, num_ranges)
+    if mode == "failfast":
+        return write_sorted(parse_strict(landed), key, out_path, num_ranges, java_string_order=java_string_order)
+    good, rejects = parse_quarantine(landed, f"{out_path.rstrip('/')}_parsed")
+    return write_sorted(good, key, out_path, num_ranges, java_string_order=java_string_order), rejects

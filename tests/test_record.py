@@ -147,3 +147,21 @@ def test_text_lines_skip_empty_lines(spark, tmp_path):
     p.write_text("1,a,b,c\n\n2,d,e,f\n\n")
     rows = parse_strict(read_lines(spark, str(p))).collect()
     assert sorted(r.id for r in rows) == [1, 2]
+
+
+def test_ids_with_control_characters(spark):
+    from sortproof.operators.parse import tag_lines
+
+    good = ["5", " 5", "\t+5\x1f", "-5 ", "\x1c5\x1d"]
+    bad = ["\x015", "5\x00", "\x7f5", "5\x08", "+ 5", "5 ", "++5", "5\n6"]
+    rows = [(f"{x},n,a,c",) for x in good + bad]
+    got = {r.value: r.reason for r in tag_lines(spark.createDataFrame(rows, "value string")).collect()}
+    assert all(got[f"{x},n,a,c"] is None for x in good)
+    assert all(got[f"{x},n,a,c"] == "BAD_ID" for x in bad)
+
+
+def test_quarantine_of_nothing(spark, tmp_path):
+    from sortproof.operators.parse import parse_quarantine
+
+    good, rejects = parse_quarantine(spark.createDataFrame([], "value string"), str(tmp_path / "q"))
+    assert good.count() == rejects.count() == 0

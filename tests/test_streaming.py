@@ -1,13 +1,15 @@
 """Streaming landing, running stats and the stateful order monitor."""
 
+import random
 import uuid
 
+import pytest
 
 from sortproof.operators.aggregate import count_and_checksum
 from sortproof.schema import LOG_SCHEMA
 from sortproof.sinks.log import write_keyed_log
 from sortproof.sources.log import stream_log
-from sortproof.streaming.jobs import land_and_sort, order_monitor, run_complete, run_update, stream_stats
+from sortproof.streaming.jobs import land_and_sort, run_complete, run_order_monitor, stream_stats
 
 
 def _p(tmp_path, name):
@@ -41,10 +43,41 @@ def test_order_monitor_finds_planted_violation(spark, tmp_path):
         [(0, 2, 3), (0, 3, 2), (1, 1, 11)],   # violation in partition 0 at position 4
         [(0, 4, 5), (1, 2, 9), (1, 3, None)],  # violation in partition 1 at position 3; bad line skipped
     ])
-    res = run_update(order_monitor(stream_log(spark, log, max_files_per_trigger=1), "id"),
-                     _p(tmp_path, "mon"), _p(tmp_path, "ck"), ["topic", "partition"])
-    got = {r.partition: (r.n, r.violations, r.first_violation, r.offset_regressions) for r in res.collect()}
-    assert got == {0: (5, 1, 4, 0), 1: (3, 1, 3, 0)}
+    res = run_order_monitor(stream_log(spark, log, max_files_per_trigger=1), _p(tmp_path, "mon"), _p(tmp_path, "ck"), "id")
+    got = {r.partition: (r.n, r.rejected, r.violations, r.first_violation, r.offset_regressions) for r in res.collect()}
+    # partition 1 starts with 10 after partition 0 has ended with 5
+    assert got == {0: (5, 0, 1, 3, 0), 1: (3, 1, 1, 2, 0)}
+
+
+def _monitor(spark, tmp_path, batches, **options):
+    log = _p(tmp_path, "mlog")
+    _write_log(spark, log, batches)
+    res = run_order_monitor(stream_log(spark, log, max_files_per_trigger=1), _p(tmp_path, "mon"), _p(tmp_path, "ck"), **options)
+    return {r.partition: (r.n, r.rejected, r.violations, r.first_violation, r.offset_regressions) for r in res.collect()}
+
+
+def test_order_monitor_compares_partitions(spark, tmp_path):
+    got = _monitor(spark, tmp_path, [[(0, 0, 10), (0, 1, 20), (1, 0, 1), (1, 1, 5)]])
+    assert got == {0: (2, 0, 0, None, 0), 1: (2, 0, 1, 0, 0)}
+    # a partition without one good line doesn't hide the break
+    got = _monitor(spark, tmp_path, [[(0, 0, 10), (1, 0, None), (2, 0, 9)]])
+    assert got == {0: (1, 0, 0, None, 0), 1: (0, 1, 0, None, 0), 2: (1, 0, 1, 0, 0)}
+
+
+def test_late_file_of_a_sorted_log_is_no_violation(spark, tmp_path):
+    got = _monitor(spark, tmp_path, [[(0, 0, 1), (0, 1, 2)], [(0, 4, 5), (0, 5, 6)], [(0, 2, 3), (0, 3, 4)]])
+    assert got == {0: (6, 0, 0, None, 1)}
+
+
+def test_order_monitor_small_chunks_against_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    ids = sorted(rng.randrange(500) for _ in range(400))
+    for p in rng.sample(range(1, 400), 12):
+        ids[p], ids[p - 1] = ids[p - 1], ids[p]
+    rows = [(0, i, v) for i, v in enumerate(ids)]
+    got = _monitor(spark, tmp_path, [rows[i : i + 90] for i in range(0, 400, 90)], chunk_rows=7)
+    bad = [i for i in range(1, 400) if ids[i - 1] > ids[i]]
+    assert got == {0: (400, 0, len(bad), bad[0], 0)}
 
 
 def test_land_and_sort(spark, records_df, tmp_path):
@@ -62,9 +95,12 @@ def test_empty_stream_gives_empty_results(spark, tmp_path):
     spark.createDataFrame([], LOG_SCHEMA).write.parquet(log)
     stats = run_complete(stream_stats(stream_log(spark, log)), _p(tmp_path, "o"), _p(tmp_path, "ck"))
     assert stats.count() == 0
-    mon = run_update(order_monitor(stream_log(spark, log), "id"), _p(tmp_path, "m"), _p(tmp_path, "ck2"),
-                     ["topic", "partition"])
-    assert mon.count() == 0
+    assert run_order_monitor(stream_log(spark, log), _p(tmp_path, "m"), _p(tmp_path, "ck2")).count() == 0
+    t = land_and_sort(stream_log(spark, log), _p(tmp_path, "l"), _p(tmp_path, "ck3"), "id", _p(tmp_path, "s"))
+    assert t.count() == 0
+    t, rejects = land_and_sort(stream_log(spark, log), _p(tmp_path, "l"), _p(tmp_path, "ck4"), "id", _p(tmp_path, "s"),
+                               mode="quarantine")
+    assert t.count() == rejects.count() == 0
 
 
 def test_drain_appends_everything_then_stops(spark, records_df, tmp_path):
@@ -77,3 +113,24 @@ def test_drain_appends_everything_then_stops(spark, records_df, tmp_path):
     assert t.count() == 300
     # a second drain with the same checkpoint finds nothing new
     assert drain(stream_log(spark, log, max_files_per_trigger=1), out, ck).count() == 300
+
+
+def test_bad_lines_fail_or_go_to_quarantine(spark, tmp_path):
+    log = _p(tmp_path, "log")
+    _write_log(spark, log, [[(0, 0, 3), (0, 1, None)], [(0, 2, 1)]])
+    with pytest.raises(Exception, match="Bad record line"):
+        land_and_sort(stream_log(spark, log), _p(tmp_path, "l"), _p(tmp_path, "ck"), "id", _p(tmp_path, "s"))
+    t, rejects = land_and_sort(stream_log(spark, log), _p(tmp_path, "l"), _p(tmp_path, "ck"), "id", _p(tmp_path, "s"),
+                               mode="quarantine")
+    assert [r.id for r in t.orderBy("range_id", "offset").collect()] == [1, 3]
+    assert [tuple(r) for r in rejects.collect()] == [("garbage", "FIELD_COUNT")]
+    with pytest.raises(ValueError, match="mode"):
+        land_and_sort(stream_log(spark, log), "x", "y", "id", "z", mode="skip")
+
+
+def test_only_a_missing_table_counts_as_empty(spark, tmp_path):
+    from sortproof.streaming.jobs import _read_or_empty
+
+    assert _read_or_empty(spark, str(tmp_path / "none"), LOG_SCHEMA).count() == 0
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        _read_or_empty(spark, str(tmp_path), LOG_SCHEMA, "no.such.format")
