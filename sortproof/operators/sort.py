@@ -18,7 +18,6 @@ back from the written table, never recomputed.
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -232,26 +231,32 @@ def rank_records(
 
 
 # --------------------------------------------------------------- O5
-def chunk_count(df: DataFrame, budget_bytes: int = DEFAULT_RUN_BUDGET) -> int:
-    """Number of chunks so that each holds about ``budget_bytes`` estimated bytes (A5)."""
+def chunk_rows_for(df: DataFrame, budget_bytes: int = DEFAULT_RUN_BUDGET) -> int:
+    """Rows per chunk so that a chunk holds about ``budget_bytes`` estimated bytes (A5)."""
     if budget_bytes <= 0:
         raise ValueError("budget_bytes must be positive")
-    total = df.agg(F.sum(size_estimate()).alias("b")).first()["b"] or 0
-    return max(1, math.ceil(total / budget_bytes))
+    mean = df.agg(F.avg(size_estimate()).alias("m")).first()["m"]
+    return max(1, int(budget_bytes / mean)) if mean else 1
 
 
 def sorted_chunks(
     df: DataFrame, key, budget_bytes: int = DEFAULT_RUN_BUDGET, tiebreak: bool = True,
-    num_chunks: int | None = None,
+    chunk_rows: int | None = None, java_string_order: bool = False,
 ) -> tuple[DataFrame, int]:
     """Cut the input into chunks of about ``budget_bytes`` and sort each.
 
-    Round-robin distribution gives equal chunks whatever the key skew;
-    Spark makes it deterministic on retry.  The budget is a mean, not a cap.
+    Every input partition is cut in order of arrival into chunks of
+    ``chunk_rows`` rows (the last one shorter) and sorted by (chunk, key):
+    nothing is shuffled, as a task that fills a buffer and spills it would
+    do.  Returns the rows, chunk after chunk in each partition, and
+    ``chunk_rows``; the budget is a mean, not a cap.
     """
-    n = num_chunks or chunk_count(df, budget_bytes)
-    exprs = sort_exprs(df, _spec(df, key, tiebreak))
-    return df.repartition(n).sortWithinPartitions(*exprs), n
+    n = chunk_rows or chunk_rows_for(df, budget_bytes)
+    exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
+    start = F.shiftleft(F.spark_partition_id().cast("bigint"), _PARTITION_SHIFT)
+    place = F.monotonically_increasing_id() - start
+    cut = df.withColumn("_chunk", F.floor(place / F.lit(n)))
+    return cut.sortWithinPartitions("_chunk", *exprs).drop("_chunk"), n
 
 
 # --------------------------------------------------------------- O6

@@ -147,20 +147,24 @@ def write_single_partition_log(
 
 
 def write_runs(
-    records: DataFrame, key, path: str, budget_bytes: int, fmt: str = "parquet",
-    num_chunks: int | None = None,
+    records: DataFrame, key, path: str, budget_bytes: int, fmt: str = "parquet", chunk_rows: int | None = None,
+    java_string_order: bool = False,
 ) -> int:
-    """Sorted bounded chunks, one zero-padded part file per chunk (K4).
+    """Sorted bounded chunks, one part file per chunk (K4).
 
     ``fmt="text"`` writes CSV lines (the reference's run files);
     ``"parquet"`` keeps ``_metadata.row_index`` usable for the chunk check.
-    Returns the number of chunks.
+    A task writes the chunks of its input partition one after the other and
+    begins a new file after ``chunk_rows`` rows.  Returns ``chunk_rows``.
     """
-    chunks, n = sorted_chunks(records, key, budget_bytes, num_chunks=num_chunks)
+    chunks, n = sorted_chunks(records, key, budget_bytes, chunk_rows=chunk_rows, java_string_order=java_string_order)
+    if fmt == "text":
+        chunks = chunks.select(to_csv_checked().alias("value"))
+    w = chunks.write.mode("overwrite").option("maxRecordsPerFile", n)
     if fmt == "text":
-        chunks.select(to_csv_checked().alias("value")).write.mode("overwrite").text(path)
+        w.text(path)
     else:
-        chunks.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        w.option("compression", "zstd").parquet(path)
     return n
 
 
