@@ -31,6 +31,7 @@ def run_end_to_end(
     num_ranges: int | None = None,
     exact: bool = False,
     fail: bool = False,
+    java_string_order: bool = False,
 ) -> tuple[DataFrame, dict]:
     """Run the whole job; return the verification report and per-phase metrics.
 
@@ -50,9 +51,10 @@ def run_end_to_end(
     landed = write_and_read(parsed, f"{out}/landed")
     outputs, metrics = {}, {}
     for name, k in zip(names, keys, strict=True):
-        table, m = write_sorted_observed(landed, k, f"{out}/sorted/{name}", num_ranges)
+        table, m = write_sorted_observed(landed, k, f"{out}/sorted/{name}", num_ranges,
+                                         java_string_order=java_string_order)
         outputs[name] = (table, k)
         metrics[name] = m
     # against the source log itself, so that a lossy landing cannot go unseen
-    report = verify(parsed, outputs, exact=exact, fail=fail)
+    report = verify(parsed, outputs, exact=exact, fail=fail, java_string_order=java_string_order)
     return report, metrics
