@@ -17,15 +17,18 @@ maxima) is 0.8 or more; the classes are the connected components of the links.
    bits and by the weight in steps of ``STEP``; ties go to the shingle's hash.
 3. Documents with equal texts are one node.  Nodes that agree in a band meet
    in a bucket.  A bucket's pairs aren't enumerated: first each node is
-   verified against the leaders of its buckets that it shares most bands with,
-   and verified links give components.  Then only buckets that still hold
-   several components are looked at, and only members outside the bucket's
-   largest component are compared, in tiles of bounded size, with members of
-   other components; of these, pairs whose sampled similarity reaches
-   ``ESTIMATE_FROM`` are verified exactly.  So a pair that shares a bucket is
-   either verified, or in one component already, or clearly dissimilar.
-4. Verification groups pairs into tiles of bounded text, so each text travels
-   once per tile and not once per pair.
+   verified against the leaders of its buckets that it shares most bands with.
+   A bucket's leader is the member whose buckets are the fullest, which in a
+   group of changed copies is the original or the copy nearest to it.
+   Verified links give components.
+4. Then only buckets that still hold several components are looked at, and only
+   members outside the largest component of their candidate group are compared,
+   by samples and in tiles of bounded size, with members of other components.
+   Tiles of texts that hold a pair whose sampled similarity reaches
+   ``ESTIMATE_FROM`` are verified exactly, as a sparse matrix per pair of
+   tiles; only links that join components leave a task.  So a pair that shares
+   a bucket is either verified, or in one component already, or clearly
+   dissimilar.
 
 At similarity 0.8, 20 bands of 5 miss a pair with a probability of 0.0004, and
 three standard errors lie between 0.8 and ``ESTIMATE_FROM``.
@@ -279,46 +282,104 @@ def _verify(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, weights: Weigh
     return write_and_read(links, scratch_path(pairs.sparkSession, "near-links"))
 
 
-def _tiles(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """``_key, tile``: nodes of a candidate group in tiles of about ``TILE_SHINGLES``."""
+def _tiles(nodes: DataFrame, groups: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``_key, label, rest, tile``: nodes of a candidate group in tiles of about ``TILE_SHINGLES``.
+
+    ``rest`` marks nodes outside their group's largest component; they have
+    tiles of their own.
+    """
     grouped = groups.select(F.col("node").alias("_key"), F.col("label").alias("g")).join(nodes.select("_key", "n"), "_key")
-    sizes = grouped.groupBy("g").agg(F.ceil(F.sum("n") / TILE_SHINGLES).alias("tiles"))
+    if labels is None:
+        grouped = grouped.select("*", F.col("_key").alias("label"), F.lit(False).alias("rest"))
+    else:
+        labelled = grouped.join(labels.select(F.col("node").alias("_key"), "label"), "_key", "left")
+        labelled = labelled.withColumn("label", F.coalesce("label", "_key"))
+        main = (
+            labelled.groupBy("g", "label").agg(F.count("*").alias("c"))
+            .groupBy("g").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+        )
+        grouped = labelled.join(main, "g").withColumn("rest", F.col("label") != F.col("main"))
+    sizes = grouped.groupBy("g", "rest").agg(F.ceil(F.sum("n") / TILE_SHINGLES).alias("tiles"))
     chunk = F.pmod(F.xxhash64("_key"), F.greatest(F.lit(1), F.col("tiles")))
-    return grouped.join(sizes, "g").select("_key", F.xxhash64("g", chunk).alias("tile"))
+    return grouped.join(sizes, ["g", "rest"]).select("_key", "label", "rest", F.xxhash64("g", "rest", chunk).alias("tile"))
+
+
+def _tile_links(table: pa.Table, weights: Weights, similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links that join components among the texts of two tiles: ``_key, label, rest, _text``."""
+    keys, first = np.unique(np.array(table["_key"].to_pylist(), object), return_index=True)
+    table = table.take(pa.array(first))
+    label, rest = table["label"].to_pylist(), table["rest"].to_pylist()
+    row, values, counts = shingles(table["_text"].combine_chunks())
+    w = weights(values, counts)
+    _, local = np.unique(values, return_inverse=True)
+    at = np.searchsorted(row, np.arange(len(keys)))
+    total = np.add.reduceat(w, at)  # every text here has shingles
+    ends = np.append(at[1:], len(row))
+    parent = {x: x for x in label}
+
+    def root(x: bytes) -> bytes:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out, own = [], np.zeros(int(local.max()) + 1)
+    for i in np.flatnonzero(rest):
+        mine = local[at[i] : ends[i]]
+        own[mine] = w[at[i] : ends[i]]
+        shared = np.add.reduceat(np.minimum(w, own[local]), at)
+        own[mine] = 0
+        for j in np.flatnonzero(shared >= similarity * (total + total[i] - shared)):
+            a, b = root(label[i]), root(label[j])
+            if a != b:
+                parent[a] = b
+                out.append((keys[i], keys[j]))
+    return out
+
+
+def _verify_tiles(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+    """Links between components from pairs of tiles ``t1, t2``."""
+    needed = pairs.select("t1", "t2", F.explode(F.array("t1", "t2")).alias("tile")).distinct()
+    carried = needed.join(tiles, "tile").join(texts, "_key").select("t1", "t2", "_key", "label", "rest", "_text")
+
+    def run(table: pa.Table) -> pa.Table:
+        links = _tile_links(table, weights, similarity)
+        return pa.table([pa.array([a for a, _ in links], pa.binary()), pa.array([b for _, b in links], pa.binary())], ["a", "b"])
+
+    links = carried.groupBy("t1", "t2").applyInArrow(run, "a binary, b binary")
+    return write_and_read(links, scratch_path(pairs.sparkSession, "near-links"))
 
 
 # -- candidates ----------------------------------------------------------------
 
-def _leader_pairs(members: DataFrame) -> DataFrame:
+def _leader_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """``a, b, shared``: every node and each leader of its buckets, with the number of buckets they share."""
-    leaders = members.groupBy("h").agg(
-        F.count("*").alias("size"), F.min(F.struct(F.xxhash64("_key", "h"), "_key"))["_key"].alias("leader")
-    ).where(F.col("size") > 1)
-    pairs = members.join(leaders.select("h", "leader"), "h").where(F.col("_key") != F.col("leader"))
+    sized = members.join(sizes, "h")
+    score = sized.groupBy("_key").agg(F.sum("c").alias("score"))
+    leaders = members.join(score, "_key").groupBy("h").agg(F.max_by("_key", F.struct("score", "_key")).alias("leader"))
+    pairs = members.join(leaders, "h").where(F.col("_key") != F.col("leader"))
     return pairs.groupBy(F.col("leader").alias("a"), F.col("_key").alias("b")).agg(F.count("*").alias("shared"))
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of buckets with several components that may be similar and aren't in one component."""
-    labelled = members.join(labels.select(F.col("node").alias("_key"), "label"), "_key", "left").select(
-        "h", "_key", F.coalesce("label", "_key").alias("label")
-    )
+def _open_tiles(members: DataFrame, nodes: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Pairs of tiles with nodes that share a bucket, may be similar and aren't in one component."""
+    labelled = members.join(tiles, "_key")
     split = (
-        labelled.groupBy("h", "label").agg(F.count("*").alias("c"))
-        .groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("size"), F.max("c").alias("most"))
-        .where(F.col("most") < F.col("size"))
+        labelled.groupBy("h").agg(
+            F.count("*").alias("size"), F.count_if("rest").alias("n_rest"),
+            F.min("label").alias("low"), F.max("label").alias("high"),
+        )
+        .where(F.col("low") != F.col("high"))  # then some member isn't of the main component
         .select(
-            "h", "main",
-            F.ceil((F.col("size") - F.col("most")) / TILE_MEMBERS).cast("int").alias("rest_tiles"),
+            "h", F.ceil(F.col("n_rest") / TILE_MEMBERS).cast("int").alias("rest_tiles"),
             F.ceil(F.col("size") / TILE_MEMBERS).cast("int").alias("all_tiles"),
         )
     )
-    rows = (
-        labelled.join(split, "h")
-        .join(nodes.select("_key", "sig", "bands"), "_key")
-        .select("h", "_key", "label", "sig", "bands", (F.col("label") == F.col("main")).alias("in_main"), "rest_tiles", "all_tiles")
+    rows = labelled.join(split, "h").join(nodes.select("_key", "sig"), "_key")
+    rows = write_and_read(
+        rows.select("h", "_key", "label", "sig", "rest", "tile", "rest_tiles", "all_tiles"),
+        scratch_path(members.sparkSession, "near-open"),
     )
-    rows = write_and_read(rows, scratch_path(members.sparkSession, "near-open"))
 
     def own(count: str) -> Column:
         return F.pmod(F.xxhash64("_key"), F.col(count)).cast("int")
@@ -326,33 +387,26 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> Data
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    data = ["_key", "label", "sig", "bands", "in_main"]
-    rest = rows.where(~F.col("in_main")).select("h", own("rest_tiles").alias("r"), each("all_tiles").alias("m"), *data)
+    data = ["label", "sig", "tile"]
+    rest = rows.where("rest").select("h", own("rest_tiles").alias("r"), each("all_tiles").alias("m"), *data)
     every = rows.select(F.col("h").alias("h2"), each("rest_tiles").alias("r2"), own("all_tiles").alias("m2"), *data)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: tuple[list, list] = ([], [])
+        found = set()
         if left.num_rows and right.num_rows:
-            h = np.int64(left["h"][0].as_py())
-            keys, others = left["_key"].to_pylist(), right["_key"].to_pylist()
-            sig = np.frombuffer(b"".join(right["sig"].to_pylist()), "<u2").reshape(len(others), -1)
-            bands = np.array(right["bands"].to_pylist(), np.int64)
-            own_bands = np.array(left["bands"].to_pylist(), np.int64)
-            label = np.array([hash(x) for x in right["label"].to_pylist()])
-            main = np.array(right["in_main"].to_pylist(), bool)
-            for i, (key, raw, mine) in enumerate(zip(keys, left["sig"].to_pylist(), left["label"].to_pylist(), strict=True)):
-                alike = (sig == np.frombuffer(raw, "<u2")).mean(1)
-                for j in np.flatnonzero((alike >= ESTIMATE_FROM) & (label != hash(mine))):
-                    if not main[j] and others[j] <= key:
-                        continue  # comes up from the other side
-                    same = own_bands[i] == bands[j]
-                    if own_bands[i][same.argmax()] == h:  # in the first bucket they share only
-                        out[0].append(key)
-                        out[1].append(others[j])
-        return pa.table([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], ["a", "b"])
+            sig = np.frombuffer(b"".join(right["sig"].to_pylist()), "<u2").reshape(right.num_rows, -1)
+            tile = np.asarray(right["tile"].combine_chunks(), np.int64)
+            number = {x: i for i, x in enumerate(sorted({*right["label"].to_pylist(), *left["label"].to_pylist()}))}
+            label = np.array([number[x] for x in right["label"].to_pylist()])
+            for raw, mine, at in zip(left["sig"].to_pylist(), left["label"].to_pylist(), left["tile"].to_pylist(), strict=True):
+                alike = (sig == np.frombuffer(raw, "<u2")).mean(1) >= ESTIMATE_FROM
+                for other in np.unique(tile[alike & (label != number[mine])]).tolist():
+                    found.add((min(at, other), max(at, other)))
+        pairs = sorted(found)
+        return pa.table([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["t1", "t2"])
 
     tiled = rest.groupBy("h", "r", "m").cogroup(every.groupBy("h2", "r2", "m2"))
-    return tiled.applyInArrow(run, "a binary, b binary")
+    return tiled.applyInArrow(run, "t1 long, t2 long").distinct()
 
 
 # -- the operator --------------------------------------------------------------
@@ -382,19 +436,21 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFra
         scratch_path(spark, "near-nodes"),
     )
     buckets = nodes.where(F.col("n") > 0).select("_key", F.explode("bands").alias("h"))
-    shared = buckets.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("h")
-    members = write_and_read(buckets.join(shared, "h", "left_semi"), scratch_path(spark, "near-members"))
-    leads = write_and_read(_leader_pairs(members), scratch_path(spark, "near-leads"))
+    sizes = buckets.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > 1)
+    members = write_and_read(buckets.join(sizes, "h", "left_semi"), scratch_path(spark, "near-members"))
+    sizes = members.groupBy("h").agg(F.count("*").alias("c"))
+    leads = write_and_read(_leader_pairs(members, sizes), scratch_path(spark, "near-leads"))
     busy = members.select("_key").distinct().join(nodes.select("_key", "_id"), "_key")
     carried = write_and_read(
         texts.join(busy, ["_key", "_id"], "left_semi").select("_key", "_text"), scratch_path(spark, "near-texts")
     )
-    tiles = write_and_read(_tiles(nodes, components(leads.select("a", "b"))), scratch_path(spark, "near-tiles"))
+    groups = write_and_read(components(leads.select("a", "b")), scratch_path(spark, "near-groups"))
     best = Window.partitionBy("b").orderBy(F.col("shared").desc(), "a")  # as many rows as bands at most
     first = leads.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= LEADERS).select("a", "b")
-    links = _verify(first, tiles, carried, weights, similarity)
-    rest = _open_pairs(members, nodes, components(links))
-    return nodes, links.unionByName(_verify(rest, tiles, carried, weights, similarity))
+    links = _verify(first, _tiles(nodes, groups), carried, weights, similarity)
+    tiles = write_and_read(_tiles(nodes, groups, components(links)), scratch_path(spark, "near-tiles"))
+    rest = _verify_tiles(_open_tiles(members, nodes, tiles), tiles, carried, weights, similarity)
+    return nodes, links.unionByName(rest)
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
