@@ -76,3 +76,17 @@ def test_spans_empty_table_and_long_text(docs_df):
     assert substring_dedup_digest(docs_df([(1, "x")]).limit(0)).count() == 0
     with pytest.raises(ValueError, match="anchor"):
         substring_dedup.duplicate_places(docs_df([(1, "x")]), window=40, anchor=2)
+
+
+def test_anchors_that_go_on_in_the_next_batch(docs_df, spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 200)  # settle little beforehand
+    rows = corpus(5, n=50) + [(500 + i, f"x{i} " + " ".join(f"p{j}" for j in range(20))) for i in range(60)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    for size in ("1", "7"):
+        spark.conf.set(key, size)
+        try:
+            got = [tuple(r) for r in substring_dedup_digest(docs_df(rows).repartition(3)).collect()]
+        finally:
+            spark.conf.set(key, before)
+        assert sorted(got, key=repr) == brute(rows)
