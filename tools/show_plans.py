@@ -16,8 +16,8 @@ sys.path.insert(0, ROOT)
 
 from sortproof.operators.aggregate import dataset_stats  # noqa: E402
 from sortproof.operators.parse import parse_strict  # noqa: E402
-from sortproof.operators.sort import global_rank, total_sort, with_positions, write_sorted  # noqa: E402
-from sortproof.operators.verify import multiset_difference, order_marks_plan, order_violations  # noqa: E402
+from sortproof.operators.sort import global_rank, sorted_chunks, total_sort, with_positions, write_sorted  # noqa: E402
+from sortproof.operators.verify import chunk_check, multiset_difference, order_chunks, order_violations  # noqa: E402
 from sortproof.session import get_spark, scratch_path  # noqa: E402
 from sortproof.sinks.log import write_keyed_log  # noqa: E402
 from sortproof.sources.log import read_log  # noqa: E402
@@ -57,10 +57,13 @@ def main() -> None:
         ("Strict parse of a topic: filter pushed, two columns read", src),
         ("Total sort by name with positions (the written table)", with_positions(total_sort(src, "name"))),
         ("Global rank: single-partition window only over per-range counts", global_rank(sorted_t)),
-        ("Order check, pass 1: one scan of key + position, one shuffle (rows marked, then written)",
-         order_marks_plan(sorted_t, "name")),
-        ("Order check, passes 2-3: chunk and group edges over the small marked table",
+        ("Order check of the verifier: one scan of key + position, one shuffle, a row per chunk",
+         order_chunks(sorted_t, "name")),
+        ("List of all violations, edges over the small marked table",
          order_violations(sorted_t, "name", with_lines=False)),
+        ("Chunk check: one window per written file, aggregated in place",
+         chunk_check(sorted_t.withColumnRenamed("range_id", "chunk").withColumnRenamed("offset", "row_index"), "name")),
+        ("Sorted chunks: no exchange", sorted_chunks(src, "name", chunk_rows=1000)[0]),
         ("Counts and checksums of two datasets in one aggregation", dataset_stats(
             {"source": src, "name": sorted_t.select("id", "name", "address", "continent")})),
         ("Exact multiset difference with partial aggregation", multiset_difference(
