@@ -122,7 +122,11 @@ def _with_copy_breaker(df: DataFrame, tiebreak: bool) -> tuple[DataFrame, list[C
 
 
 def total_sort(df: DataFrame, key, tiebreak: bool = True, java_string_order: bool = False) -> DataFrame:
-    """Total order by ``key`` (O1 id, O2 name, O3 continent, O4 any order)."""
+    """Total order by ``key`` (O1 id, O2 name, O3 continent, O4 any order).
+
+    Without ``tiebreak`` all rows of one key fall into one range, so a key
+    that holds much of the input makes one task sort it all.
+    """
     exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
     tagged, extra = _with_copy_breaker(df, tiebreak)
     out = tagged.orderBy(*exprs, *extra)

@@ -82,9 +82,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below :func:`checkpoint_root` for one table."""
-    return f"{checkpoint_root(spark)}/sortproof/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/sortproof/{name}-{uuid.uuid4().hex[:12]}"
+    _handed_out.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has made so far; returns how many there were.
+
+    Call it when the results that read them (ranks, reports, operators'
+    outputs) have been written or are no longer needed.
+    """
+    conf, n = spark._jsc.hadoopConfiguration(), 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        n += path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def write_and_read(df, path: str, mode: str = "overwrite", partition_by: list[str] | None = None):

@@ -49,3 +49,18 @@ def test_local_session_gets_its_own_folder(tmp_path, monkeypatch):
     s = _Session("local[2]")
     root = checkpoint_root(s)
     assert root.startswith(str(tmp_path)) and checkpoint_root(s) == root
+
+
+def test_scratch_tables_can_be_cleared(spark, records_df):
+    import os
+
+    from sortproof.operators.sort import rank_records
+    from sortproof.session import clear_scratch, scratch_path, write_and_read
+
+    clear_scratch(spark)
+    rank_records(records_df([(1, "a", "b", "c")]), "id").collect()
+    path = scratch_path(spark, "own")
+    write_and_read(records_df([(1, "a", "b", "c")]), path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    assert clear_scratch(spark) == 2 and not os.path.exists(local) and clear_scratch(spark) == 0
