@@ -98,9 +98,11 @@ def clear_scratch(spark: SparkSession) -> int:
     Call it when the results that read them (ranks, reports, operators'
     outputs) have been written or are no longer needed.
     """
-    conf, n = spark._jsc.hadoopConfiguration(), 0
-    while _handed_out:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+    conf, n, root = spark._jsc.hadoopConfiguration(), 0, f"{checkpoint_root(spark)}/sortproof/"
+    own = [p for p in _handed_out if p.startswith(root)]
+    for p in own:
+        _handed_out.remove(p)
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
         n += path.getFileSystem(conf).delete(path, True)
     return n
 
