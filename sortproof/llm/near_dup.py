@@ -22,8 +22,8 @@ maxima) is 0.8 or more; the classes are the connected components of the links.
    group of changed copies is the original or the copy nearest to it.
    Verified links give components.
 4. Then only buckets that still hold several components are looked at, and only
-   members outside the largest component of their candidate group are compared,
-   by samples and in tiles of bounded size, with members of other components.
+   members outside the bucket's largest component are compared, by samples and
+   in tiles of bounded size, with members of other components.
    Tiles of texts that hold a pair whose sampled similarity reaches
    ``ESTIMATE_FROM`` are verified exactly, as a sparse matrix per pair of
    tiles; only links that join components leave a task.  So a pair that shares
@@ -42,6 +42,7 @@ stay untouched.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -282,33 +283,22 @@ def _verify(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, weights: Weigh
     return write_and_read(links, scratch_path(pairs.sparkSession, "near-links"))
 
 
-def _tiles(nodes: DataFrame, groups: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """``_key, label, rest, tile``: nodes of a candidate group in tiles of about ``TILE_SHINGLES``.
-
-    ``rest`` marks nodes outside their group's largest component; they have
-    tiles of their own.
-    """
-    grouped = groups.select(F.col("node").alias("_key"), F.col("label").alias("g")).join(nodes.select("_key", "n"), "_key")
-    if labels is None:
-        grouped = grouped.select("*", F.col("_key").alias("label"), F.lit(False).alias("rest"))
-    else:
-        labelled = grouped.join(labels.select(F.col("node").alias("_key"), "label"), "_key", "left")
-        labelled = labelled.withColumn("label", F.coalesce("label", "_key"))
-        main = (
-            labelled.groupBy("g", "label").agg(F.count("*").alias("c"))
-            .groupBy("g").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-        )
-        grouped = labelled.join(main, "g").withColumn("rest", F.col("label") != F.col("main"))
-    sizes = grouped.groupBy("g", "rest").agg(F.ceil(F.sum("n") / TILE_SHINGLES).alias("tiles"))
+def _tiles(nodes: DataFrame, leads: DataFrame) -> DataFrame:
+    """``_key, tile``: the nodes of the leads; those of one best leader share tiles of about ``TILE_SHINGLES``."""
+    best = leads.groupBy(F.col("b").alias("_key")).agg(F.max_by("a", F.struct("shared", "a")).alias("g"))
+    leaders = leads.select(F.col("a").alias("_key")).distinct()
+    grouped = leaders.join(best, "_key", "full").withColumn("g", F.coalesce("g", "_key")).join(nodes.select("_key", "n"), "_key")
+    sizes = grouped.groupBy("g").agg(F.ceil(F.sum("n") / TILE_SHINGLES).alias("tiles"))
     chunk = F.pmod(F.xxhash64("_key"), F.greatest(F.lit(1), F.col("tiles")))
-    return grouped.join(sizes, ["g", "rest"]).select("_key", "label", "rest", F.xxhash64("g", "rest", chunk).alias("tile"))
+    return grouped.join(sizes, "g").select("_key", F.xxhash64("g", chunk).alias("tile"))
 
 
 def _tile_links(table: pa.Table, weights: Weights, similarity: float) -> list[tuple[bytes, bytes]]:
-    """Links that join components among the texts of two tiles: ``_key, label, rest, _text``."""
+    """Links that join components among the texts of two tiles: ``_key, label, _text``."""
     keys, first = np.unique(np.array(table["_key"].to_pylist(), object), return_index=True)
     table = table.take(pa.array(first))
-    label, rest = table["label"].to_pylist(), table["rest"].to_pylist()
+    label = table["label"].to_pylist()
+    most = Counter(sorted(label)).most_common(1)[0][0]  # of two components, one isn't this one
     row, values, counts = shingles(table["_text"].combine_chunks())
     w = weights(values, counts)
     _, local = np.unique(values, return_inverse=True)
@@ -324,7 +314,7 @@ def _tile_links(table: pa.Table, weights: Weights, similarity: float) -> list[tu
         return x
 
     out, own = [], np.zeros(int(local.max()) + 1)
-    for i in np.flatnonzero(rest):
+    for i in (i for i, x in enumerate(label) if x != most):
         mine = local[at[i] : ends[i]]
         own[mine] = w[at[i] : ends[i]]
         shared = np.add.reduceat(np.minimum(w, own[local]), at)
@@ -340,7 +330,7 @@ def _tile_links(table: pa.Table, weights: Weights, similarity: float) -> list[tu
 def _verify_tiles(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
     """Links between components from pairs of tiles ``t1, t2``."""
     needed = pairs.select("t1", "t2", F.explode(F.array("t1", "t2")).alias("tile")).distinct()
-    carried = needed.join(tiles, "tile").join(texts, "_key").select("t1", "t2", "_key", "label", "rest", "_text")
+    carried = needed.join(tiles, "tile").join(texts, "_key").select("t1", "t2", "_key", "label", "_text")
 
     def run(table: pa.Table) -> pa.Table:
         links = _tile_links(table, weights, similarity)
@@ -365,19 +355,17 @@ def _open_tiles(members: DataFrame, nodes: DataFrame, tiles: DataFrame) -> DataF
     """Pairs of tiles with nodes that share a bucket, may be similar and aren't in one component."""
     labelled = members.join(tiles, "_key")
     split = (
-        labelled.groupBy("h").agg(
-            F.count("*").alias("size"), F.count_if("rest").alias("n_rest"),
-            F.min("label").alias("low"), F.max("label").alias("high"),
-        )
-        .where(F.col("low") != F.col("high"))  # then some member isn't of the main component
+        labelled.groupBy("h", "label").agg(F.count("*").alias("c"))
+        .groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("size"), F.max("c").alias("most"))
+        .where(F.col("most") < F.col("size"))
         .select(
-            "h", F.ceil(F.col("n_rest") / TILE_MEMBERS).cast("int").alias("rest_tiles"),
+            "h", "main", F.ceil((F.col("size") - F.col("most")) / TILE_MEMBERS).cast("int").alias("rest_tiles"),
             F.ceil(F.col("size") / TILE_MEMBERS).cast("int").alias("all_tiles"),
         )
     )
     rows = labelled.join(split, "h").join(nodes.select("_key", "sig"), "_key")
     rows = write_and_read(
-        rows.select("h", "_key", "label", "sig", "rest", "tile", "rest_tiles", "all_tiles"),
+        rows.select("h", "_key", "label", "sig", (F.col("label") != F.col("main")).alias("rest"), "tile", "rest_tiles", "all_tiles"),
         scratch_path(members.sparkSession, "near-open"),
     )
 
@@ -419,11 +407,11 @@ def _identified(docs: DataFrame, id_name: str = "_id", key_name: str = "_key") -
     )
 
 
-def near_links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(nodes ``_key, _id, copies, n, sig, bands``, links ``a, b`` between them).
+def near_nodes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(nodes ``_key, _id, copies, n, sig, bands``, ``_key, label`` of those that share a bucket).
 
-    Nodes are distinct texts with the least id of their rows; the links
-    connect each class but aren't all of its similar pairs.
+    Nodes are distinct texts with the least id of their rows; nodes of a class
+    have the same label.
     """
     spark = docs.sparkSession
     texts = _identified(docs.select("doc_id", "text")).select("_id", "_key", F.col("text").alias("_text"))
@@ -444,19 +432,27 @@ def near_links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFra
     carried = write_and_read(
         texts.join(busy, ["_key", "_id"], "left_semi").select("_key", "_text"), scratch_path(spark, "near-texts")
     )
-    groups = write_and_read(components(leads.select("a", "b")), scratch_path(spark, "near-groups"))
+    tiles = write_and_read(_tiles(nodes, leads), scratch_path(spark, "near-tiles"))
     best = Window.partitionBy("b").orderBy(F.col("shared").desc(), "a")  # as many rows as bands at most
     first = leads.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= LEADERS).select("a", "b")
-    links = _verify(first, _tiles(nodes, groups), carried, weights, similarity)
-    tiles = write_and_read(_tiles(nodes, groups, components(links)), scratch_path(spark, "near-tiles"))
-    rest = _verify_tiles(_open_tiles(members, nodes, tiles), tiles, carried, weights, similarity)
-    return nodes, links.unionByName(rest)
+    labels = components(_verify(first, tiles, carried, weights, similarity))
+    tiles = tiles.join(labels.select(F.col("node").alias("_key"), "label"), "_key", "left")
+    tiles = write_and_read(tiles.withColumn("label", F.coalesce("label", "_key")), scratch_path(spark, "near-labels"))
+    found = _verify_tiles(_open_tiles(members, nodes, tiles), tiles, carried, weights, similarity)
+    # links between components: their labels are the nodes of a smaller graph
+    named = found.join(tiles.select(F.col("_key").alias("a"), F.col("label").alias("la")), "a").join(
+        tiles.select(F.col("_key").alias("b"), F.col("label").alias("lb")), "b"
+    )
+    joined = components(named.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    last = tiles.select("_key", "label").join(
+        joined.select(F.col("node").alias("label"), F.col("label").alias("into")), "label", "left"
+    )
+    return nodes, last.select("_key", F.coalesce("into", "label").alias("label"))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``_key, class_id, class_key, size`` by distinct text: the class's least (id, text hash) and its rows."""
-    nodes, links = near_links(docs, similarity)
-    labels = components(links).select(F.col("node").alias("_key"), "label")
+    nodes, labels = near_nodes(docs, similarity)
     placed = nodes.select("_key", "_id", "copies").join(labels, "_key", "left").withColumn("label", F.coalesce("label", "_key"))
     heads = placed.groupBy("label").agg(F.min(F.struct("_id", "_key")).alias("head"), F.sum("copies").alias("size"))
     out = placed.join(heads, "label").select(
