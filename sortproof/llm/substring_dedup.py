@@ -34,7 +34,6 @@ empty table gives an empty table; other columns are not looked at.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
