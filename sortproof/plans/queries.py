@@ -638,9 +638,9 @@ def _damage_sql() -> str:
         rows.append(f"SELECT 'exact', '{n}', 'differing_rows=' || CAST(d AS BIGINT), d = 0 FROM d_{n}")
     rows.append("SELECT 'all', '*', 'FAILED', false")
     ranked = f"ranked AS (SELECT *, row_number() OVER (ORDER BY {_order('id')}) AS pos FROM records)"
-    return _with(", " + ", ".join([ranked, *ctes]) + " SELECT column0 AS \"check\", column1 AS dataset, column2 AS value, "
-                 "column3 AS passed FROM (" + " UNION ALL ".join(rows).replace("SELECT 'count', 'source',", "SELECT 'count' AS column0, 'source' AS column1,", 1)
-                 .replace("CAST(n AS VARCHAR), false FROM s_source", "CAST(n AS VARCHAR) AS column2, false AS column3 FROM s_source", 1) + ")")
+    names = ("SELECT CAST(NULL AS VARCHAR) AS \"check\", CAST(NULL AS VARCHAR) AS dataset, CAST(NULL AS VARCHAR) AS value, "
+             "false AS passed WHERE false")
+    return _with(", " + ", ".join([ranked, *ctes]) + " " + " UNION ALL ".join([names, *rows]))
 
 
 @query("verify_damaged", _damage_sql())
