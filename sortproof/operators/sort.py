@@ -34,6 +34,7 @@ SortSpec = list[tuple[str, bool]]
 # Reference default for the run budget (150 MiB of estimated row bytes).
 DEFAULT_RUN_BUDGET = 157_286_400
 _PARTITION_SHIFT = 33  # monotonically_increasing_id starts partition p at p * 2^33
+_BLOCK_SHIFT = 12  # rows of a block that copies are told apart by, as a power of 2
 _DUP = "_copy"  # input partition id appended to every tie-broken sort key
 
 
@@ -103,7 +104,7 @@ def _spec(df: DataFrame, key, tiebreak: bool) -> SortSpec:
 
 
 # --------------------------------------------------------------- O1-O4, O7
-def _with_copy_breaker(df: DataFrame, tiebreak: bool) -> tuple[DataFrame, list[Column]]:
+def _with_copy_breaker(df: DataFrame, tiebreak: bool, stable_input: bool = False) -> tuple[DataFrame, list[Column]]:
     """Spread identical rows over ranges.
 
     With every column in the key, identical copies still share one key, and
@@ -115,26 +116,35 @@ def _with_copy_breaker(df: DataFrame, tiebreak: bool) -> tuple[DataFrame, list[C
     order may differ after a shuffle) routes every row exactly as before,
     which a row counter would not guarantee.  Copies are interchangeable, so
     any order among them is a correct result.
+
+    ``stable_input`` says that ``df`` is a scan of written files (a landed
+    table), whose rows come in the same order in every attempt.  Then the
+    breaker also counts blocks of rows inside a partition, and copies spread
+    however few the partitions are.
     """
     if not tiebreak:
         return df, []
-    return df.withColumn(_DUP, F.spark_partition_id()), [F.col(_DUP).asc()]
+    place = F.shiftright(F.monotonically_increasing_id(), _BLOCK_SHIFT) if stable_input else F.spark_partition_id()
+    return df.withColumn(_DUP, place), [F.col(_DUP).asc()]
 
 
-def total_sort(df: DataFrame, key, tiebreak: bool = True, java_string_order: bool = False) -> DataFrame:
+def total_sort(
+    df: DataFrame, key, tiebreak: bool = True, java_string_order: bool = False, stable_input: bool = False
+) -> DataFrame:
     """Total order by ``key`` (O1 id, O2 name, O3 continent, O4 any order).
 
     Without ``tiebreak`` all rows of one key fall into one range, so a key
     that holds much of the input makes one task sort it all.
     """
     exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
-    tagged, extra = _with_copy_breaker(df, tiebreak)
+    tagged, extra = _with_copy_breaker(df, tiebreak, stable_input)
     out = tagged.orderBy(*exprs, *extra)
     return out.drop(_DUP) if extra else out
 
 
 def range_sort(
-    df: DataFrame, key, num_ranges: int, tiebreak: bool = True, java_string_order: bool = False
+    df: DataFrame, key, num_ranges: int, tiebreak: bool = True, java_string_order: bool = False,
+    stable_input: bool = False,
 ) -> DataFrame:
     """Range-partitioned sort with an explicit number of ranges.
 
@@ -142,7 +152,7 @@ def range_sort(
     sorted; the concatenation of partitions is the total order.
     """
     exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
-    tagged, extra = _with_copy_breaker(df, tiebreak)
+    tagged, extra = _with_copy_breaker(df, tiebreak, stable_input)
     out = tagged.repartitionByRange(num_ranges, *exprs, *extra).sortWithinPartitions(*exprs, *extra)
     return out.drop(_DUP) if extra else out
 
@@ -168,6 +178,7 @@ def write_sorted(
     tiebreak: bool = True,
     java_string_order: bool = False,
     mode: str = "overwrite",
+    stable_input: bool = False,
 ) -> DataFrame:
     """Sort and write a range-partitioned ordered table (K3); return it read back.
 
@@ -175,15 +186,15 @@ def write_sorted(
     hold the position, because reading files back does not keep row order.
     """
     if num_ranges:
-        s = range_sort(df, key, num_ranges, tiebreak, java_string_order)
+        s = range_sort(df, key, num_ranges, tiebreak, java_string_order, stable_input)
     else:
-        s = total_sort(df, key, tiebreak, java_string_order)
+        s = total_sort(df, key, tiebreak, java_string_order, stable_input)
     return write_and_read(with_positions(s), path, mode)
 
 
 def write_sorted_observed(
     df: DataFrame, key, path: str, num_ranges: int | None = None, impl: str = "jvm",
-    java_string_order: bool = False,
+    java_string_order: bool = False, stable_input: bool = False,
 ) -> tuple[DataFrame, dict]:
     """:func:`write_sorted` that also returns ``{"rows", "checksum"}`` of what it wrote.
 
@@ -193,8 +204,8 @@ def write_sorted_observed(
     """
     from sortproof.operators.aggregate import observe_records, observed_metrics
 
-    s = (range_sort(df, key, num_ranges, java_string_order=java_string_order) if num_ranges
-         else total_sort(df, key, java_string_order=java_string_order))
+    own = {"java_string_order": java_string_order, "stable_input": stable_input}
+    s = range_sort(df, key, num_ranges, **own) if num_ranges else total_sort(df, key, **own)
     observed, obs = observe_records(with_positions(s), "sorted_write", impl=impl)
     table = write_and_read(observed, path)
     return table, observed_metrics(obs)
@@ -316,7 +327,7 @@ def sort_many(
         futures = {
             name: pool.submit(
                 inheritable_thread_target(spark)(write_sorted), src, k, f"{out_root.rstrip('/')}/{name}", num_ranges,
-                java_string_order=java_string_order,
+                java_string_order=java_string_order, stable_input=land,
             )
             for name, k in zip(names, keys, strict=True)
         }

@@ -52,7 +52,7 @@ def run_end_to_end(
     outputs, metrics = {}, {}
     for name, k in zip(names, keys, strict=True):
         table, m = write_sorted_observed(landed, k, f"{out}/sorted/{name}", num_ranges,
-                                         java_string_order=java_string_order)
+                                         java_string_order=java_string_order, stable_input=True)
         outputs[name] = (table, k)
         metrics[name] = m
     # against the source log itself, so that a lossy landing cannot go unseen

@@ -162,3 +162,14 @@ def test_identical_copies_do_not_make_a_hot_range(spark, tmp_path):
     assert len(sizes) == 8 and max(sizes) < 2 * 27_000 / 8
     ranked = global_rank(t)
     assert ranked.agg(F.countDistinct("pos")).first()[0] == 27_000
+
+
+def test_copies_of_one_landed_file_spread_over_ranges(spark, tmp_path):
+    df = spark.range(60_000).selectExpr("int(1) as id", "'n' as name", "'a' as address", "'c' as continent").coalesce(1)
+    df.write.parquet(str(tmp_path / "landed"))
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    t = write_sorted(landed, "id", str(tmp_path / "s"), num_ranges=6, stable_input=True)
+    sizes = [r["count"] for r in t.groupBy("range_id").count().collect()]
+    assert sum(sizes) == 60_000 and len(sizes) >= 5 and max(sizes) < 20_000
+    ranks = global_rank(t).selectExpr("count(distinct pos) as n", "max(pos) as m").first()
+    assert (ranks["n"], ranks["m"]) == (60_000, 60_000)
