@@ -6,8 +6,9 @@ together again by position.
 
 * Only 16-byte hashes and positions are shuffled for the counts; a line that
   stands in a third of all documents is first reduced per task.
-* The join of lines with the frequent hashes is a sort-merge join of two
-  shuffled sides, so adaptive execution can split a hot hash.
+* The join of lines with the frequent hashes is salted by document: the
+  frequent ones, a tenth of all lines at most, come ``SALTS`` times.  What is
+  still too large for a task, adaptive execution can split.
 * Each document's dropped positions come back as one sorted array (bounded by
   its own number of lines) and its kept lines are cut out as slices between
   them: linear in the text.
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 from sortproof.llm.columns import SPACES, let, row_identity
 from sortproof.session import scratch_path, write_and_read
 
+#: Parts that the occurrences of one line are dealt into for the join.
+SALTS = 16
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -57,7 +61,10 @@ def frequent_line_positions(
         .where(F.col("n") >= min_docs)
         .select("h")
     )
-    hits = keyed.join(frequent, "h", "left_semi")
+    # a very common line would meet its occurrences in one task: both sides are salted
+    frequent = frequent.select("h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("_id", "_t"), F.lit(SALTS)).cast("int"))
+    hits = salted.join(frequent, ["h", "salt"], "left_semi")
     return hits.groupBy("_id", "_t").agg(F.array_sort(F.collect_set("pos")).alias("drop"))
 
 
