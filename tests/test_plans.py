@@ -1,7 +1,7 @@
 """Plan shape: pushdown, pruning, and no single-partition exchange over raw rows."""
 
 from sortproof.operators.sort import global_rank, write_sorted
-from sortproof.operators.verify import order_marks_plan
+from sortproof.operators.verify import order_chunks
 from sortproof.sources.log import read_log
 from sortproof.sources.tables import records_from_tables
 
@@ -34,7 +34,7 @@ def test_rank_single_partition_only_over_range_counts(spark, tmp_path):
 
 def test_order_check_reads_only_key_and_positions(spark, tmp_path):
     t = write_sorted(records_from_tables(spark, SF), "name", str(tmp_path / "s"))
-    s = plan(order_marks_plan(t, "name"))
+    s = plan(order_chunks(t, "name"))
     assert "ReadSchema: struct<name:string,range_id:int,offset:bigint>" in s
     # exactly one shuffle: the window's clustering on (range, super-chunk, chunk)
     assert s.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in s

@@ -59,7 +59,7 @@ def main() -> None:
         ("Global rank: single-partition window only over per-range counts", global_rank(sorted_t)),
         ("Order check of the verifier: one scan of key + position, one shuffle, a row per chunk",
          order_chunks(sorted_t, "name")),
-        ("List of all violations, edges over the small marked table",
+        ("List of all violations: edges over the table of chunks, rows of chunks with violations",
          order_violations(sorted_t, "name", with_lines=False)),
         ("Chunk check: one window per written file, aggregated in place",
          chunk_check(sorted_t.withColumnRenamed("range_id", "chunk").withColumnRenamed("offset", "row_index"), "name")),
