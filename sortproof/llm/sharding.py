@@ -11,7 +11,8 @@ still holds it, found in a balanced tree of the bins.
   the smaller groups are first put together by the hash of their text into M
   bundles, each indivisible in turn.  So 2 M items at most, whatever the size
   of the corpus.
-* With a given number of shards the capacity is the smallest one at which
+* With a given number of shards an item above the even share of what remains
+  has a shard of its own; for the rest the capacity is the smallest one at which
   best-fit-decreasing needs no more bins (``pack_evenly``).  With a given
   capacity the number of bins is what comes out (``pack_fixed``).
 * Slots count documents through a shard without a gap.  Every shard is cut
@@ -135,11 +136,9 @@ def pack_fixed(sizes: Sequence[int], capacity: int) -> list[int]:
     return best_fit(sizes, capacity) or []
 
 
-def pack_evenly(sizes: Sequence[int], bins: int) -> list[int]:
-    """At most ``bins`` bins of the smallest capacity at which best-fit-decreasing succeeds."""
-    if not sizes:
-        return []
-    low, high = max(max(sizes), -(-sum(sizes) // bins)), sum(sizes)
+def _least_capacity(sizes: Sequence[int], bins: int) -> list[int]:
+    """Bins of the smallest capacity at which best-fit-decreasing needs no more than ``bins``."""
+    low, high = max(sizes[0], -(-sum(sizes) // bins)), sum(sizes)
     best = best_fit(sizes, high, bins)
     while low < high:
         middle = (low + high) // 2
@@ -151,6 +150,38 @@ def pack_evenly(sizes: Sequence[int], bins: int) -> list[int]:
     return best or [0] * len(sizes)
 
 
+def pack_evenly(sizes: Sequence[int], bins: int) -> list[int]:
+    """At most ``bins`` bins as even as the items allow, for sizes in falling order.
+
+    An item above the even share of what remains has a bin of its own.  The
+    rest takes the smallest capacity at which best-fit-decreasing succeeds; if
+    that leaves bins apart by more than an item, the fullest is settled and
+    the others are packed again.
+    """
+    out, left, done = [0] * len(sizes), list(range(len(sizes))), 0
+    rest = sum(sizes)
+    while len(left) > 1 and bins - done > 1 and sizes[left[0]] * (bins - done) > rest:
+        rest -= sizes[left[0]]
+        out[left[0]] = done
+        left, done = left[1:], done + 1
+    while left:
+        own = [sizes[i] for i in left]
+        found = _least_capacity(own, bins - done)
+        loads = [0] * (bins - done)
+        for size, b in zip(own, found, strict=True):
+            loads[b] += size
+        if max(loads) - min(loads) <= own[0]:
+            for i, b in zip(left, found, strict=True):
+                out[i] = done + b
+            break
+        full = loads.index(max(loads))
+        for i, b in zip(left, found, strict=True):
+            if b == full:
+                out[i] = done
+        left, done = [i for i, b in zip(left, found, strict=True) if b != full], done + 1
+    return out
+
+
 def _bundle(key: str, parts: int):
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 

@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -41,6 +41,26 @@ def test_even_packing_is_near_even():
     assert best_fit(sizes, sum(sizes) // 9, 8) is None
 
 
+@pytest.mark.parametrize("share", [3, 2])
+def test_an_item_above_the_even_share_leaves_the_others_even(share):
+    rest = sorted((random.Random(6).randint(1, 50) for _ in range(4000)), reverse=True)
+    big = sum(rest) // (share - 1)  # of all bytes
+    sizes = [big, *rest]
+    loads = [0] * 8
+    for s, b in zip(sizes, pack_evenly(sizes, 8), strict=True):
+        loads[b] += s
+    loads.sort()
+    assert loads[-1] == big and loads[6] - loads[0] <= 50
+
+
+def test_no_shard_stays_empty_while_another_holds_two_items():
+    assert sorted(Counter(pack_evenly([5] * 4, 3)).values()) == [1, 1, 2]
+    assert sorted(pack_evenly([9, 8, 1], 8)) == [0, 1, 2]
+    # 60 equal items after two that have bins of their own
+    sizes = [1000, 700] + [10] * 60
+    assert sorted(Counter(pack_evenly(sizes, 8)).values()) == [1, 1, 10, 10, 10, 10, 10, 10]
+
+
 def check(rows, out, shards):
     assert len(out) == len(rows)
     by_text, slots = defaultdict(set), defaultdict(list)
@@ -71,6 +91,17 @@ def test_groups_stay_whole_and_slots_have_no_gap(docs_df, clashing):
     assert rest[-1] - rest[0] <= 100
 
 
+def test_a_group_of_half_the_bytes_leaves_the_other_shards_even(docs_df):
+    rows = [(i, f"text number {i}") for i in range(600)] + [(1000 + i, "copy of one text") for i in range(600)]
+    out = sharding_digest(docs_df(rows)).collect()
+    check(rows, out, 8)
+    loads = defaultdict(int)
+    for r in out:
+        loads[r["shard"]] += r["size"]
+    rest = sorted(loads.values())[:-1]
+    assert len(rest) == 7 and rest[-1] - rest[0] <= 16
+
+
 def test_few_parts_bundle_small_groups(docs_df):
     rows = [(i, f"text number {i}") for i in range(500)]
     out = shard_documents(docs_df(rows).select("doc_id", "text"), 4, parts=64).collect()
