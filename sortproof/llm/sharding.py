@@ -14,7 +14,10 @@ still holds it, found in a balanced tree of the bins.
 * With a given number of shards an item above the even share of what remains
   has a shard of its own; for the rest the capacity is the smallest one at which
   best-fit-decreasing needs no more bins (``pack_evenly``).  With a given
-  capacity the number of bins is what comes out (``pack_fixed``).
+  capacity the number of bins is what comes out (``pack_fixed``); M is then at
+  least 64 for each shard's capacity, so no bundle is near it, and M beyond
+  ``parts`` is packed in tasks of about ``parts`` large groups and as many
+  bundles, dealt by hash, each with shards of its own.
 * Slots count documents through a shard without a gap.  Every shard is cut
   into hash ranges whose counts are prefix-summed, so no task holds a shard.
 
@@ -28,15 +31,20 @@ the others are even among themselves.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sortproof._pickling import ship_by_value
 from sortproof.llm.columns import utf8_bytes
 from sortproof.session import scratch_path, write_and_read
 
 #: Large groups and bundles of small ones: as many of each at most.
 PARTS = 16_384
+#: With a given capacity, bundles of small groups have about this part of it at most.
+BUNDLES_PER_SHARD = 64
 #: Documents that one window partition numbers, about.
 ROWS_PER_RANGE = 100_000
 
@@ -186,29 +194,64 @@ def _bundle(key: str, parts: int):
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
-def _pack_groups(sized: DataFrame, shards: int | None, capacity: int | None, parts: int) -> tuple[DataFrame, int]:
-    """Shard of every item (``_key`` of a large group or ``_bundle`` of small ones); number of rows."""
+def _pack_pieces(items: DataFrame, capacity: int, pieces: int) -> DataFrame:
+    """Shard of every item, packed by task in ``pieces`` parts of the items."""
+    spark = items.sparkSession
+
+    def pack(piece: pd.DataFrame) -> pd.DataFrame:
+        piece = piece.assign(_a=piece["_key"].fillna(""), _b=piece["_bundle"].fillna(0))
+        piece = piece.sort_values(["bytes", "_a", "_b"], ascending=[False, True, True])
+        return piece.assign(bin=pack_fixed(piece["bytes"].tolist(), capacity))[["_piece", "_key", "_bundle", "bin"]]
+
+    placed = write_and_read(
+        items.withColumn("_piece", F.pmod(F.xxhash64("_key", "_bundle"), F.lit(pieces)).cast("int"))
+        .groupBy("_piece").applyInPandas(pack, "_piece int, _key string, _bundle int, bin int"),
+        scratch_path(spark, "shard-pieces"),
+    )
+    used = sorted(placed.groupBy("_piece").agg(F.max("bin").alias("last")).collect())  # a row per piece
+    starts = [0, *accumulate(r["last"] + 1 for r in used)]
+    first = spark.createDataFrame([(r["_piece"], at) for r, at in zip(used, starts)], "_piece int, _first int")
+    return placed.join(F.broadcast(first), "_piece").select("_key", "_bundle", (F.col("_first") + F.col("bin")).alias("shard"))
+
+
+def _pack_groups(
+    sized: DataFrame, shards: int | None, capacity: int | None, parts: int
+) -> tuple[DataFrame, DataFrame | None, int, int]:
+    """Shard of every item (``_key`` of a large group or ``_bundle`` of small ones), in at most 2 ``parts`` rows
+    and, if there are more, a table of the others; number of bundles; number of rows."""
     spark = sized.sparkSession
     groups = write_and_read(
         sized.groupBy("_key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")),
         scratch_path(spark, "shard-groups"),
     )
     total, rows = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    large = groups.where(F.col("bytes") * parts >= F.lit(total))  # so parts rows at most
-    small = groups.where(F.col("bytes") * parts < F.lit(total)).groupBy(_bundle("_key", parts).alias("_bundle"))
+    bundles = parts if shards else max(parts, -(-BUNDLES_PER_SHARD * total // int(capacity)))
+    least = -(-total // bundles)
+    large = groups.where(F.col("bytes") >= least)  # so as many rows as bundles at most
+    small = groups.where(F.col("bytes") < least).groupBy(_bundle("_key", bundles).alias("_bundle"))
     items = (
         large.select("_key", F.lit(None).cast("int").alias("_bundle"), "bytes")
         .unionByName(small.agg(F.sum("bytes").alias("bytes")).select(F.lit(None).cast("string").alias("_key"), "_bundle", "bytes"))
-        .collect()
     )
+    if capacity:
+        items = items.withColumn("bytes", F.when(
+            F.col("_bundle").isNotNull() & (F.col("bytes") > int(capacity)),
+            F.raise_error(F.lit("a bundle of documents exceeds the capacity of a shard")).cast("long"),
+        ).otherwise(F.col("bytes")))
+    if bundles > parts:
+        packed = write_and_read(_pack_pieces(items, int(capacity), -(-bundles // parts)), scratch_path(spark, "shard-packed"))
+        # groups with many rows are among those with many bytes: these are broadcast
+        great = groups.where(F.col("bytes") >= -(-total // parts)).select("_key")
+        return packed.join(F.broadcast(great), "_key", "left_semi"), packed.join(F.broadcast(great), "_key", "left_anti"), bundles, rows
+    items = items.collect()
     items.sort(key=lambda r: (-r["bytes"], r["_key"] or "", r["_bundle"] or 0))
     sizes = [r["bytes"] for r in items]
-    bins = pack_evenly(sizes, shards) if shards else pack_fixed(sizes, int(capacity or max(sizes, default=1)))
+    bins = pack_evenly(sizes, shards) if shards else pack_fixed(sizes, int(capacity))
     packed = spark.createDataFrame(
         [(r["_key"], r["_bundle"], b) for r, b in zip(items, bins, strict=True)],
         "_key string, _bundle int, shard int",
     )
-    return packed, rows
+    return packed, None, bundles, rows
 
 
 def shard_documents(
@@ -228,15 +271,25 @@ def shard_documents(
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.md5(text.cast("binary")).alias("_key"),
     )
-    packed, rows = _pack_groups(sized.select("_key", "size"), shards, capacity, parts)
-    of_group = packed.where(F.col("_key").isNotNull()).select("_key", F.col("shard").alias("_own"))
-    of_bundle = packed.where(F.col("_bundle").isNotNull()).select("_bundle", F.col("shard").alias("_shared"))
+    packed, others, bundles, rows = _pack_groups(sized.select("_key", "size"), shards, capacity, parts)
+    def of_group(items: DataFrame, name: str) -> DataFrame:
+        return items.where(F.col("_key").isNotNull()).select("_key", F.col("shard").alias(name))
+
+    def of_bundle(items: DataFrame) -> DataFrame:
+        return items.where(F.col("_bundle").isNotNull()).select("_bundle", F.col("shard").alias("_shared"))
+
     ranges = max(8, rows // ROWS_PER_RANGE)
+    # at most ``parts`` short rows each
+    placed = sized.withColumn("_bundle", _bundle("_key", bundles)).join(F.broadcast(of_group(packed, "_own")), "_key", "left")
+    if others is None:
+        placed = placed.join(F.broadcast(of_bundle(packed)), "_bundle", "left")
+    else:
+        placed = placed.join(of_group(others, "_next"), "_key", "left").withColumn("_own", F.coalesce("_own", "_next"))
+        # rows of the great groups, which have a shard, are dealt by document
+        salted = placed.withColumn("_bundle", F.when(F.col("_own").isNull(), F.col("_bundle")).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "_key"), F.lit(bundles))).cast("int"))
+        placed = salted.join(of_bundle(others), "_bundle", "left")
     placed = (
-        sized.withColumn("_bundle", _bundle("_key", parts))
-        # at most ``parts`` short rows each
-        .join(F.broadcast(of_group), "_key", "left")
-        .join(F.broadcast(of_bundle), "_bundle", "left")
+        placed
         .select(
             "doc_id", "size", "text_crc32", "_key",
             F.coalesce("_own", "_shared").alias("shard"),
@@ -260,3 +313,6 @@ def sharding_digest(docs: DataFrame, shards: int = 8) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+ship_by_value(__name__)

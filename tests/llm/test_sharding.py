@@ -119,3 +119,18 @@ def test_fixed_capacity_repeated_rows_and_empty_table(docs_df):
     assert sharding_digest(docs_df([(1, "x")]).limit(0)).count() == 0
     with pytest.raises(ValueError, match="either"):
         shard_documents(df, shards=None)
+
+
+@pytest.mark.parametrize(("parts", "most"), [(16, 200), (512, 36)])
+def test_fixed_capacity_far_below_a_part_of_all_bytes(docs_df, parts, most):
+    rows = [(i, f"text number {i}") for i in range(3000)] + [(5000 + i, "copy of one text") for i in range(200)] + [(None, None)]
+    out = shard_documents(docs_df(rows).select("doc_id", "text"), shards=None, capacity=2000, parts=parts).collect()
+    check(rows, out, most)
+    loads, texts = defaultdict(int), defaultdict(set)
+    for r in out:
+        loads[r["shard"]] += r["size"]
+        texts[r["shard"]].add(r["text_crc32"])
+    assert set(loads) == set(range(len(loads)))
+    # only the group of copies, which can't part, is above the capacity
+    over = [b for b, n in loads.items() if n > 2000]
+    assert len(over) == 1 and texts[over[0]] == {zlib.crc32(b"copy of one text")}
