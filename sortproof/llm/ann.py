@@ -126,26 +126,25 @@ def _hashed(rows: DataFrame, tables: int, probe_share: float | None) -> DataFram
 
 
 def _best(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """The k nearest rows of each query in one block: ``query_id, vec_id, score``."""
+    """The k nearest ids of each query in one block, each once: ``query_id, vec_id, score``."""
     names = ["query_id", "vec_id", "score"]
     out: list[list] = [[], [], []]
     if rows.num_rows and queries.num_rows:
-        ids, first = np.unique(np.asarray(rows["id"], np.int64), return_index=True)
         all_ids = np.asarray(rows["id"], np.int64)
-        x = np.frombuffer(b"".join(rows["v"].to_pylist()), np.float64).reshape(len(all_ids), -1)
-        if len(ids) == len(all_ids):
-            x = x[first]
-        else:
-            ids, order = np.sort(all_ids), np.argsort(all_ids, kind="stable")
-            x = x[order]
+        order = np.argsort(all_ids, kind="stable")
+        ids = all_ids[order]
+        x = np.frombuffer(b"".join(rows["v"].to_pylist()), np.float64).reshape(len(ids), -1)[order]
+        head = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        want = min(len(head), k) - 1
         lengths = (x * x).sum(1)
         for q_id, raw in zip(queries["id"].to_pylist(), queries["v"].to_pylist(), strict=True):
             q = np.frombuffer(raw, np.float64)
             rough = lengths - 2 * (x @ q)
             rough[ids == q_id] = np.inf
             slack = 1e-9 * (1 + lengths.max() + q @ q)
-            want = min(len(ids) - 1, 2 * k)
-            near = np.flatnonzero(rough <= np.partition(rough, want)[want] + slack) if len(ids) > 1 else np.arange(len(ids))
+            # an id counts once, at its least distance
+            least = rough if len(head) == len(ids) else np.minimum.reduceat(rough, head)
+            near = np.flatnonzero(rough <= np.partition(least, want)[want] + slack)
             near = near[ids[near] != q_id]
             exact = np.sqrt(((x[near] - q) ** 2).sum(1))
             order = np.lexsort((ids[near], exact))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sortproof.llm import ann
@@ -58,6 +59,22 @@ def test_ties_copies_and_a_hot_bucket(spark, monkeypatch):
     assert got[1000] == [(1001 + i, 0.0) for i in range(10)]
 
 
+def test_ids_repeated_many_times_count_once(spark):
+    rows = vectors(300, d=16, seed=11)
+    # every id with other vectors too, and the query's nearest ids thirty times
+    near = [i for i, _ in brute(rows, 12)[100]]
+    df = rows + vectors(300, d=16, seed=12) + [rows[i] for i in near for _ in range(29)]
+    got = found(ann.ann_digest(spark.createDataFrame(df, SCHEMA)))
+    at = {r[0]: np.array(r[1]) for r in rows}
+    other = {r[0]: np.array(r[1]) for r in df[300:600]}
+    least = {i: min(np.sqrt(((v - at[100]) ** 2).sum()) for v in (at[i], other[i])) for i in at if i != 100}
+    index, query = pa.table({"id": [r[0] for r in df], "v": [np.array(r[1]).tobytes() for r in df]}), at[100].tobytes()
+    best = ann._best(index, pa.table({"id": [100], "v": [query]}), 10).to_pydict()
+    want = sorted(least, key=lambda i: (least[i], i))[:10]
+    assert best["vec_id"] == want and best["score"] == [least[i] for i in want]
+    assert all(len({i for i, _ in pairs}) == 10 for pairs in got.values())
+
+
 def test_rows_that_take_no_part(spark):
     rows = vectors(200, d=16, seed=5)
     odd = [
