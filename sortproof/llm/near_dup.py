@@ -13,8 +13,8 @@ maxima) is 0.8 or more; the classes are the connected components of the links.
    themselves numerous stay alike.
 2. Improved consistent weighted sampling: ``BANDS * ROWS`` samples per
    document, the least of a value per shingle drawn from (shingle, sample)
-   and its weight.  The draws (r, c, beta) come from a table indexed by hash
-   bits and by the weight in steps of ``STEP``; ties go to the shingle's hash.
+   and its weight.  The draws (r, c, beta) come from 64 hash bits each, so
+   they are as fine in texts of millions of shingles as in short ones.
 3. Documents with equal texts are one node.  Nodes that agree in a band meet
    in a bucket.  A bucket's pairs aren't enumerated: first each node is
    verified against the leaders of its buckets that it shares most bands with.
@@ -31,7 +31,7 @@ maxima) is 0.8 or more; the classes are the connected components of the links.
    dissimilar.
 
 At similarity 0.8, 20 bands of 5 miss a pair with a probability of 0.0004, and
-three standard errors lie between 0.8 and ``ESTIMATE_FROM``.
+five standard errors lie between 0.8 and ``ESTIMATE_FROM``.
 
 Cases: null and empty texts are equal texts without shingles (one class);
 rows that are equal in id and text are one document, of which one row stays;
@@ -61,10 +61,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 DEPTH, WIDTH = 4, 1 << 16
 IDF_SPAN = 0.25
-STEP = 1.1
-LEVELS = 128
-DRAW_BITS = 13
-ESTIMATE_FROM = 0.68
+ESTIMATE_FROM = 0.6
+#: Shingles that may be sampled: those with a value below this over their text's weight.
+LIKELY = 4.0
+#: Shingles sampled at once, about.
+CACHED = 16_384
 #: Shingles of the texts on one side of a verification tile, about.
 TILE_SHINGLES = 50_000
 #: Members on one side of a comparison tile, about.
@@ -184,32 +185,86 @@ def _long_bytes(value: Column) -> Column:
 # -- weighted samples ----------------------------------------------------------
 
 def draw_table() -> np.ndarray:
-    """Rank of the sampling value by (weight level, draw): a row per level."""
-    g = np.random.default_rng(SEED + 1)
-    n = 1 << DRAW_BITS
-    r, log_c, beta = g.gamma(2.0, 1.0, n), np.log(g.gamma(2.0, 1.0, n)), g.random(n)
-    log_w = np.log(STEP) * np.arange(LEVELS)[:, None]
+    """Odd multipliers that turn a shingle's hash into the draws of a sample: a row per sample."""
+    odd = np.random.default_rng(SEED + 2).integers(1, 1 << 62, (BANDS * ROWS, 2), np.uint64)
+    return odd * _U64(2) + _U64(1)
+
+
+def _product(hashed: np.ndarray) -> np.ndarray:
+    """Product of the halves of 64 bits, each a uniform draw."""
+    return (hashed >> _U64(32)) * (hashed & _U64(0xFFFFFFFF))
+
+
+def _rough_product(hashed: np.ndarray) -> np.ndarray:
+    """The same in (0, 1) to about six digits."""
+    halves = hashed.view(np.uint32).astype(np.float32)
+    return halves[::2] * halves[1::2] * np.float32(2.0**-64)
+
+
+def _sampled(hashed: np.ndarray, odd: np.ndarray, log_w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log of the sampling value, what identifies it) of shingles for the sample of the multipliers ``odd``."""
+    r = 64 * np.log(2) - np.log(np.maximum(_product(hashed * odd[0]), _U64(1)).astype(np.float64))  # r and c are of
+    c = hashed * odd[1]  # two exponential draws each; log1p keeps the fine steps of a small c
+    halves = (c >> _U64(32)).astype(np.float64), (c & _U64(0xFFFFFFFF)).astype(np.float64)
+    with np.errstate(divide="ignore"):  # a draw of 0: an infinite value, never the least
+        log_c = np.log(-np.log1p(halves[0] / 2**32 - 1) - np.log1p(halves[1] / 2**32 - 1))
+    bits = mix64(hashed ^ odd[0])
+    beta = (bits >> _U64(11)).astype(np.float64) / 2**53
     t = np.floor(log_w / r + beta)
-    value = log_c - r * (t - beta) - r  # log of c / (y e^r), y = exp(r (t - beta))
-    _, rank = np.unique(value, return_inverse=True)
-    return rank.reshape(value.shape).astype(_U64)
+    return log_c - r * (t - beta) - r, bits ^ t.astype(np.int64).view(_U64)  # log of c / (y e^r), y = exp(r (t - beta))
 
 
 def samples(row: np.ndarray, values: np.ndarray, weights: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rows with shingles, their ``BANDS * ROWS`` samples as 64-bit values)."""
     head = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    level = np.clip(np.rint(np.log(weights) / np.log(STEP)), 0, LEVELS - 1).astype(np.int64) << DRAW_BITS
-    ranks = table.ravel() << _U64(40)
-    low = values >> _U64(24)
-    odd = np.random.default_rng(SEED + 2).integers(1, 1 << 62, BANDS * ROWS, np.uint64) * _U64(2) + _U64(1)
-    shift = _U64(64 - DRAW_BITS)
-    out = np.empty((len(head), BANDS * ROWS), _U64)
-    for k, m in enumerate(odd):
-        draw = ((values * m) >> shift).astype(np.int64) + level
-        out[:, k] = np.minimum.reduceat(ranks[draw] | low, head)
+    ends = np.append(head[1:], len(row))
+    out = np.empty((len(head), len(table)), _U64)
+    at = 0
+    while at < len(head):  # as many texts at once as stay in the processor's cache
+        to = max(at + 1, int(np.searchsorted(ends, head[at] + CACHED, "right")))
+        a, b = head[at], ends[to - 1]
+        out[at:to] = _least(head[at:to] - a, values[a:b], weights[a:b], table)
+        at = to
     return row[head], mix64(out)
 
 
+def _least(head: np.ndarray, values: np.ndarray, weights: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """What identifies the least sampling value, by text (starting at ``head``) and sample.
+
+    A value is at least (1 - u) v / w, for u and v the products of the two
+    uniform draws behind c and r.  So only shingles with that bound below
+    ``LIKELY`` over their text's weight are worked out; a text without a value
+    below it (one of e^LIKELY) is looked at as a whole.
+    """
+    text = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(values))))
+    most = LIKELY / np.add.reduceat(weights, head)
+    log_w, log_most, bound = np.log(weights), np.log(most), (weights * most[text] * (1 + 1e-5)).astype(np.float32)
+    out = np.empty((len(head), len(table)), _U64)
+
+    def settle(at: np.ndarray, k: int, whole: bool) -> np.ndarray:
+        """Fill in the samples of the texts with shingles ``at`` as far as they are sure; these texts."""
+        value, ident = _sampled(values[at], table[k], log_w[at])
+        first = np.flatnonzero(np.append(True, text[at[1:]] != text[at[:-1]]))
+        low = np.minimum.reduceat(value, first)
+        least = np.repeat(low, np.diff(np.append(first, len(at)))) == value
+        ident = np.minimum.reduceat(np.where(least, ident, ~_U64(0)), first)
+        which = text[at[first]]
+        sure = whole | (low <= log_most[which])
+        out[which[sure], k] = ident[sure]
+        return which[sure]
+
+    for k, odd in enumerate(table):
+        far = np.float32(1 - 1e-6) - _rough_product(values * odd[1])
+        far *= _rough_product(values * odd[0])
+        at = np.flatnonzero(far <= bound)
+        done = np.zeros(len(head), bool)
+        if len(at):
+            done[settle(at, k, False)] = True
+        if not done.all():
+            settle(np.flatnonzero(~done[text]), k, True)
+    return out
+
+
 def _signatures(texts: DataFrame, weights: Weights) -> DataFrame:
     """``_id, _key, n, sig, bands`` per row: 2 bytes per sample, and a hash per band."""
 

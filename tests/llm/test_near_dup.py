@@ -120,6 +120,30 @@ def test_samples_agree_as_often_as_weighted_sets_do():
     assert (sa == sb).mean() == pytest.approx(want, abs=0.14)
 
 
+@pytest.mark.parametrize(("single", "heavy", "times"), [(100_000, 100, 200), (16_000, 20, 180), (800, 10, 20), (30, 1, 8)])
+def test_samples_of_long_texts_with_a_repeated_passage(single, heavy, times):
+    rng = np.random.default_rng(single)
+    table, agree = near_dup.draw_table(), []
+    for _ in range(4):
+        values = rng.integers(0, 1 << 63, single + heavy, np.uint64) * np.uint64(2) + rng.integers(0, 2, single + heavy, np.uint64)
+        weights = np.append(np.full(single, 1.15), np.full(heavy, 1.15 * times))
+        both = np.append(values, values[:single])
+        row = np.append(np.zeros(len(values), int), np.ones(single, int))
+        _, drawn = near_dup.samples(row, both, np.append(weights, weights[:single]), table)
+        agree.append((drawn[0] == drawn[1]).mean())
+    assert np.mean(agree) == pytest.approx(single / (single + heavy * times), abs=0.07)
+
+
+def test_samples_by_weight_and_without_a_likely_shingle(monkeypatch):
+    rng = np.random.default_rng(3)
+    values, weights = rng.integers(0, 1 << 63, 500, np.uint64), rng.choice([1.0, 1.2, 7.0, 300.0], 500)
+    row, table = np.sort(rng.integers(0, 20, 500)), near_dup.draw_table()
+    want = near_dup.samples(row, values, weights, table)[1]
+    for likely in (0.01, 60.0):
+        monkeypatch.setattr(near_dup, "LIKELY", likely)
+        assert (near_dup.samples(row, values, weights, table)[1] == want).all()
+
+
 def test_shingles_and_sketch(spark):
     row, values, counts = near_dup.shingles(pa.array(["a b c d e f", None, "x y", "a b c d e a b c d e"]))
     assert Counter(row.tolist()) == {0: 2, 2: 1, 3: 5} and counts.sum() == 2 + 1 + 6
