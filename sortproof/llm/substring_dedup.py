@@ -20,10 +20,14 @@ The index is never held in one place:
   row per chunk to its key, not one per document.
 * Blocks are partitioned by anchor and sorted by (anchor, id).  A task streams
   over them and keeps only the windows of the anchor at hand, not its rows.
+* A short phrase with other words around it in many documents is the anchor of
+  ever new windows.  Block rows are counted by anchor first (a sample of
+  one in ``SAMPLE``); rows of anchors above ``HOT_ROWS`` are cut up into one per
+  window under a key of its own hash, so no key holds more than about that.
 * Spans go back to their documents as (anchor position, window bits).
 
 Two different windows would have to agree in 64 + 40 bits of hash to be taken
-for equal.
+for equal, or in 40 bits under one anchor (64 if it is a frequent one).
 
 Cases: null and empty texts have no words; texts below ``window`` words have
 no windows; rows that share an id don't remove words from each other, whether
@@ -50,6 +54,10 @@ WINDOW = 13
 ANCHOR = 4
 #: Texts whose windows are compared with each other before anything is shuffled.
 CHUNK_BYTES = 8_000_000
+#: Block rows of an anchor from which its windows part, about.
+HOT_ROWS = 65_536
+#: One of so many block rows is counted, by hash.
+SAMPLE = 64
 
 _U64 = np.uint64
 _RESIDUE = 5  # bytes of a window's own hash in a block row
@@ -79,8 +87,11 @@ def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())])
 
 
-def _block_rows(chunk: pa.RecordBatch, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``anchor, doc, place, residues`` of a chunk; residues are null where already settled."""
+def _block_rows(chunk: pa.RecordBatch, window: int, anchor: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows ``anchor, doc, place, residues`` of a chunk; residues are null where already settled.
+
+    Windows of the anchors ``hot`` have a row each, under a key in place of the anchor.
+    """
     span = window - anchor + 1
     ids = np.asarray(chunk.column("_id"), np.int64)
     tags = np.asarray(chunk.column("_tag"), np.int64)
@@ -106,12 +117,14 @@ def _block_rows(chunk: pa.RecordBatch, window: int, anchor: int) -> Iterator[pa.
         if not len(rows):
             continue
         begins = np.append(True, (at[rows][1:] != at[rows][:-1]) | (owner[rows][1:] != owner[rows][:-1]))
-        head = np.flatnonzero(begins)
+        apart = np.zeros(len(rows), bool) if done else np.isin(grams[at[rows]].view(np.int64), hot)
+        head = np.flatnonzero(begins | apart)
         lead = rows[head]
         bits = np.add.reduceat(bit[rows], head)
         packed = _pack(place[lead], bits, tags[owner[lead]], span)
         counts = np.diff(np.append(head, len(rows)))
         key = mix64(doc[lead].astype(_U64)) if done else grams[at[lead]]
+        key = np.where(apart[head], mix64(hashes[lead] ^ mix64(key)), key)
         residues = pa.nulls(len(lead), pa.binary()) if done else _binary(hashes[rows], counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key.view(np.int64)), pa.array(doc[lead]), pa.array(packed), residues],
@@ -178,25 +191,55 @@ def _tag(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit((1 << _TAG_BITS) - 1))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("_id"), _tag("text").alias("_tag"), F.col("text").alias("_text")
+    )
+
+
+def _hot_anchors(docs: DataFrame, window: int, anchor: int) -> np.ndarray:
+    """Anchors of more than about ``HOT_ROWS`` block rows: a bounded share of all rows, so few."""
+    none, sample = np.empty(0, np.int64), SAMPLE
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in blocks(batch, "_text", CHUNK_BYTES):
+                for rows in _block_rows(chunk, window, anchor, none):
+                    if rows.column("residues").null_count:
+                        continue
+                    doc, place = (np.asarray(rows.column(c), np.int64).view(_U64) for c in ("doc", "place"))
+                    own = np.asarray(rows.column("anchor"), np.int64)[mix64(doc ^ mix64(place)) % _U64(sample) == 0]
+                    keys, n = np.unique(own, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], ["anchor", "n"])
+
+    counts = _texts(docs).mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") * SAMPLE > HOT_ROWS).select("anchor").collect()
+    return np.array(sorted(r["anchor"] for r in found), np.int64)
+
+
+def _indexed(docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """Block rows ``anchor, doc, place, residues`` of all documents."""
+    hot = _hot_anchors(docs, window, anchor)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in blocks(batch, "_text", CHUNK_BYTES):
+                yield from _block_rows(chunk, window, anchor, hot)
+
+    return _texts(docs).mapInArrow(cut, "anchor long, doc long, place long, residues binary")
+
+
 def duplicate_places(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``_id, _tag, places`` for documents with duplicate windows (packed positions and window bits)."""
     span = window - anchor + 1
     if not 1 <= span <= 16:
         raise ValueError("anchor must be 0 to 15 words shorter than the window")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in blocks(batch, "_text", CHUNK_BYTES):
-                yield from _block_rows(chunk, window, anchor)
-
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _match(batches, span)
 
-    texts = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("_id"), _tag("text").alias("_tag"), F.col("text").alias("_text")
-    )
     return (
-        texts.mapInArrow(cut, "anchor long, doc long, place long, residues binary")
+        _indexed(docs, window, anchor)
         .repartition("anchor")
         .sortWithinPartitions("anchor", "doc")
         .mapInArrow(match, "doc long, place long")

@@ -90,3 +90,17 @@ def test_anchors_that_go_on_in_the_next_batch(docs_df, spark, monkeypatch):
         finally:
             spark.conf.set(key, before)
         assert sorted(got, key=repr) == brute(rows)
+
+
+def test_windows_of_a_frequent_anchor_part(docs_df, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", 20)
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 1)
+    rng = random.Random(8)
+    phrase = " ".join(f"p{i}" for i in range(12))
+    rows = [(i, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(20)) + f" {phrase} n{i % 90} end end end") for i in range(150)]
+    df = docs_df(rows).repartition(3)
+    index = substring_dedup._indexed(df.select("doc_id", "text"), 13, 4).where("residues is not null")
+    sizes = [r["n"] for r in index.groupBy("anchor").agg({"doc": "count"}).withColumnRenamed("count(doc)", "n").collect()]
+    assert max(sizes) <= 20
+    assert sorted((tuple(r) for r in substring_dedup_digest(df).collect()), key=repr) == brute(rows)
