@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortproof.llm import ann, bpe, line_dedup, mixing, near_dup, quality_rules, sharding, site_quality, substring_dedup, toxicity
+from sortproof.llm import (
+    ann,
+    bpe,
+    divergence_audit,
+    line_dedup,
+    mixing,
+    near_dup,
+    quality_rules,
+    sharding,
+    site_quality,
+    substring_dedup,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +69,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.divergence_audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -68,9 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_site_quality": op8_site_quality,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_divergence_audit": op11_divergence_audit,
 }
 
 ORACLE: dict[str, str] = {
     "op7_line_dedup": line_dedup.LINE_DEDUP_SQL,
     "op10_substring_dedup": substring_dedup.SUBSTRING_DEDUP_SQL,
+    "op11_divergence_audit": divergence_audit.DIVERGENCE_AUDIT_SQL,
 }

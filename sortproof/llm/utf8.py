@@ -77,11 +77,16 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first) of all words; ``first[i]`` is the index of text i's first word."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first) of all words; ``first[i]`` is the index of text i's first word.
+
+    ``apart`` says of each byte value whether it stands between words.
+    """
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~_IS_SPACE[data]
+    inside[1:-1] = ~apart[data]
     begins = inside[1:-1] & ~inside[:-2]
     stops = inside[1:-1] & ~inside[2:]
     edges = offsets[(offsets > 0) & (offsets < n)]
