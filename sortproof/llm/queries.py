@@ -18,7 +18,9 @@ from sortproof.llm import (
     sharding,
     site_quality,
     substring_dedup,
+    token_codes,
     toxicity,
+    vector_codes,
 )
 
 
@@ -73,6 +75,14 @@ def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_audit.divergence_audit(table(spark, sf_dir, "documents"))
 
 
+def op12_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_codes.token_files_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes_digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -85,10 +95,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_divergence_audit": op11_divergence_audit,
+    "op12_token_codes": op12_token_codes,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
     "op7_line_dedup": line_dedup.LINE_DEDUP_SQL,
     "op10_substring_dedup": substring_dedup.SUBSTRING_DEDUP_SQL,
     "op11_divergence_audit": divergence_audit.DIVERGENCE_AUDIT_SQL,
+    "op13_vector_codes": vector_codes.VECTOR_CODES_SQL,
 }
