@@ -283,8 +283,8 @@ def _codes_sql() -> str:
     step = ["""
 WITH k AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, vec_id, label, len(embedding) // 4 AS w,
-         list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), c AS MATERIALIZED (
   SELECT rid, vec_id, i // w AS part, i % w AS i, v[i + 1] AS x FROM k, unnest(range(4 * w)) AS t(i)
 ), b0 AS MATERIALIZED (
