@@ -25,8 +25,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sortproof.functions.cutting import chunk_numbers
 from sortproof.functions.record import size_estimate
-from sortproof.schema import OFFSET_COL, RANGE_COL, RECORD_COLUMNS, RECORD_SCHEMA, SORT_KEYS
+from sortproof.schema import OFFSET_COL, RANGE_COL, RECORD_COLUMNS, RECORD_SCHEMA, RUN_COL, SORT_KEYS
 from sortproof.session import scratch_path, write_and_read
 
 SortSpec = list[tuple[str, bool]]
@@ -246,32 +247,29 @@ def rank_records(
 
 
 # --------------------------------------------------------------- O5
-def chunk_rows_for(df: DataFrame, budget_bytes: int = DEFAULT_RUN_BUDGET) -> int:
-    """Rows per chunk so that a chunk holds about ``budget_bytes`` estimated bytes (A5)."""
-    if budget_bytes <= 0:
-        raise ValueError("budget_bytes must be positive")
-    mean = df.agg(F.avg(size_estimate()).alias("m")).first()["m"]
-    return max(1, int(budget_bytes / mean)) if mean else 1
-
-
 def sorted_chunks(
     df: DataFrame, key, budget_bytes: int = DEFAULT_RUN_BUDGET, tiebreak: bool = True,
-    chunk_rows: int | None = None, java_string_order: bool = False,
-) -> tuple[DataFrame, int]:
-    """Cut the input into chunks of about ``budget_bytes`` and sort each.
-
-    Every input partition is cut in order of arrival into chunks of
-    ``chunk_rows`` rows (the last one shorter) and sorted by (chunk, key):
-    nothing is shuffled, as a task that fills a buffer and spills it would
-    do.  Returns the rows, chunk after chunk in each partition, and
-    ``chunk_rows``; the budget is a mean, not a cap.
+    chunk_rows: int | None = None, java_string_order: bool = False, size: Column | None = None,
+) -> DataFrame:
+    """Cut the input into chunks of ``budget_bytes`` estimated bytes and sort each.
+
+    Every input partition is cut in order of arrival, as a task that fills a
+    buffer and spills it would do: the row that brings a chunk to the budget
+    is its last one, so no chunk exceeds the budget by more than one row, and
+    only a partition's last chunk is smaller.  Nothing is shuffled.  Column
+    ``run`` numbers the chunks of a partition; rows come chunk after chunk,
+    sorted inside.  ``size`` is a row's bytes (default: the estimate of a
+    record, A5); ``chunk_rows`` cuts by a number of rows instead.
     """
-    n = chunk_rows or chunk_rows_for(df, budget_bytes)
+    if chunk_rows is None and budget_bytes <= 0:
+        raise ValueError("budget_bytes must be positive")
     exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
-    start = F.shiftleft(F.spark_partition_id().cast("bigint"), _PARTITION_SHIFT)
-    place = F.monotonically_increasing_id() - start
-    cut = df.withColumn("_chunk", F.floor(place / F.lit(n)))
-    return cut.sortWithinPartitions("_chunk", *exprs).drop("_chunk"), n
+    if chunk_rows is None:
+        run = chunk_numbers(size_estimate() if size is None else size, budget_bytes)
+    else:
+        start = F.shiftleft(F.spark_partition_id().cast("bigint"), _PARTITION_SHIFT)
+        run = F.floor((F.monotonically_increasing_id() - start) / F.lit(chunk_rows))
+    return df.withColumn(RUN_COL, run).sortWithinPartitions(RUN_COL, *exprs)
 
 
 # --------------------------------------------------------------- O6

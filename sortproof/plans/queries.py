@@ -385,26 +385,54 @@ def q_sort_custom(spark, sf):
     return rank_records(records(spark, sf), ["-continent", "name"])
 
 
-@query(
-    "sorted_chunks",
-    _with("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS too_long, "
-          "min(id) AS least, max(id) AS greatest FROM records"),
-)
-def q_sorted_chunks(spark, sf):
-    """O5 + K4 + V6: bounded sorted chunks written as run files; every file's order, length and edges checked."""
+def _chunk_report(spark, planted: DataFrame) -> DataFrame:
+    """Chunks written within the budget, every file checked: rows, bytes, order, edges, and chunks too long or too short."""
     path = scratch_path(spark, "runs")
-    limit = write_runs(records(spark, sf), "id", path, CHUNK_BUDGET)
+    write_runs(planted, "id", path, CHUNK_BUDGET)
     runs = read_runs(spark, path)
-    edges = runs.groupBy("chunk").agg(F.min_by("id", "row_index").alias("first"), F.max_by("id", "row_index").alias("last"))
-    return chunk_check(runs, "id").join(edges, "chunk").agg(
+    per = runs.groupBy("chunk").agg(
+        F.min_by("id", "row_index").alias("first"), F.max_by("id", "row_index").alias("last"),
+        F.sum(size_estimate()).alias("bytes"), F.max(size_estimate()).alias("widest"),
+    )
+    whole = planted.select(F.spark_partition_id().alias("p")).distinct().agg(F.count("*").alias("parts"))
+    return chunk_check(runs, "id").join(per, "chunk").agg(
         F.sum("rows").cast("bigint").alias("rows"),
+        F.sum("bytes").cast("bigint").alias("bytes"),
         F.sum("violations").cast("bigint").alias("violations"),
-        F.count_if(F.col("rows") > limit).alias("too_long"),
+        # a chunk ends with the row that brings it to the budget
+        F.count_if(F.col("bytes") - F.col("widest") >= CHUNK_BUDGET).alias("over_budget"),
+        F.count_if(F.col("bytes") < CHUNK_BUDGET).alias("short"),
         F.min("first").alias("least"),
         F.max("last").alias("greatest"),
+    ).crossJoin(F.broadcast(whole)).select(  # one row each; only the last chunk of a partition may be short
+        "rows", "bytes", "violations", "over_budget", (F.col("short") > F.col("parts")).alias("too_many_short"), "least", "greatest"
     )
 
 
+def _chunk_report_sql(address: str) -> str:
+    return _with(
+        "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(44 + 2 * (length(name) + length(address) + length(continent))) AS BIGINT) "
+        "AS bytes, CAST(0 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS over_budget, false AS too_many_short, min(id) AS least, "
+        f"max(id) AS greatest FROM (SELECT id, name, {address} AS address, continent FROM records)")
+
+
+@query("sorted_chunks", _chunk_report_sql("address"))
+def q_sorted_chunks(spark, sf):
+    """O5 + K4 + V6: sorted chunks written as run files; every file's order, bytes and edges checked."""
+    return _chunk_report(spark, records(spark, sf))
+
+
+# Rows of very different sizes: stretches of wide ones, some of them half a budget, between narrow ones.
+_WIDE = "CASE WHEN {n} % 97 = 0 THEN repeat(address, 3000) WHEN {n} % 7 = 0 THEN repeat(address, 50) ELSE address END"
+
+
+@query("chunk_budget", _chunk_report_sql(_WIDE.format(n="l_orderkey")))
+def q_chunk_budget(spark, sf):
+    """O5 + K4 on rows whose sizes are planted: chunks keep to the budget in bytes whatever the rows are."""
+    planted = records(spark, sf, extra=("l_orderkey",)).withColumn("address", F.expr(_WIDE.format(n="l_orderkey")))
+    return _chunk_report(spark, planted.select(*REC))
+
+
 SLICES = 7
 _SLICE_SQL = " UNION ALL ".join(
     f"SELECT id, name, address, continent FROM records WHERE ((l_linenumber % {SLICES}) + {SLICES}) % {SLICES} = {i}"

@@ -43,6 +43,9 @@ REPORT_SCHEMA = T.StructType(
 RANGE_COL = "range_id"
 OFFSET_COL = "offset"
 
+# Number of a sorted chunk among those of its input partition.
+RUN_COL = "run"
+
 # Named sort keys (case-insensitive).  The value is the primary key column;
 # the remaining record columns are appended as tie-breakers so that the
 # output (and every rank) is reproducible.

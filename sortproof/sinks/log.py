@@ -21,7 +21,7 @@ from sortproof.operators.sort import (
     with_positions,
     write_sorted,
 )
-from sortproof.schema import OFFSET_COL, RANGE_COL
+from sortproof.schema import OFFSET_COL, RANGE_COL, RUN_COL
 from sortproof.session import scratch_path, write_and_read
 
 # Producer settings of the reference, as Spark Kafka writer options.
@@ -149,30 +149,30 @@ def write_single_partition_log(
 def write_runs(
     records: DataFrame, key, path: str, budget_bytes: int, fmt: str = "parquet", chunk_rows: int | None = None,
     java_string_order: bool = False,
-) -> int:
-    """Sorted bounded chunks, one part file per chunk (K4).
+) -> None:
+    """Sorted chunks within a byte budget, one part file per chunk (K4).
 
     ``fmt="text"`` writes CSV lines (the reference's run files);
     ``"parquet"`` keeps ``_metadata.row_index`` usable for the chunk check.
-    A task writes the chunks of its input partition one after the other and
-    begins a new file after ``chunk_rows`` rows.  Returns ``chunk_rows``.
+    A task writes the chunks of its input partition one after the other; the
+    n-th chunks of all partitions share the folder ``run=n``.
     """
-    chunks, n = sorted_chunks(records, key, budget_bytes, chunk_rows=chunk_rows, java_string_order=java_string_order)
+    chunks = sorted_chunks(records, key, budget_bytes, chunk_rows=chunk_rows, java_string_order=java_string_order)
     if fmt == "text":
-        chunks = chunks.select(to_csv_checked().alias("value"))
-    w = chunks.write.mode("overwrite").option("maxRecordsPerFile", n)
+        chunks = chunks.select(to_csv_checked().alias("value"), RUN_COL)
+    w = chunks.write.mode("overwrite").partitionBy(RUN_COL)
     if fmt == "text":
         w.text(path)
     else:
         w.option("compression", "zstd").parquet(path)
-    return n
 
 
 def read_runs(spark, path: str) -> DataFrame:
-    """Run files with their chunk (file) and place in it (Parquet runs)."""
-    return spark.read.parquet(path).select(
-        "*", F.col("_metadata.file_name").alias("chunk"), F.col("_metadata.row_index").alias("row_index")
-    )
+    """Run files with their chunk (folder and file) and place in it (Parquet runs)."""
+    runs = spark.read.parquet(path)
+    chunk = F.concat(F.col(RUN_COL).cast("string"), F.lit("/"), F.col("_metadata.file_name"))
+    own = [c for c in runs.columns if c != RUN_COL]
+    return runs.select(*own, chunk.alias("chunk"), F.col("_metadata.row_index").alias("row_index"))
 
 
 def for_each_sorted_partition(sorted_df: DataFrame, fn: Callable[[Iterable], None]) -> None:

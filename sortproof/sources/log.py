@@ -109,5 +109,4 @@ def stream_log(
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Newline-separated text files as a ``value`` column; empty lines skipped."""
-    df = spark.read.text(paths)
-    return df.filter(F.col("value") != "")
+    return spark.read.text(paths).select("value").filter(F.col("value") != "")

@@ -2,9 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sortproof.functions.cutting import cut_batch
+from sortproof.functions.record import size_estimate
 from sortproof.operators.sort import (
     global_rank,
     merge_sorted,
@@ -18,6 +21,7 @@ from sortproof.operators.sort import (
 )
 from sortproof.operators.verify import chunk_check
 from sortproof.sinks.log import read_runs, write_runs
+from sortproof.sources.log import read_lines
 
 
 def seeded_rows(n, seed, id_bound, name_fmt, addr_fmt, cont_mod):
@@ -31,46 +35,78 @@ def is_sorted(rows, key=lambda r: r[0]):
 
 
 def test_chunks_small_budget(spark, records_df, tmp_path):
-    df = records_df(seeded_rows(10_000, 42, 1_000_000, "Name_{}", "Address_{} Street", 7)).coalesce(1)
-    n = write_runs(df, "id", str(tmp_path / "runs"), budget_bytes=51_200)
-    per = chunk_check(read_runs(spark, str(tmp_path / "runs")), "id").collect()
-    assert len(per) == -(-10_000 // n) >= 2
-    assert sorted(r.rows for r in per)[1:] == [n] * (len(per) - 1)
-    assert sum(r.rows for r in per) == 10_000
-    assert all(r.violations == 0 and r.rows > 0 for r in per)
+    rows = seeded_rows(10_000, 42, 1_000_000, "Name_{}", "Address_{} Street", 7)
+    write_runs(records_df(rows).coalesce(1), "id", str(tmp_path / "runs"), budget_bytes=51_200)
+    runs = read_runs(spark, str(tmp_path / "runs"))
+    per = chunk_check(runs, "id").collect()
+    assert sum(r.rows for r in per) == 10_000 and all(r.violations == 0 and r.rows > 0 for r in per)
+    # the reference's rule: the row that reaches the budget ends the chunk
+    expect, held = [0], 0
+    for r in rows:
+        if held >= 51_200:
+            expect, held = [*expect, 0], 0
+        expect[-1] += 1
+        held += 44 + 2 * sum(map(len, r[1:]))
+    by_run = sorted((int(r.chunk.split("/")[0]), r.rows) for r in per)
+    assert [n for _, n in by_run] == expect and len(expect) >= 2
 
 
 def test_chunks_large_budget_and_one_chunk(spark, records_df, tmp_path):
     df = records_df(seeded_rows(5_000, 99, 500_000, "Person_{}", "Addr_{}", 5)).coalesce(1)
-    chunks, n = sorted_chunks(df, "id", budget_bytes=157_286_400)
-    rows = [tuple(r) for r in chunks.collect()]
-    assert n >= 5_000 and len(rows) == 5_000 and is_sorted(rows)
+    rows = sorted_chunks(df, "id", budget_bytes=157_286_400).collect()
+    assert {r.run for r in rows} == {0} and len(rows) == 5_000 and is_sorted([tuple(r) for r in rows])
     small = records_df([(500 - i, "n", "a", "c") for i in range(500)]).coalesce(1)
-    one, n1 = sorted_chunks(small, "id", budget_bytes=157_286_400)
-    assert n1 >= 500 and [r.id for r in one.collect()] == list(range(1, 501))
+    assert [r.id for r in sorted_chunks(small, "id", budget_bytes=157_286_400).collect()] == list(range(1, 501))
 
 
 def test_many_chunks_zero_padded_names(spark, records_df, tmp_path):
     df = records_df([(i, "N", "A", "C") for i in range(100)]).coalesce(1)
-    n = write_runs(df, "id", str(tmp_path / "r"), budget_bytes=200, fmt="text")
-    import os
-
-    names = sorted(f for f in os.listdir(tmp_path / "r") if f.startswith("part-"))
-    assert len(names) == -(-100 // n) >= 2 and all(f[5:10].isdigit() for f in names)
+    write_runs(df, "id", str(tmp_path / "r"), budget_bytes=200, fmt="text")  # 50 bytes a row
+    names = sorted(f.name for f in (tmp_path / "r").rglob("part-*"))
+    assert len(names) == 25 and all(f[5:10].isdigit() for f in names)
+    assert read_lines(spark, str(tmp_path / "r")).count() == 100
+
+
+def test_chunks_of_planted_sizes_keep_to_the_budget(spark, records_df, tmp_path):
+    # 15,000 short rows, then 5,000 long ones: a mean row size would cut badly
+    rows = [(i, "n", "a" if i < 15_000 else "a" * 400, "c") for i in range(20_000)]
+    for parts in (1, 3):
+        path = str(tmp_path / f"runs{parts}")
+        write_runs(records_df(rows).coalesce(parts), "id", path, budget_bytes=262_144)
+        per = read_runs(spark, path).groupBy("chunk").agg(F.sum(size_estimate()).alias("b"), F.max(size_estimate()).alias("w")).collect()
+        assert all(r.b - r.w < 262_144 for r in per)
+        assert sum(r.b < 262_144 for r in per) <= max(parts, records_df(rows).coalesce(parts).rdd.getNumPartitions())
+
+
+@pytest.mark.parametrize("batch", [1, 3, 50, 1000])
+def test_cuts_do_not_depend_on_batches(batch):
+    rng = random.Random(batch)
+    sizes = [rng.choice([0, 1, 5, 30, 400]) for _ in range(700)]
+    whole, _, _ = cut_batch(np.array(sizes), 0, 100)
+    got, done, held = [], 0, 0
+    for i in range(0, len(sizes), batch):
+        before, closed, held = cut_batch(np.array(sizes[i : i + batch]), held, 100)
+        got += (before + done).tolist()
+        done += closed
+    assert got == whole.tolist()
+    for c in range(max(got)):  # all but the last: at the budget, and not before the last row
+        own = [s for s, g in zip(sizes, got, strict=True) if g == c]
+        assert sum(own) >= 100 and sum(own[:-1]) < 100
+    assert cut_batch(np.zeros(0, int), 7, 100)[1:] == (0, 7)
 
 
 def test_chunks_are_cut_without_a_shuffle(spark, records_df):
     df = records_df(seeded_rows(1_000, 1, 500, "N{}", "A{}", 3)).repartition(3)
-    chunks, n = sorted_chunks(df, "id", chunk_rows=70)
-    assert n == 70 and chunks.count() == 1_000
-    plan = sorted_chunks(spark.range(9).selectExpr("int(id) as id", "'' as name", "'' as address", "'' as continent"),
-                         "id", chunk_rows=4)[0]._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert sorted_chunks(df, "id", chunk_rows=70).count() == 1_000
+    src = spark.range(9).selectExpr("int(id) as id", "'' as name", "'' as address", "'' as continent")
+    for own in (sorted_chunks(src, "id", chunk_rows=4), sorted_chunks(src, "id", 100)):
+        assert "Exchange" not in own._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="positive"):
+        sorted_chunks(df, "id", 0)
 
 
 def test_empty_input(spark, records_df):
-    chunks, n = sorted_chunks(records_df([]), "id", budget_bytes=1000)
-    assert n == 1 and chunks.count() == 0
+    assert sorted_chunks(records_df([]), "id", budget_bytes=1000).count() == 0
 
 
 def merge_inputs(records_df, k, per_file):

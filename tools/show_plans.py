@@ -63,7 +63,7 @@ def main() -> None:
          order_violations(sorted_t, "name", with_lines=False)),
         ("Chunk check: one window per written file, aggregated in place",
          chunk_check(sorted_t.withColumnRenamed("range_id", "chunk").withColumnRenamed("offset", "row_index"), "name")),
-        ("Sorted chunks: no exchange", sorted_chunks(src, "name", chunk_rows=1000)[0]),
+        ("Sorted chunks: no exchange", sorted_chunks(src, "name", 1 << 20)),
         ("Counts and checksums of two datasets in one aggregation", dataset_stats(
             {"source": src, "name": sorted_t.select("id", "name", "address", "continent")})),
         ("Exact multiset difference with partial aggregation", multiset_difference(
