@@ -18,11 +18,12 @@ A file (``TokenFile``; all numbers little-endian):
         and but for the last: bitmap, rank directory   1 bit each; 4 bytes each
     crc32 of all this, a line feed                     5 bytes
 
-* Encoding.  A task encodes the distinct words of a block of texts (cut at
-  blanks and line feeds) with the ``tokenizers`` library, keeps the results of
-  frequent words, and puts the texts together from them.  The vocabulary's
-  normaliser and splitter never reach over white space, so these are the ids
-  of the whole texts; strings of special tokens are ordinary text.
+* Encoding.  A task encodes the distinct units of a block of texts (words and
+  pieces of words that the vocabulary's splitter never joins, see
+  ``unit_spans``) with the ``tokenizers`` library, keeps the results, and puts
+  the texts together from them: the ids of the whole texts, as the tests
+  compare.  Strings of special tokens are ordinary text.  The cuts fit
+  vocabularies like the query's; ``whole_texts=True`` encodes texts as they are.
 * Order.  Rows are range-sorted by document id (equal ids by the hash of their
   texts, equal rows by the input partition, so that copies spread); a task
   closes a file at ``FILE_TOKENS`` tokens, so memory is bounded.
@@ -52,7 +53,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sortproof._pickling import ship_by_value
-from sortproof.llm.utf8 import blocks, flat, word_spans
+from sortproof.llm.utf8 import blocks, flat
 from sortproof.session import scratch_path, write_and_read
 
 MAGIC = b"DACTOK01"
@@ -63,14 +64,28 @@ FILE_TOKENS = 1 << 23
 #: The end token that the query's documents get.
 END_ID = 2
 #: Words and ids that a task keeps encoded.
-KEPT_WORDS, KEPT_IDS = 500_000, 4_000_000
+KEPT_WORDS, KEPT_IDS = 1_000_000, 8_000_000
 
 _HEADER = "<8s9Q"
 _HEADER_BYTES = struct.calcsize(_HEADER)
 _LEVELS = 32 // CHUNK_BITS
-# Blank and line feed, which part words here (all white space parts tokens).
+# Blank and line feed, which part units here (all white space parts tokens); the end mark of a word's last token.
 _APART = np.zeros(256, bool)
 _APART[[0x20, 0x0A]] = True
+_WORD_END = "</w>"
+#: Plain words encoded in one call.
+_AT_ONCE = 128
+# Kinds of bytes, and between which of them a unit ends.
+_OTHER, _LETTER, _DIGIT, _APOSTROPHE, _BEYOND = range(5)
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x27] = _APOSTROPHE
+_KIND[0x80:] = _BEYOND
+_CUT = np.zeros((5, 5), bool)
+_CUT[_DIGIT, :4] = _CUT[:4, _DIGIT] = True
+_CUT[_LETTER, [_OTHER, _APOSTROPHE]] = True
+_CUT[_OTHER, _LETTER] = True
 
 
 # -- codes ---------------------------------------------------------------------
@@ -214,8 +229,36 @@ def file_bytes(range_: int, part: int, doc_ids: pa.Array, counts: np.ndarray, id
 
 # -- encoding ------------------------------------------------------------------
 
+def unit_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all units, where each begins in them, index of each text's first unit).
+
+    A unit is a piece of text whose ids don't depend on what stands next to it
+    under a vocabulary that lower-cases, takes runs of letters, single digits,
+    runs of other characters, and ``'s 't 're 've 'm 'll 'd``.  Texts are cut
+    at blanks and line feeds, around ASCII digits, after ASCII letters before
+    any other ASCII character, and before ASCII letters after any but an
+    apostrophe; never next to a character beyond ASCII, which may be a letter,
+    a digit, a mark or none.  A-Z is lower-cased unless such a character follows.
+    """
+    n = len(data)
+    inside = ~_APART[data]
+    kind = _KIND[data]
+    begin = inside.copy()
+    if n:
+        low, high = kind[:-1], kind[1:]
+        joined = inside[:-1] & ~_CUT[low, high]
+        joined[offsets[(offsets > 0) & (offsets < n)] - 1] = False
+        begin[1:] &= ~joined
+    follows = np.append(data[1:], 0)
+    upper = (data >= 0x41) & (data <= 0x5A) & (follows < 0x80)
+    letters = np.where(upper, data | 0x20, data)[inside]
+    starts = np.flatnonzero(begin)
+    at = np.append(np.cumsum(inside)[starts] - 1, len(letters)).astype(np.int64)
+    return letters, at, np.searchsorted(starts, offsets)
+
+
 class WordEncoder:
-    """Ids of whole texts by the ``tokenizers`` library, through their distinct words."""
+    """Ids of whole texts by the ``tokenizers`` library, through their distinct units."""
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -223,31 +266,69 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokens = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(tokens.values()) + 1, bool)
+        self.closes[[i for t, i in tokens.items() if t.endswith(_WORD_END)]] = True
         self._forget()
 
+    @classmethod
+    def shared(cls, vocabulary: str) -> WordEncoder:
+        """The worker process's own: the tasks that it runs one after the other share what is encoded."""
+        import tokenizers
+
+        kept = vars(tokenizers).setdefault("_kept_word_encoders", {})
+        if vocabulary not in kept:
+            kept[vocabulary] = cls(vocabulary)
+        return kept[vocabulary]
+
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.begin, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, words: list[bytes]) -> None:
+        """Encode new units; plain words many at a time, as each is one run of letters with one closing token."""
+        plain = [w for w in words if w.isalpha()]
+        odd = [w for w in words if not w.isalpha()]
+        ids, sizes = [], []
+        for i in range(0, len(plain), _AT_ONCE):
+            some = plain[i : i + _AT_ONCE]
+            (own,) = self._encoded([b" ".join(some).decode()])
+            ends = np.flatnonzero(self.closes[own]) + 1
+            if len(ends) != len(some):  # not such a vocabulary
+                parts = self._encoded([w.decode() for w in some])
+                own, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts])
+            ids.append(own)
+            sizes.append(np.diff(ends, prepend=0))
+        for i in range(0, len(odd), 1024):
+            parts = self._encoded([w.decode() for w in odd[i : i + 1024]])
+            ids += parts
+            sizes.append(np.array([len(x) for x in parts]))
+        at = len(self.known)
+        self.known.update(zip([*plain, *odd], range(at, at + len(words)), strict=True))
+        self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes)))
+        self.ids = np.concatenate([self.ids, *ids])
+
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        """Number of each word among those kept; new ones are encoded."""
+        """Number of each unit among those kept; new ones are encoded."""
         if len(self.known) > KEPT_WORDS or len(self.ids) > KEPT_IDS:
             self._forget()
         new = [w for w in words if w not in self.known]
         if new:
-            got = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.begin = np.append(self.begin, self.begin[-1] + np.cumsum([len(x) for x in got]))
-            self.ids = np.append(self.ids, np.fromiter((i for x in got for i in x), np.uint32))
-        return np.fromiter((self.known[w] for w in words), np.int64, len(words))
+            self._add(new)
+        return np.array(list(map(self.known.__getitem__, words)), np.int64)
+
+    def whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same by encoding every text as it is, for any vocabulary."""
+        parts = self._encoded([t or "" for t in texts.to_pylist()])
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array([len(x) for x in parts], np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, how many each has)."""
-        data, offsets = flat(texts)
-        starts, ends, first = word_spans(data, offsets, _APART)
-        letters = data[~_APART[data]]
-        at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(letters)])
+        letters, at, first = unit_spans(*flat(texts))
+        column = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(letters)])
         coded = column.dictionary_encode()
         number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         begin, size = self.begin[number], np.diff(self.begin)[number]
@@ -267,7 +348,7 @@ def _with_ends(ids: np.ndarray, counts: np.ndarray, end_id: int | None) -> tuple
     return out, counts + 1
 
 
-def _files(rows: DataFrame, vocabulary: str, end_id: int | None, file_tokens: int) -> DataFrame:
+def _files(rows: DataFrame, vocabulary: str, end_id: int | None, file_tokens: int, whole_texts: bool) -> DataFrame:
     """``file``: the files of each range of ``_id, _text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,8 +362,9 @@ def _files(rows: DataFrame, vocabulary: str, end_id: int | None, file_tokens: in
 
         for batch in batches:
             for block in blocks(batch, "_text"):
-                encoder = encoder or WordEncoder(vocabulary)
-                own, n = _with_ends(*encoder(block.column("_text")), end_id)
+                encoder = encoder or WordEncoder.shared(vocabulary)
+                encode = encoder.whole if whole_texts else encoder
+                own, n = _with_ends(*encode(block.column("_text")), end_id)
                 names.append(block.column("_id"))
                 counts.append(n)
                 ids.append(own)
@@ -297,7 +379,8 @@ def _files(rows: DataFrame, vocabulary: str, end_id: int | None, file_tokens: in
 
 
 def write_token_files(
-    docs: DataFrame, path: str, vocabulary: str, end_id: int | None = END_ID, file_tokens: int = FILE_TOKENS
+    docs: DataFrame, path: str, vocabulary: str, end_id: int | None = END_ID, file_tokens: int = FILE_TOKENS,
+    whole_texts: bool = False,
 ) -> None:
     """Encode all texts and write them as files under ``path``, in ascending order of ``doc_id``."""
     rows = docs.select(
@@ -305,7 +388,7 @@ def write_token_files(
         F.xxhash64("text").alias("_t"), F.spark_partition_id().alias("_copy"),
     )
     keys = ["_id", "_t", "_copy"]
-    files = _files(rows.repartitionByRange(*keys).sortWithinPartitions(*keys), vocabulary, end_id, file_tokens)
+    files = _files(rows.repartitionByRange(*keys).sortWithinPartitions(*keys), vocabulary, end_id, file_tokens, whole_texts)
     # a file per row: the sink writes the bytes as they are, then a line feed
     writer = files.select(F.col("file").cast("string")).write.mode("overwrite")
     writer.option("maxRecordsPerFile", 1).option("compression", "none").option("lineSep", "\n").text(path)
