@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from sortproof.functions.cutting import chunk_numbers
 from sortproof.functions.record import size_estimate
+from sortproof.operators.ordering import By, key_items, with_order_columns
 from sortproof.schema import OFFSET_COL, RANGE_COL, RECORD_COLUMNS, RECORD_SCHEMA, RUN_COL, SORT_KEYS
 from sortproof.session import scratch_path, write_and_read
 
@@ -47,14 +48,11 @@ def order_spec(key, columns: list[str] | None = None, tiebreak: bool = True) ->
     name, ``"-col"`` for descending, a ``(column, ascending)`` tuple, or a
     list of these.  With ``tiebreak`` the remaining columns follow in
     ascending order, which makes the order (and every rank) reproducible.
+    Expressions (:class:`sortproof.operators.ordering.By`) are made columns
+    before, by the functions that sort, rank and check.
     """
     columns = list(columns or RECORD_COLUMNS)
-    if isinstance(key, tuple) and len(key) == 2 and isinstance(key[1], bool):
-        items = [key]
-    elif isinstance(key, (list, tuple)):
-        items = list(key)
-    else:
-        items = [key]
+    items = key_items(key)
     if not items:
         raise ValueError("no sort column given")
     spec: SortSpec = []
@@ -137,10 +135,10 @@ def total_sort(
     Without ``tiebreak`` all rows of one key fall into one range, so a key
     that holds much of the input makes one task sort it all.
     """
-    exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
-    tagged, extra = _with_copy_breaker(df, tiebreak, stable_input)
-    out = tagged.orderBy(*exprs, *extra)
-    return out.drop(_DUP) if extra else out
+    keyed, plain = with_order_columns(df, key)
+    exprs = sort_exprs(keyed, _spec(keyed, plain, tiebreak), java_string_order)
+    tagged, extra = _with_copy_breaker(keyed, tiebreak, stable_input)
+    return _without(tagged.orderBy(*exprs, *extra), df)
 
 
 def range_sort(
@@ -150,12 +148,19 @@ def range_sort(
     """Range-partitioned sort with an explicit number of ranges.
 
     Partition ``i`` holds only keys <= those of partition ``i+1`` and is
-    sorted; the concatenation of partitions is the total order.
+    sorted; the concatenation of partitions is the total order.  The bounds
+    are sampled anew in every run; :mod:`sortproof.operators.splitters` keeps
+    them.
     """
-    exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
-    tagged, extra = _with_copy_breaker(df, tiebreak, stable_input)
-    out = tagged.repartitionByRange(num_ranges, *exprs, *extra).sortWithinPartitions(*exprs, *extra)
-    return out.drop(_DUP) if extra else out
+    keyed, plain = with_order_columns(df, key)
+    exprs = sort_exprs(keyed, _spec(keyed, plain, tiebreak), java_string_order)
+    tagged, extra = _with_copy_breaker(keyed, tiebreak, stable_input)
+    return _without(tagged.repartitionByRange(num_ranges, *exprs, *extra).sortWithinPartitions(*exprs, *extra), df)
+
+
+def _without(sorted_df: DataFrame, df: DataFrame) -> DataFrame:
+    """The sorted rows without the columns made for the sort."""
+    return sorted_df.drop(*[c for c in sorted_df.columns if c not in df.columns])
 
 
 def with_positions(sorted_df: DataFrame) -> DataFrame:
@@ -263,13 +268,14 @@ def sorted_chunks(
     """
     if chunk_rows is None and budget_bytes <= 0:
         raise ValueError("budget_bytes must be positive")
-    exprs = sort_exprs(df, _spec(df, key, tiebreak), java_string_order)
+    keyed, plain = with_order_columns(df, key)
+    exprs = sort_exprs(keyed, _spec(keyed, plain, tiebreak), java_string_order)
     if chunk_rows is None:
         run = chunk_numbers(size_estimate() if size is None else size, budget_bytes)
     else:
         start = F.shiftleft(F.spark_partition_id().cast("bigint"), _PARTITION_SHIFT)
         run = F.floor((F.monotonically_increasing_id() - start) / F.lit(chunk_rows))
-    return df.withColumn(RUN_COL, run).sortWithinPartitions(RUN_COL, *exprs)
+    return keyed.withColumn(RUN_COL, run).sortWithinPartitions(RUN_COL, *exprs).select(*df.columns, RUN_COL)
 
 
 # --------------------------------------------------------------- O6
@@ -294,8 +300,10 @@ def merge_sorted(spark: SparkSession, inputs: list[DataFrame], key, tiebreak: bo
 # --------------------------------------------------------------- O9
 def order_name(key, columns: list[str] | None = None) -> str:
     """A name for an order that no other order has: ``id``, ``id_desc``, ``name__id_desc``."""
-    spec = order_spec(key, columns=columns, tiebreak=False)
-    return "__".join(name if asc else f"{name}_desc" for name, asc in spec)
+    parts = [
+        (i.name, i.ascending) if isinstance(i, By) else order_spec(i, columns=columns, tiebreak=False)[0] for i in key_items(key)
+    ]
+    return "__".join(name if asc else f"{name}_desc" for name, asc in parts)
 
 
 def order_names(keys, columns: list[str] | None = None) -> list[str]:

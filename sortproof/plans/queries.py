@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,28 +29,36 @@ from sortproof.operators.sort import (
     merge_sorted,
     rank_records,
     sort_many,
-    total_sort,
     write_sorted,
     write_sorted_observed,
 )
+from sortproof.operators.merge import merge_sorted_tables
+from sortproof.operators.ordering import By
+from sortproof.operators.splitters import choose_splitters, load_splitters, with_range_ids, write_split
 from sortproof.operators.verify import chunk_check, order_violations, verify, verify_logs
 from sortproof.schema import RECORD_COLUMNS
 from sortproof.session import scratch_path, write_and_read
+from sortproof.sinks.ledger import Ledger
 from sortproof.sinks.log import (
-    for_each_sorted_partition,
+    append_keyed_log,
+    for_each_range,
     read_runs,
+    stream_to_callback,
     write_keyed_log,
     write_runs,
     write_single_partition_log,
     write_sorted_log,
 )
+from sortproof.sinks.once import OnceFiles
 from sortproof.sources.generator import generator_query, records_for_rows
 from sortproof.sources.log import read_lines, read_log, stream_log
 from sortproof.sources.tables import RECORDS_SQL, read_table, records_from_tables
 from sortproof.streaming.jobs import (
+    drain,
     land_and_sort,
     run_complete,
     run_order_monitor,
+    Snapshots,
     stream_stats,
 )
 
@@ -385,6 +394,37 @@ def q_sort_custom(spark, sf):
     return rank_records(records(spark, sf), ["-continent", "name"])
 
 
+# Names without regard to case, then longer addresses first, then one continent's rows as nulls at the end.
+_ODD_ORDER = "lower(name), length(address) DESC, nullif(continent, 'ASIA') DESC NULLS LAST"
+
+
+@query("sort_expression", _ranked_sql(f"{_ODD_ORDER}, id, name, address, continent"))
+def q_sort_expression(spark, sf):
+    """An order by expressions with null placement, through ranges and ranks."""
+    return rank_records(records(spark, sf), ODD_KEY)
+
+
+ODD_KEY = [By("lower(name)"), By("length(address)", ascending=False), By("nullif(continent, 'ASIA')", ascending=False, nulls="last")]
+
+
+@query("verify_expression", _with(
+    f""", ranked AS (
+  SELECT *, {CSV_SQL} AS line, row_number() OVER (ORDER BY {_ODD_ORDER}, id, name, address, continent) AS pos,
+         dense_rank() OVER (ORDER BY {_ODD_ORDER}) AS k FROM records
+), planted AS (
+  SELECT *, CASE WHEN pos % 500 = 0 THEN pos + 1 WHEN pos % 500 = 1 AND pos > 1 THEN pos - 1 ELSE pos END AS pos2 FROM ranked
+), lagged AS (
+  SELECT k, line, CAST(row_number() OVER w AS BIGINT) AS position, lag(k) OVER w AS prev_k, lag(line) OVER w AS prev_value
+  FROM planted WINDOW w AS (ORDER BY pos2)
+) SELECT position, position - 1 AS prev_position, prev_value, line AS curr_value FROM lagged WHERE prev_k > k"""))
+def q_verify_expression(spark, sf):
+    """O4 + V2: planted swaps in an order by expressions, found by the same expressions."""
+    p = F.col("pos")
+    swapped = F.when(p % 500 == 0, p + 1).when((p % 500 == 1) & (p > 1), p - 1).otherwise(p)
+    planted = rank_records(records(spark, sf), ODD_KEY).withColumn("pos2", swapped).drop("pos")
+    return order_violations(planted, ODD_KEY, position=("pos2",), chunk_rows=4096)
+
+
 def _chunk_report(spark, planted: DataFrame) -> DataFrame:
     """Chunks written within the budget, every file checked: rows, bytes, order, edges, and chunks too long or too short."""
     path = scratch_path(spark, "runs")
@@ -469,6 +509,61 @@ def q_range_sort(spark, sf):
     return global_rank(table).select(*REC, "pos")
 
 
+SPLIT_RANGES = 24
+
+
+def _split_sql() -> str:
+    key = "{t}.name, {t}.id, {t}.address, {t}.continent"
+    return _with(f"""
+, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY {_order('name')}) AS pos, count(*) OVER () AS n FROM records
+), bounds AS (
+  SELECT i, name, id, address, continent
+  FROM ranked JOIN (SELECT unnest(range(1, {SPLIT_RANGES})) AS i) ON pos = (i * n + {SPLIT_RANGES} - 1) // {SPLIT_RANGES}
+), datasets AS (
+  SELECT 'records' AS dataset, id, name, address, continent FROM records
+  UNION ALL SELECT 'upper', id, upper(name), address, continent FROM records
+), found AS (
+  SELECT d.dataset, d.id, d.name, d.address, d.continent, count(b.i) AS range_id
+  FROM datasets d LEFT JOIN bounds b ON row({key.format(t='b')}) < row({key.format(t='d')}) GROUP BY ALL, d.rowid_
+)
+SELECT * FROM found""").replace("GROUP BY ALL, d.rowid_", "GROUP BY d.rowid_, d.dataset, d.id, d.name, d.address, d.continent").replace(
+        "SELECT 'records' AS dataset, id,", "SELECT row_number() OVER () AS rowid_, 'records' AS dataset, id,").replace(
+        "SELECT 'upper', id,", "SELECT -row_number() OVER (), 'upper', id,")
+
+
+@query("split_ranges", _split_sql())
+def q_split_ranges(spark, sf):
+    """Bounds at the exact ranks of one dataset, kept as a table, cut it and another dataset alike."""
+    recs = records(spark, sf)
+    path = scratch_path(spark, "splitters")
+    choose_splitters(recs, "name", SPLIT_RANGES, path, sample=False)
+    kept = load_splitters(spark, path, "name")
+    other = recs.withColumn("name", F.upper("name"))
+    parts = [with_range_ids(d, kept).withColumn("dataset", F.lit(n)) for n, d in (("records", recs), ("upper", other))]
+    return parts[0].unionByName(parts[1]).select("dataset", *REC, F.col("range_id").cast("bigint").alias("range_id"))
+
+
+@query("split_sort", _ranked_sql(_order("name")))
+def q_split_sort(spark, sf):
+    """Sampled bounds kept as a table, rows sent straight to their ranges, sorted there, ranked."""
+    recs = records(spark, sf)
+    kept = choose_splitters(recs, "name", SPLIT_RANGES, scratch_path(spark, "splitters"))
+    return global_rank(write_split(recs, kept, scratch_path(spark, "split"))).select(*REC, "pos")
+
+
+@query("merge_tables", _with(
+    f"SELECT id, name, address, continent, CAST(row_number() OVER (ORDER BY {_order('id')}) AS BIGINT) AS pos FROM records"))
+def q_merge_tables(spark, sf):
+    """Sorted tables, most of them disjoint stretches of ids, one right across: only what overlaps is moved."""
+    recs = records(spark, sf)
+    across = (F.col("id") > 0) & (F.pmod("id", F.lit(5)) == 0)  # overlaps the tables above 0
+    step = 1 << 29
+    tables = [recs.filter(~across & (F.col("id") >= i * step) & (F.col("id") < (i + 1) * step)) for i in range(-4, 4)]
+    written = [write_sorted(t, "id", scratch_path(spark, "merge-in"), num_ranges=2) for t in (*tables, recs.filter(across))]
+    return merge_sorted_tables(spark, written, "id")
+
+
 @query("global_rank", _ranked_sql("address, id DESC, name, continent"))
 def q_global_rank(spark, sf):
     """Rank of every row under (address, id descending)."""
@@ -543,7 +638,7 @@ def q_callback_totals(spark, sf):
     """K5: rows pushed to a callback range by range; what it saw, in accumulators."""
     rows, id_sum, disorder = (spark.sparkContext.accumulator(0) for _ in range(3))
 
-    def take(part):
+    def take(_token, part):
         last = None
         for r in part:
             rows.add(1)
@@ -552,10 +647,78 @@ def q_callback_totals(spark, sf):
             last = r["name"]
 
     table = write_sorted(records(spark, sf), "name", scratch_path(spark, "sorted"))
-    for_each_sorted_partition(total_sort(table.select(*REC), "name"), take)
+    for_each_range(table, take)
     return spark.createDataFrame([(rows.value, id_sum.value, disorder.value)], "rows bigint, id_sum bigint, disorder bigint")
 
 
+_APPEND_SQL = _with(
+    f""", lines AS (SELECT {CSV_SQL} AS value, ((l_linenumber % 3) + 3) % 3 AS part FROM records)
+SELECT 'whole' AS read, value, true AS dense FROM lines
+UNION ALL SELECT 'second', value, true FROM lines WHERE part = 1
+UNION ALL SELECT 'upto', value, true FROM lines WHERE part <> 2
+UNION ALL SELECT 'stream', value, true FROM lines WHERE part = 2""")
+
+
+@query("log_append", _APPEND_SQL)
+def q_log_append(spark, sf):
+    """K1 + S2 + S3: three appends with dense offsets; stretches between them read by offset and as a stream."""
+    path, ckpt, landing = (scratch_path(spark, n) for n in ("log-append", "ckpt", "landing"))
+    recs = records(spark, sf, extra=("l_linenumber",)).withColumn("part", F.pmod("l_linenumber", F.lit(3)))
+    ends, ledger = [], Ledger(spark, path)
+    for i in range(3):
+        if i == 2:  # what is there by now is none of the stream's business later
+            drain(stream_log(spark, path), landing, ckpt)
+        append_keyed_log(recs.filter(F.col("part") == i), "source", path, num_partitions=4)
+        ends.append(ledger.next_offsets("source"))
+    seen = read_log(spark, landing)
+    new = drain(stream_log(spark, path), landing, ckpt).join(seen.select("partition", "offset"), ["partition", "offset"], "left_anti")
+    whole = read_log(spark, path, "source")
+    per = whole.groupBy("partition").agg(F.count("*").alias("n"), F.count_distinct("offset").alias("d"), F.max("offset").alias("m"))
+    dense = per.agg(F.coalesce(F.bool_and((F.col("n") == F.col("d")) & (F.col("m") == F.col("n") - 1)), F.lit(True))).first()[0]
+    reads = {
+        "whole": whole, "second": read_log(spark, path, "source", from_offsets=ends[0], to_offsets=ends[1]),
+        "upto": read_log(spark, path, "source", to_offsets=ends[1]), "stream": new,
+    }
+    parts = [d.select(F.lit(n).alias("read"), "value", F.lit(dense).alias("dense")) for n, d in reads.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("callback_once", _with(
+    "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(CAST(id AS BIGINT)) AS BIGINT) AS id_sum, CAST(0 AS BIGINT) AS disorder, "
+    "true AS failed, true AS again FROM records"))
+def q_callback_once(spark, sf):
+    """K5: a stream pushed to a callback that fails half-way on purpose and is started again; every range counts once."""
+    src = _multi_file_log(spark, sf)
+    done, tried = OnceFiles(scratch_path(spark, "delivered")), OnceFiles(scratch_path(spark, "tried"))
+
+    def take(token, part):
+        again = tried.has(token)
+        tried.put(token, b"")
+        if done.has(token):
+            return
+        rows, total, disorder, last = 0, 0, 0, None
+        for r in part:
+            rows, total, disorder, last = rows + 1, total + r["id"], disorder + (last is not None and r["name"] < last), r["name"]
+            if token == "000000000000-000000" and not again:
+                raise RuntimeError("failed on purpose")
+        done.put(token, f"{rows},{total},{disorder}".encode())
+
+    own = {"checkpoint": scratch_path(spark, "ckpt"), "ranges": scratch_path(spark, "ranges")}
+    failed = False
+    for _ in range(3):
+        try:
+            stream_to_callback(parse_strict(stream_log(spark, src, max_files_per_trigger=4)), "name", take, **own)
+            break
+        except StreamingQueryException as e:
+            if "failed on purpose" not in str(e):
+                raise
+            failed = True
+    delivered = spark.read.text(f"{done.root}/*").select(F.split("value", ",").alias("v"))
+    sums = [F.coalesce(F.sum(F.col("v")[i].cast("bigint")), F.lit(0)).alias(n) for i, n in enumerate(("rows", "id_sum", "disorder"))]
+    again = len(tried.tokens()) == len(done.tokens())
+    return delivered.agg(*sums).select("rows", "id_sum", "disorder", F.lit(failed).alias("failed"), F.lit(again).alias("again"))
+
+
 # ----------------------------------------------------------- V1-V6
 def _report_sql() -> str:
     stats = (f"SELECT CAST(count(*) AS BIGINT) AS n, {_wrap('sum(' + ROW_HASH_SQL + ')')} AS checksum "
@@ -675,10 +838,13 @@ def _damage_sql() -> str:
 def q_verify_damaged(spark, sf):
     """V1-V5 on planted damage: dropped rows, extra rows without an id, changed and swapped rows, cancelling edits."""
     ranked = write_and_read(rank_records(records(spark, sf), "id"), scratch_path(spark, "ranked"))
-    ranked.createOrReplaceTempView("ranked")
     source = ranked.select(*REC)
-    outputs = {n: (spark.sql(_damaged(n, "ascii")), "id") for n in _DAMAGE}
-    outputs["extra"] = (spark.sql(_EXTRA), "id")
+
+    def sql(text):
+        return spark.sql(text.replace("FROM ranked", "FROM {ranked}"), ranked=ranked)
+
+    outputs = {n: (sql(_damaged(n, "ascii")), "id") for n in _DAMAGE}
+    outputs["extra"] = (sql(_EXTRA), "id")
     return verify(source, outputs, position=("pos2",), exact=True, chunk_rows=4096)
 
 
@@ -780,25 +946,44 @@ FROM lowered l LEFT JOIN found f ON l.part = f.part GROUP BY l.part"""
 @query("stream_order_planted", _MONITOR_SQL)
 def q_stream_order_planted(spark, sf):
     """Violations inside partitions and chunks, across micro-batches and across partitions, and broken lines."""
+    path = scratch_path(spark, "planted-log")
+    # small files in order of offset: chunks and micro-batches end inside partitions
+    write_and_read(_planted_log(spark, sf).repartitionByRange(2 * spark.sparkContext.defaultParallelism, "partition", "offset"), path)
+    state = run_order_monitor(stream_log(spark, path, max_files_per_trigger=3), scratch_path(spark, "monitor"),
+                              scratch_path(spark, "ckpt"), "id", chunk_rows=1000)
+    first = F.coalesce("first_violation", F.lit(-1).cast("bigint")).alias("first_violation")
+    return state.select("partition", "n", "rejected", "violations", first)
+
+
+def _planted_log(spark, sf) -> DataFrame:
+    """A log of 16 partitions in order of id, with the damage that ``_MONITOR_SQL`` describes."""
     ranked = write_and_read(rank_records(records(spark, sf), "id"), scratch_path(spark, "ranked"))
     total = ranked.count()
     p = F.col("pos") - 1
-    part = F.floor(p * 16 / F.lit(total)).cast("int")
+    part = F.expr(f"(pos - 1) * 16 div {max(total, 1)}").cast("int")
     off = F.when(p % 500 == 250, p + 1).when(p % 500 == 251, p - 1).otherwise(p)
     placed = ranked.select(*REC, part.alias("partition"), off.alias("offset"), (p % 700 == 13).alias("broken"))
     starts = placed.groupBy("partition").agg(F.min("offset").alias("start"))  # 16 rows
     low = (F.col("partition") % 2 == 1) & (F.col("offset") == F.col("start"))
     line = F.concat_ws(",", F.when(low, F.lit(-1)).otherwise(F.col("id")).cast("string"), "name", "address", "continent")
-    log = placed.join(F.broadcast(starts), "partition").select(
+    return placed.join(F.broadcast(starts), "partition").select(
         F.lit(None).cast("string").alias("key"), F.when(F.col("broken"), F.lit("broken")).otherwise(line).alias("value"),
         F.lit("id").alias("topic"), "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"))
-    path = scratch_path(spark, "planted-log")
-    # small files in order of offset: chunks and micro-batches end inside partitions
-    write_and_read(log.repartitionByRange(2 * spark.sparkContext.defaultParallelism, "partition", "offset"), path)
-    state = run_order_monitor(stream_log(spark, path, max_files_per_trigger=3), scratch_path(spark, "monitor"),
-                              scratch_path(spark, "ckpt"), "id", chunk_rows=1000)
+
+@query("stream_monitor_appends", _MONITOR_SQL.replace(
+    "SELECT CAST(l.part AS INTEGER) AS partition,", "SELECT CAST(l.part AS INTEGER) AS partition, true AS small,"))
+def q_stream_monitor_appends(spark, sf):
+    """The planted log in three appends, the monitor run after each; in the end the state is a row per partition."""
+    path, states, ckpt = (scratch_path(spark, n) for n in ("planted-log", "monitor", "ckpt"))
+    log = write_and_read(_planted_log(spark, sf), scratch_path(spark, "planted"))
+    for i in range(3):  # offsets modulo 3000: every append leaves gaps that later ones fill
+        own = log.filter(F.expr(f"offset % 3000 div 1000 = {i}"))
+        own.repartitionByRange(4, "partition", "offset").write.mode("append").parquet(path)
+        state = run_order_monitor(stream_log(spark, path, max_files_per_trigger=3), states, ckpt, "id", chunk_rows=1000,
+                                  most_stretches=1000)
+    small = Snapshots(spark, states).latest().groupBy("partition").count().filter("count > 1").isEmpty()
     first = F.coalesce("first_violation", F.lit(-1).cast("bigint")).alias("first_violation")
-    return state.select("partition", "n", "rejected", "violations", first)
+    return state.select("partition", F.lit(small).alias("small"), "n", "rejected", "violations", first)
 
 
 @query("stream_land_sort", _ranked_sql(_order("name")))

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sortproof._pickling import ship_by_value
 from sortproof.functions.record import message_key, to_csv_checked
+from sortproof.operators.merge import BROADCAST_FILES
 from sortproof.operators.sort import (
     global_rank,
     range_sort,
@@ -23,6 +26,8 @@ from sortproof.operators.sort import (
 )
 from sortproof.schema import OFFSET_COL, RANGE_COL, RUN_COL
 from sortproof.session import scratch_path, write_and_read
+from sortproof.sinks.ledger import Folder, Ledger
+from sortproof.sources.log import read_log
 
 # Producer settings of the reference, as Spark Kafka writer options.
 KAFKA_PRODUCER_OPTIONS = {
@@ -57,7 +62,9 @@ def write_keyed_log(
 
     Table form: ``partition = pmod(xxhash64(key), num_partitions)``; the
     offset increases within every writing task (gaps allowed, as in a
-    compacted topic).  Kafka form: the producer's partitioner decides.
+    compacted topic); what was at ``path`` is replaced.  For dense offsets
+    and further writes see :func:`append_keyed_log`.  Kafka form: the
+    producer's partitioner decides, and every write appends.
     """
     kv = records.select(message_key().alias("key"), to_csv_checked().alias("value"))
     if bootstrap_servers:
@@ -74,6 +81,50 @@ def write_keyed_log(
     return write_and_read(out, path)
 
 
+def append_keyed_log(records: DataFrame, topic: str, path: str, num_partitions: int = 4) -> DataFrame:
+    """Append to a keyed log table with dense offsets that go on per partition (K1); the new rows.
+
+    Like :func:`write_keyed_log` a row's partition is a hash of its key.  Rows
+    are landed once, each task's rows of a partition in a file of their own;
+    a row's offset is then the partition's next offset (from the log's
+    :class:`sortproof.sinks.ledger.Ledger`), plus the rows of the partition in
+    earlier files (a prefix sum over one row per file), plus the row's place
+    in its file.  No row is shuffled for it.  The append is staged and counts
+    as a whole or not at all; two at once end in ``ConcurrentAppend``.
+    """
+    spark = records.sparkSession
+    ledger = Ledger(spark, path)
+    ledger.recover()
+    start = ledger.next_offsets(topic)
+    kv = records.select(message_key().alias("key"), to_csv_checked().alias("value"))
+    placed = kv.withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(num_partitions)).cast("int"))
+    landed = write_and_read(placed, scratch_path(spark, "append"), partition_by=["partition"]).select(
+        "key", "value", "partition", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    files = landed.groupBy("partition", "_file").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("partition").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = write_and_read(  # a row per file
+        files.select("partition", "_file", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")),
+        scratch_path(spark, "append-files"),
+    )
+    sizes = {r["partition"]: r["n"] for r in files.groupBy("partition").agg(F.sum("n").alias("n")).collect()}
+    first = spark.createDataFrame([(p, start.get(p, 0)) for p in range(num_partitions)], "partition int, _first long")
+    offset = F.col("_first") + F.col("_before") + F.col("_row")
+    small = F.broadcast if files.count() <= BROADCAST_FILES else (lambda df: df)
+    version = ledger.claim()
+    staging = f"_staging/{version:08d}"
+    out = landed.join(small(files.drop("n")), ["partition", "_file"]).join(F.broadcast(first), "partition").select(
+        "key", "value", F.lit(topic).alias("topic"), "partition", offset.alias("offset"), F.current_timestamp().alias("timestamp")
+    )
+    written = write_and_read(out, f"{path.rstrip('/')}/{staging}")
+    found = written.groupBy(F.col("_metadata.file_name").alias("file"), "topic", "partition").agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("rows")
+    )
+    write_and_read(found, f"{path.rstrip('/')}/_ledger/files/version={version}")
+    ledger.commit(version, topic, staging, {**start, **{p: start.get(p, 0) + n for p, n in sizes.items()}}, start)
+    return read_log(spark, path, topic, from_offsets={p: start.get(p, 0) for p in range(num_partitions)})
+
+
 def write_sorted_log(
     records: DataFrame, key, topic: str, path: str, num_ranges: int | None = None,
     java_string_order: bool = False,
@@ -184,21 +235,59 @@ def for_each_sorted_partition(sorted_df: DataFrame, fn: Callable[[Iterable], Non
     sorted_df.foreachPartition(fn)
 
 
-def stream_to_callback(stream_df: DataFrame, key, fn: Callable[[Iterable], None], checkpoint: str,
-                       available_now: bool = True):
+def for_each_range(table: DataFrame, fn: Callable[[str, Iterable], None], epoch: str = "batch") -> None:
+    """Push a written sorted table to a callback, range by range, each with its token (K5).
+
+    ``fn(token, rows)`` gets every row of one range in order.  Ranges and
+    places were fixed when the table was written, so a retried task pushes the
+    same rows under the same token, and a callback that remembers tokens it
+    has finished (:class:`sortproof.sinks.once.OnceFiles`) delivers each range
+    once.  The rows are shuffled by their range; nothing is sampled or ranked
+    again.
+    """
+    ranges = (table.agg(F.max(RANGE_COL)).first()[0] or 0) + 1
+    rows = table.repartitionById(ranges, F.col(RANGE_COL)).sortWithinPartitions(OFFSET_COL)
+
+    def push(part: Iterable) -> None:
+        fn(f"{epoch}-{TaskContext.get().partitionId():06d}", part)
+
+    rows.foreachPartition(push)
+
+
+def stream_to_callback(stream_df: DataFrame, key, fn: Callable, checkpoint: str,
+                       available_now: bool = True, ranges: str | None = None):
     """Streaming form of K5: every micro-batch is sorted and pushed to ``fn``.
 
-    Each micro-batch is range-sorted and handed to ``fn`` range by range
+    Each micro-batch is range-sorted and handed to ``fn(rows)`` range by range
     (ordered inside a range, ranges in parallel).  Order across micro-batches
     is arrival order, as in the reference's consumer loop.  Returns the
     started query (already finished when ``available_now``).
-    """
 
-    def _batch(batch: DataFrame, _epoch: int) -> None:
-        total_sort(batch, key).foreachPartition(fn)
+    With ``ranges``, a folder, a micro-batch is written there before it is
+    pushed and ``fn(token, rows)`` gets tokens ``epoch-range``: a micro-batch
+    that is run again, after a failure or a restart, finds its ranges as they
+    were, so equal tokens always mean equal rows.  A micro-batch's ranges are
+    dropped when a later one has been pushed.
+    """
+    spark = stream_df.sparkSession
+
+    def _batch(batch: DataFrame, epoch: int) -> None:
+        if ranges is None:
+            total_sort(batch, key).foreachPartition(fn)
+            return
+        kept, name = Folder(spark, ranges), f"epoch={epoch:012d}"
+        if not kept.exists(f"{name}/_SUCCESS"):
+            write_sorted(batch, key, f"{ranges.rstrip('/')}/{name}")
+        for_each_range(spark.read.parquet(f"{ranges.rstrip('/')}/{name}"), fn, f"{epoch:012d}")
+        for old in kept.names():
+            if old < name:
+                kept.delete(old)
 
     w = stream_df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_batch)
     q = (w.trigger(availableNow=True) if available_now else w).start()
     if available_now:
         q.awaitTermination()
     return q
+
+
+ship_by_value(__name__)

@@ -8,10 +8,13 @@ thin and untested here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortproof.schema import LOG_SCHEMA
+from sortproof.sinks.ledger import Ledger
 
 _LOG_COLS = [f.name for f in LOG_SCHEMA.fields]
 
@@ -69,18 +72,79 @@ def read_log(
     topic: str | None = None,
     bootstrap_servers: str | None = None,
     options: dict | None = None,
+    from_offsets: dict[int, int] | None = None,
+    to_offsets: dict[int, int] | None = None,
 ) -> DataFrame:
-    """Bounded scan of a whole topic: earliest to the current end.
+    """Bounded scan of a topic: earliest to the current end, or a stretch of it.
 
     With ``bootstrap_servers`` this is Spark's Kafka batch source (a fixed
     offset range, so every job sees everything, no consumer group needed);
     otherwise a Parquet log table at ``path``, optionally one ``topic``.
+
+    ``from_offsets`` and ``to_offsets`` give the first offset of a partition
+    and the one after its last; partitions not named are read from their start
+    or to their end.  A log that has been appended to knows its files' offsets
+    (:mod:`sortproof.sinks.ledger`) and only files that can hold such rows are
+    read; in any log the bounds go to the Parquet scan as a filter.
     """
+    stretch = from_offsets is not None or to_offsets is not None
     if bootstrap_servers:
-        opts = kafka_read_options(spark, bootstrap_servers, topic, options, stream=False)
+        opts = dict(options or {})
+        for name, offsets, default in (("startingOffsets", from_offsets, -2), ("endingOffsets", to_offsets, -1)):
+            if offsets is not None:  # Kafka wants every partition; those of the other map take earliest or latest
+                parts = {*(from_offsets or {}), *(to_offsets or {})}
+                opts[name] = json.dumps({topic: {str(p): offsets.get(p, default) for p in sorted(parts)}})
+        opts = kafka_read_options(spark, bootstrap_servers, topic, opts, stream=False)
         return _kafka_projection(spark.read.format("kafka").options(**opts).load())
-    df = spark.read.schema(LOG_SCHEMA).parquet(path)
-    return df.filter(F.col("topic") == topic) if topic else df
+    paths = [path]
+    if stretch:
+        files = files_of_stretch(spark, path, topic, from_offsets or {}, to_offsets or {})
+        if files is not None:
+            if not files:
+                return spark.createDataFrame([], LOG_SCHEMA)
+            paths = files
+    df = spark.read.schema(LOG_SCHEMA).parquet(*paths)
+    df = df.filter(F.col("topic") == topic) if topic else df
+    return df.filter(in_stretch(from_offsets or {}, to_offsets or {})) if stretch else df
+
+
+def in_stretch(from_offsets: dict[int, int], to_offsets: dict[int, int]) -> Column:
+    """Rows of a log between two maps of offsets; comparisons that a Parquet scan can use."""
+    named = sorted({*from_offsets, *to_offsets})
+    cond = ~F.col("partition").isin(named)
+    for p in named:
+        own = F.col("partition") == p
+        if p in from_offsets:
+            own = own & (F.col("offset") >= from_offsets[p])
+        if p in to_offsets:
+            own = own & (F.col("offset") < to_offsets[p])
+        cond = cond | own
+    return cond
+
+
+#: Above so many files, a stretch is read by its filter alone.
+MOST_FILES = 10_000
+
+
+def files_of_stretch(
+    spark: SparkSession, path: str, topic: str | None, from_offsets: dict[int, int], to_offsets: dict[int, int]
+) -> list[str] | None:
+    """Files of an appended log that can hold rows of the stretch; None where that isn't known."""
+    ledger = Ledger(spark, path)
+    files = ledger.files()
+    if files is None or files.isEmpty():
+        return None
+    cond = ~F.col("partition").isin(sorted({*from_offsets, *to_offsets}))
+    for p in {*from_offsets, *to_offsets}:
+        own = F.col("partition") == p
+        if p in from_offsets:
+            own = own & (F.col("last") >= from_offsets[p])
+        if p in to_offsets:
+            own = own & (F.col("first") < to_offsets[p])
+        cond = cond | own
+    found = files.filter(cond if topic is None else cond & (F.col("topic") == topic))
+    names = [r["file"] for r in found.select("file").distinct().limit(MOST_FILES + 1).collect()]
+    return None if len(names) > MOST_FILES else [f"{path.rstrip('/')}/{n}" for n in sorted(names)]
 
 
 def stream_log(

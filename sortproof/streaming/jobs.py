@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 from sortproof.functions.record import row_hash, wrap_int64
 from sortproof.operators.parse import parse_quarantine, parse_strict, tag_lines
 from sortproof.operators.sort import key_column, write_sorted
+from sortproof.sinks.ledger import Folder
 
 
 # ------------------------------------------------------------------ T1
@@ -110,75 +111,156 @@ def _batch_chunks(batch: DataFrame, key: str, ascending: bool, chunk_rows: int,
         F.count_if("bad").alias("bad"), F.min(F.when(F.col("bad"), F.col("offset"))).alias("first_bad"),
         F.min(place).alias("first_offset"), F.max(place).alias("last_offset"),
         F.min_by("k", place).alias("first_key"), F.max_by("k", place).alias("last_key"),
+        F.min("offset").alias("low"), F.max("offset").alias("high"),
     )
 
 
+#: Stretches of offsets kept per log partition: arrivals may be so far out of order.
+MOST_STRETCHES = 16
+
+
+def fold_stretches(state: DataFrame | None, chunks: DataFrame, ascending: bool, most: int = MOST_STRETCHES) -> DataFrame:
+    """The state after a micro-batch: at most ``most`` + 1 rows per log partition.
+
+    A row is a stretch of offsets that has been looked at: what
+    :func:`_batch_chunks` says of a chunk, with ``regressions``, the chunks
+    that came behind offsets already seen.  In order of offsets, stretches
+    that touch become one; the edge between them is compared then.  If more
+    than ``most`` are left, the lowest ones become one as if nothing could
+    come between them any more.  So a log read in order has one row per
+    partition, however long it is, and files read out of order are still
+    compared with their neighbours.  Chunks without a good line only add to
+    the partition's rejected lines.
+    """
+    parts = ["topic", "partition"]
+    new = chunks.drop("chunk").withColumn("regressions", F.lit(0).cast("bigint"))
+    rows = new
+    if state is not None:
+        seen = state.groupBy(*parts).agg(F.max("last_offset").alias("_seen"))  # a row per log partition
+        late = F.coalesce(F.col("_seen") >= F.col("first_offset"), F.lit(False)).cast("bigint")
+        rows = state.select(*new.columns).unionByName(
+            chunks.join(seen, parts, "left").withColumn("regressions", late).select(*new.columns)
+        )
+    good = rows.withColumn("_empty", F.col("n") == 0)
+    place = Window.partitionBy(*parts, "_empty").orderBy("first_offset", "last_offset")
+    whole = Window.partitionBy(*parts, "_empty")
+    joined = good.select(
+        "*", F.lag("last_key").over(place).alias("_before"), F.lag("last_offset").over(place).alias("_upto"),
+        F.lag("high").over(place).alias("_high"),
+    )
+    starts = (~F.coalesce(F.col("_high") + 1 == F.col("low"), F.lit(False))).cast("int")
+    numbered = joined.withColumn("_number", F.sum(starts).over(place))
+    above = F.col("_number") - (F.max("_number").over(whole) - F.lit(most))
+    numbered = numbered.withColumn("_group", F.when(F.col("_empty"), F.lit(0)).otherwise(F.greatest(F.lit(1), above)))
+    inside = F.col("_group") == F.lag("_group").over(place)  # a group's first row is compared later
+    numbered = numbered.withColumn("_edge", F.coalesce(
+        inside & (F.col("_upto") < F.col("first_offset")) & _wrong(F.col("_before"), F.col("first_key"), ascending), F.lit(False)))
+    return numbered.groupBy(*parts, "_group").agg(
+        F.sum("n").alias("n"), F.sum("rejected").alias("rejected"), (F.sum("bad") + F.count_if("_edge")).alias("bad"),
+        F.min(F.least("first_bad", F.when(F.col("_edge"), F.col("first_offset")))).alias("first_bad"),
+        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"),
+        F.min_by("first_key", "first_offset").alias("first_key"), F.max_by("last_key", "last_offset").alias("last_key"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("regressions").alias("regressions"),
+    ).select(*new.columns)
+
+
+def _wrong(earlier: Column, later: Column, ascending: bool) -> Column:
+    return F.coalesce((earlier > later) if ascending else (earlier < later), F.lit(False))
+
+
+class Snapshots:
+    """Versions of a small state under ``path``, one per micro-batch, of which the last two are kept.
+
+    The state of a micro-batch is computed from the version before it, so a
+    micro-batch that runs again gives the same version again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path, self.folder = spark, path.rstrip("/"), Folder(spark, path)
+
+    def _versions(self) -> list[int]:
+        return [int(n[1:]) for n in self.folder.names() if n[:1] == "v" and self.folder.exists(f"{n}/_SUCCESS")]
+
+    def _name(self, epoch: int) -> str:
+        return f"v{epoch:012d}"
+
+    def latest(self, before: int | None = None) -> DataFrame | None:
+        """The last whole version, or the last one before a micro-batch."""
+        known = [v for v in self._versions() if before is None or v < before]
+        return self.spark.read.parquet(f"{self.path}/{self._name(max(known))}") if known else None
+
+    def put(self, epoch: int, state: DataFrame) -> None:
+        state.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{self._name(epoch)}")
+        known = sorted(v for v in self._versions() if v <= epoch)
+        for old in known[:-2]:
+            self.folder.delete(self._name(old))
+
+
 def run_order_monitor(
     log_stream: DataFrame, path: str, checkpoint: str, key: str = "id", ascending: bool = True,
-    chunk_rows: int = MONITOR_CHUNK_ROWS, java_string_order: bool = False,
+    chunk_rows: int = MONITOR_CHUNK_ROWS, java_string_order: bool = False, most_stretches: int = MOST_STRETCHES,
 ) -> DataFrame:
     """Check a log stream's order on ``key`` as it arrives; the state so far per log partition.
 
     Each micro-batch is reduced to one row per (topic, partition, chunk of
-    offsets) and written under ``path`` per epoch, so a retried micro-batch
-    replaces its own rows.  The result joins the chunks: see
-    :func:`order_state`.
+    offsets) and folded into the state before it (:func:`fold_stretches`),
+    whose size depends on the number of log partitions alone.  The state is a
+    version per micro-batch under ``path``: a retried micro-batch replaces its
+    own, and a later run goes on where the checkpoint does.  The result joins
+    what is left apart: see :func:`order_state`.
     """
+    spark = log_stream.sparkSession
+    states = Snapshots(spark, path)
+
     def _write(batch: DataFrame, epoch: int) -> None:
         chunks = _batch_chunks(batch, key, ascending, chunk_rows, java_string_order)
-        chunks.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/epoch={epoch}")
+        states.put(epoch, fold_stretches(states.latest(before=epoch), chunks, ascending, most_stretches).coalesce(1))
 
     q = (
         log_stream.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(_write).trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    spark = log_stream.sparkSession
-    empty = spark.createDataFrame([], log_stream.schema)
-    schema = _batch_chunks(empty, key, ascending, chunk_rows, java_string_order).schema.add("epoch", IntegerType())
-    return order_state(_read_or_empty(spark, path, schema), ascending)
+    state = states.latest()
+    if state is None:
+        empty = spark.createDataFrame([], log_stream.schema)
+        state = fold_stretches(None, _batch_chunks(empty, key, ascending, chunk_rows, java_string_order), ascending)
+    return order_state(state, ascending)
 
 
-def order_state(chunks: DataFrame, ascending: bool = True) -> DataFrame:
+def order_state(stretches: DataFrame, ascending: bool = True) -> DataFrame:
     """Per log partition: ``n, rejected, violations, first_violation, offset_regressions``.
 
-    ``chunks`` has a row per chunk and epoch.  In order of offsets, the first
-    key of a chunk is compared with the last key before it; the first key of
-    a partition with the last key of the partitions before it (a sorted log
-    is its partitions one after the other).  Where the offsets of two epochs
-    interleave, their keys can't be compared any more; this and data that
-    arrive behind offsets already seen are counted in ``offset_regressions``.
-    ``first_violation`` is the offset of the first violating row.
+    ``stretches`` is a state (:func:`fold_stretches`).  In order of offsets,
+    the first key of a stretch is compared with the last key before it; the
+    first key of a partition with the last key of the partitions before it (a
+    sorted log is its partitions one after the other).  Where the offsets of
+    two micro-batches interleave, their keys can't be compared any more; this
+    and data that arrive behind offsets already seen are counted in
+    ``offset_regressions``.  ``first_violation`` is the offset of the first
+    violating row.
     """
     parts = ["topic", "partition"]
-
-    def wrong(earlier: Column, later: Column) -> Column:
-        return F.coalesce((earlier > later) if ascending else (earlier < later), F.lit(False))
-
     place = Window.partitionBy(*parts).orderBy("first_offset", "last_offset")
-    arrival = Window.partitionBy(*parts).orderBy("epoch", "first_offset").rowsBetween(Window.unboundedPreceding, -1)
-    full = chunks.filter(F.col("n") > 0)
-    edges = full.select(
-        "*", F.lag("last_key").over(place).alias("before"), F.lag("last_offset").over(place).alias("upto"),
-        F.max("last_offset").over(arrival).alias("seen"),
-    )
+    full = stretches.filter(F.col("n") > 0)
+    edges = full.select("*", F.lag("last_key").over(place).alias("before"), F.lag("last_offset").over(place).alias("upto"))
     apart = F.coalesce(F.col("upto") < F.col("first_offset"), F.lit(False))
-    edge = apart & wrong(F.col("before"), F.col("first_key"))
+    edge = apart & _wrong(F.col("before"), F.col("first_key"), ascending)
     by_part = edges.groupBy(*parts).agg(
         F.sum("n").alias("n"), (F.sum("bad") + F.count_if(edge)).alias("inside"),
         F.min(F.least("first_bad", F.when(edge, F.col("first_offset")))).alias("first_inside"),
-        F.count_if(F.col("seen") >= F.col("first_offset")).alias("offset_regressions"),
+        F.sum("regressions").alias("offset_regressions"),
         F.min_by("first_key", "first_offset").alias("first_key"), F.max_by("last_key", "last_offset").alias("last_key"),
         F.min("first_offset").alias("first_offset"),
     )
     in_order = Window.partitionBy("topic").orderBy("partition")  # one row per log partition
-    across = wrong(F.lag("last_key").over(in_order), F.col("first_key"))
+    across = _wrong(F.lag("last_key").over(in_order), F.col("first_key"), ascending)
     out = by_part.withColumn("_across", across).select(
         *parts, "n", (F.col("inside") + F.col("_across").cast("bigint")).alias("violations"),
         F.when(F.col("_across"), F.col("first_offset")).otherwise(F.col("first_inside")).alias("first_violation"),
         "offset_regressions",
     )
-    rejected = chunks.groupBy(*parts).agg(F.sum("rejected").alias("rejected"))
+    rejected = stretches.groupBy(*parts).agg(F.sum("rejected").alias("rejected"))
     zero = F.lit(0).cast("bigint")
     return rejected.join(out, parts, "left").select(
         *parts, F.coalesce("n", zero).alias("n"), "rejected", F.coalesce("violations", zero).alias("violations"),

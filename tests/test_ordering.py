@@ -1,0 +1,220 @@
+"""Orders by expressions, comparable texts, kept bounds, and merges of sorted tables."""
+
+import bisect
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from sortproof.operators import splitters as S
+from sortproof.operators.merge import file_stretches, merge_sorted_tables
+from sortproof.operators.ordering import By, sort_key
+from sortproof.operators.sort import global_rank, order_names, rank_records, sort_many, total_sort, write_sorted
+from sortproof.operators.verify import chunk_check, order_summary, order_violations, verify
+from sortproof.sinks.log import read_runs, write_runs
+
+SCHEMA = "id int, name string, address string, continent string"
+
+
+def rows_of(n, seed):
+    rng = random.Random(seed)
+    return [(rng.randrange(-50, 50), rng.choice(["b", "B", "a", "ä", "", "aa"]), "x" * rng.randrange(4),
+             rng.choice(["Asia", "Europe", "Africa"])) for _ in range(n)]
+
+
+ODD = [By("lower(name)", ascending=False), By("nullif(continent, 'Asia')", nulls="last"), "-id"]
+
+
+def odd_order(rows):
+    """``rows`` by ODD and the record columns, in plain Python."""
+    out = sorted(rows, key=lambda r: (r[0], r[1].encode(), r[2], r[3]))
+    out.sort(key=lambda r: -r[0])
+    out.sort(key=lambda r: (r[3] == "Asia", "" if r[3] == "Asia" else r[3]))
+    out.sort(key=lambda r: r[1].lower().encode(), reverse=True)
+    return out
+
+
+# -- expressions ---------------------------------------------------------------
+
+def test_rank_by_expressions(spark):
+    rows = rows_of(700, 1)
+    ranked = rank_records(spark.createDataFrame(rows, SCHEMA).repartition(4), ODD)
+    assert ranked.columns == ["id", "name", "address", "continent", "pos"]
+    assert [tuple(r)[:4] for r in sorted(ranked.collect(), key=lambda r: r.pos)] == odd_order(rows)
+
+
+@pytest.mark.parametrize("ascending, nulls, want", [
+    (True, None, [None, 1, 2]), (True, "last", [1, 2, None]), (False, None, [2, 1, None]), (False, "first", [None, 2, 1])])
+def test_where_nulls_go(spark, ascending, nulls, want):
+    df = spark.createDataFrame([(2, "b"), (None, "a"), (1, "c")], "id int, name string")
+    assert [r.id for r in total_sort(df, By("id", ascending, nulls)).collect()] == want
+
+
+def test_checks_follow_the_expressions(spark, tmp_path):
+    rows = rows_of(400, 2)
+    df = spark.createDataFrame(rows, SCHEMA)
+    table = write_sorted(df, ODD, str(tmp_path / "s"), num_ranges=5)
+    assert verify(df, {"odd": (table, ODD)}, exact=True).filter("check = 'all'").first()["passed"]
+    # the same table isn't in order of names, and a swap across nulls is found
+    assert order_summary(table, "name").first()["violations"] > 0
+    pos = spark.createDataFrame([(i, *r) for i, r in enumerate([(1, None), (2, "a"), (3, "b"), (4, None), (5, None)])],
+                                "pos long, id int, name string")
+    last = order_violations(pos, By("name", nulls="last"), position=("pos",), chunk_rows=2, with_lines=False)
+    assert [r.position for r in last.collect()] == [2]  # 1-based: a value after a null
+    first = order_violations(pos, By("name", nulls="first"), position=("pos",), chunk_rows=2, with_lines=False)
+    assert [r.position for r in first.collect()] == [4]
+
+
+def test_equal_nulls_leave_the_next_part_to_decide(spark):
+    pos = spark.createDataFrame([(0, None, 2), (1, None, 1), (2, "a", 0)], "pos long, name string, id int")
+    got = order_violations(pos, [By("name"), "id"], position=("pos",), with_lines=False).collect()
+    assert [r.position for r in got] == [2]
+
+
+def test_chunks_and_outputs_by_expression(spark, tmp_path):
+    df = spark.createDataFrame(rows_of(300, 3), SCHEMA)
+    write_runs(df, ODD, str(tmp_path / "runs"), 1500)
+    per = chunk_check(read_runs(spark, str(tmp_path / "runs")), ODD).collect()
+    assert len(per) > 3 and sum(r.rows for r in per) == 300 and all(r.violations == 0 for r in per)
+    outs = sort_many(df, [By("length(name)"), By("length(name)", False), "id"], str(tmp_path / "many"))
+    assert len(outs) == 3 and all(t.count() == 300 for t in outs.values())
+    with pytest.raises(ValueError, match="twice"):
+        order_names([By("length(name)"), By("length(name)")])
+    with pytest.raises(ValueError, match="nulls"):
+        By("id", nulls="middle")
+    with pytest.raises(ValueError, match="expression"):
+        By("  ")
+
+
+# -- comparable texts ----------------------------------------------------------
+
+def test_text_compares_as_the_columns(spark):
+    rng = random.Random(4)
+    day, moment = dt.date(1969, 12, 30), dt.datetime(1970, 1, 1)
+    rows = [
+        (rng.choice([None, 0, -1, 2**31 - 1, -(2**31), rng.randrange(99)]), rng.choice([None, "", "a", "ab", "b", "ä", "\x00", "\U0001f600", "￮"]),
+         rng.choice([None, True, False]), rng.choice([None, day, day + dt.timedelta(9)]),
+         rng.choice([None, moment, moment - dt.timedelta(microseconds=1)]), rng.choice([None, Decimal("-1.50"), Decimal("0.02")]),
+         rng.choice([None, b"", b"\x00", b"\xff"]), i)
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "i int, s string, b boolean, d date, t timestamp, c decimal(9,2), y binary, n long")
+    for spec in ([("s", True), ("i", False)], [("i", True), ("s", False), ("n", True)], [("b", False), ("d", True), ("t", False)],
+                 [("c", True), ("y", False), ("s", True)], [("y", True), ("c", False), ("d", False), ("n", False)]):
+        keyed = df.select("*", sort_key(df, spec).alias("k"))
+        order = [F.col(c).asc() if up else F.col(c).desc() for c, up in spec]
+        texts = [r.k for r in keyed.orderBy(*order).collect()]
+        assert texts == sorted(texts)
+        assert len(set(texts)) == df.select(*[c for c, _ in spec]).distinct().count()
+    with pytest.raises(ValueError, match="double"):
+        sort_key(spark.range(1).selectExpr("double(id) as x"), [("x", True)])
+
+
+# -- kept bounds ---------------------------------------------------------------
+
+def bounds_of(kept):
+    return [r.bound for r in kept.table.orderBy("range_id").collect()]
+
+
+@pytest.mark.parametrize("sample, inline", [(False, 1024), (True, 1024), (False, 4), (True, 4)])
+def test_two_datasets_are_cut_alike(spark, tmp_path, monkeypatch, sample, inline):
+    monkeypatch.setattr(S, "INLINE_BOUNDS", inline)
+    df = spark.createDataFrame(rows_of(900, 5), SCHEMA).dropDuplicates()
+    other = spark.createDataFrame(rows_of(300, 6), SCHEMA)
+    path = str(tmp_path / "bounds")
+    S.choose_splitters(df, ODD, 37, path, sample=sample)
+    kept = S.load_splitters(spark, path, ODD)
+    bounds = bounds_of(kept)
+    assert len(bounds) == 36 and bounds == sorted(bounds) and kept.num_ranges == 37
+    for own in (df, other):
+        keyed, spec, text = S._keyed(own, ODD, True, False)
+        want = [(r.k, bisect.bisect_left(bounds, r.k)) for r in keyed.select(text.alias("k")).collect()]
+        ranged = S.with_range_ids(own, kept)
+        keyed, _, text = S._keyed(ranged, ODD, True, False)
+        got = [(r.k, r.range_id) for r in keyed.select(text.alias("k"), "range_id").collect()]
+        if len(set(bounds)) == len(bounds):
+            assert sorted(got) == sorted(want)
+        assert ranged.columns == [*own.columns, "range_id"]
+    again = S.with_range_ids(df.repartition(7), kept).groupBy("range_id").count()
+    if not sample:
+        n = df.count()
+        assert sorted(r["count"] for r in again.collect()) == sorted(-(-(i + 1) * n // 37) - -(-i * n // 37) for i in range(37))
+    with pytest.raises(ValueError, match="another order"):
+        S.load_splitters(spark, path, "name")
+
+
+def test_rows_go_to_the_partition_of_their_range(spark, tmp_path):
+    rows = rows_of(500, 7)
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = S.choose_splitters(df, "name", 9, str(tmp_path / "b"))
+    placed = S.split_sort(df, kept)
+    assert placed.rdd.getNumPartitions() == 9
+    assert placed.filter(F.spark_partition_id() != F.col("range_id")).count() == 0
+    plan = placed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "rangepartitioning" not in plan and plan.count("Exchange") == 1
+    table = S.write_split(df, kept, str(tmp_path / "t"))
+    ranked = sorted(global_rank(table).collect(), key=lambda r: r.pos)
+    assert [(r.name, r.id, r.address, r.continent) for r in ranked] == sorted(
+        ((r[1], r[0], r[2], r[3]) for r in rows), key=lambda r: (r[0].encode(), *r[1:]))
+
+
+def test_a_frequent_key_fills_several_ranges(spark, tmp_path):
+    hot = spark.range(6_000).selectExpr("int(7) as id", "'same' as name", "'a' as address", "'c' as continent").repartition(12)
+    rest = spark.range(6_000).selectExpr("int(id % 500) as id", "concat('n', id) as name", "'a' as address", "'c' as continent")
+    df = hot.unionByName(rest)
+    kept = S.choose_splitters(df, "id", 12, str(tmp_path / "b"))
+    table = S.write_split(df, kept, str(tmp_path / "t"))
+    sizes = [r["count"] for r in table.groupBy("range_id").count().collect()]
+    assert sum(sizes) == 12_000 and max(sizes) < 4_000
+    assert order_summary(table, "id").first()["violations"] == 0
+
+
+def test_few_rows_many_ranges_and_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([(3, "c", "", ""), (1, "a", "", "")], SCHEMA)
+    kept = S.choose_splitters(df, "id", 7, str(tmp_path / "b"))
+    assert len(bounds_of(kept)) == 6
+    table = S.write_split(df, kept, str(tmp_path / "t"))
+    assert [r.id for r in sorted(global_rank(table).collect(), key=lambda r: r.pos)] == [1, 3]
+    none = S.choose_splitters(df.limit(0), "id", 7, str(tmp_path / "n"))
+    assert bounds_of(none) == [] and {r.range_id for r in S.with_range_ids(df, none).collect()} == {0}
+    with pytest.raises(ValueError, match="positive"):
+        S.choose_splitters(df, "id", 0, str(tmp_path / "x"))
+
+
+# -- merges --------------------------------------------------------------------
+
+def merged(spark, tables, key):
+    return [tuple(r)[:-1] for r in sorted(merge_sorted_tables(spark, tables, key).collect(), key=lambda r: r.pos)]
+
+
+def test_merge_moves_only_what_overlaps(spark, tmp_path):
+    rows = sorted(rows_of(900, 8), key=lambda r: (r[0], r[1].encode(), r[2], r[3]))
+    low, mid, high = rows[:300], rows[300:600], rows[600:]
+    parts = {"low": low, "mid1": mid[::2], "mid2": mid[1::2], "high": high}
+    tables = {n: write_sorted(spark.createDataFrame(r, SCHEMA), "id", str(tmp_path / n), num_ranges=2) for n, r in parts.items()}
+    out = merge_sorted_tables(spark, list(tables.values()), "id")
+    got = sorted(out.collect(), key=lambda r: r.pos)
+    assert [r.pos for r in got] == list(range(1, 901)) and [tuple(r)[:4] for r in got] == rows
+    # disjoint tables alone: their rows pass without an exchange
+    only = merge_sorted_tables(spark, [tables["high"], tables["low"]], "id")
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "SinglePartition" not in plan
+    assert [tuple(r)[:4] for r in sorted(only.collect(), key=lambda r: r.pos)] == low + high
+
+
+def test_merge_by_expression_duplicates_and_empties(spark, tmp_path):
+    rows = rows_of(200, 9)
+    one = write_sorted(spark.createDataFrame(rows, SCHEMA), ODD, str(tmp_path / "a"), num_ranges=3)
+    none = write_sorted(spark.createDataFrame([], SCHEMA), ODD, str(tmp_path / "b"))
+    assert merged(spark, [one, none, one], ODD) == odd_order(rows + rows)
+    assert merged(spark, [none], ODD) == [] and merge_sorted_tables(spark, [], "id").count() == 0
+
+
+def test_stretches_of_files(spark):
+    spans = [("a", 1, 5), ("b", 5, 9), ("c", 8, 20), ("d", 10, 11), ("e", 21, 30), ("f", 12, 19)]
+    rows = spark.createDataFrame([(f, f"{k:03d}") for f, lo, hi in spans for k in (lo, hi)], "_file string, k string")
+    got = {r["_file"]: (r.stretch, r.alone, r.before, r.alone_before) for r in file_stretches(rows, F.col("k")).collect()}
+    assert got == {"a": (1, True, 0, 0), "b": (2, False, 2, 2), "c": (2, False, 2, 2), "d": (2, False, 2, 2),
+                   "f": (2, False, 2, 2), "e": (3, True, 10, 2)}
