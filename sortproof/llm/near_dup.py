@@ -23,10 +23,11 @@ maxima) is 0.8 or more; the classes are the connected components of the links.
    Verified links give components.
 4. Then only buckets that still hold several components are looked at, and only
    members outside the bucket's largest component are compared, by samples and
-   in tiles of bounded size, with members of other components.
-   Tiles of texts that hold a pair whose sampled similarity reaches
-   ``ESTIMATE_FROM`` are verified exactly, as a sparse matrix per pair of
-   tiles; only links that join components leave a task.  So a pair that shares
+   in tiles of bounded size, with members of other components.  Texts meet
+   again in pairs of larger tiles, if these hold a pair whose sampled
+   similarity reaches ``ESTIMATE_FROM``; there every such pair that isn't
+   joined yet is verified exactly.  Only links that join components leave a
+   task.  So a pair that shares
    a bucket is either verified, or in one component already, or clearly
    dissimilar.
 
@@ -42,7 +43,6 @@ stay untouched.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +68,8 @@ LIKELY = 4.0
 CACHED = 16_384
 #: Shingles of the texts on one side of a verification tile, about.
 TILE_SHINGLES = 50_000
+#: Shingles of the texts in a tile of open buckets, about: what a task verifies is two such tiles.
+OPEN_SHINGLES = 400_000
 #: Members on one side of a comparison tile, about.
 TILE_MEMBERS = 1000
 LEADERS = 2
@@ -349,43 +351,49 @@ def _tiles(nodes: DataFrame, leads: DataFrame) -> DataFrame:
 
 
 def _tile_links(table: pa.Table, weights: Weights, similarity: float) -> list[tuple[bytes, bytes]]:
-    """Links that join components among the texts of two tiles: ``_key, label, _text``."""
+    """Links that join components among the texts of two tiles: ``_key, label, sig, tile, _text``.
+
+    A text is compared exactly with those (of the other tile, if there are
+    two) whose samples agree enough and that no link found so far has joined
+    with it.
+    """
     keys, first = np.unique(np.array(table["_key"].to_pylist(), object), return_index=True)
     table = table.take(pa.array(first))
-    label = table["label"].to_pylist()
-    most = Counter(sorted(label)).most_common(1)[0][0]  # of two components, one isn't this one
+    names, label = np.unique(np.array(table["label"].to_pylist(), object), return_inverse=True)
+    most = np.bincount(label).argmax()  # of two components, one isn't this one
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(len(keys), -1)
+    tile = np.asarray(table["tile"].combine_chunks(), np.int64)
+    across = (tile != tile[0]).any()
     row, values, counts = shingles(table["_text"].combine_chunks())
     w = weights(values, counts)
     _, local = np.unique(values, return_inverse=True)
     at = np.searchsorted(row, np.arange(len(keys)))
     total = np.add.reduceat(w, at)  # every text here has shingles
-    ends = np.append(at[1:], len(row))
-    parent = {x: x for x in label}
-
-    def root(x: bytes) -> bytes:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    size = np.diff(np.append(at, len(row)))
+    group = np.arange(len(names))[label]  # component of each text, as far as it has been joined
     out, own = [], np.zeros(int(local.max()) + 1)
-    for i in (i for i, x in enumerate(label) if x != most):
-        mine = local[at[i] : ends[i]]
-        own[mine] = w[at[i] : ends[i]]
-        shared = np.add.reduceat(np.minimum(w, own[local]), at)
-        own[mine] = 0
-        for j in np.flatnonzero(shared >= similarity * (total + total[i] - shared)):
-            a, b = root(label[i]), root(label[j])
-            if a != b:
-                parent[a] = b
+    for i in np.flatnonzero(label != most):
+        others = (group != group[i]) & (tile != tile[i]) if across else group != group[i]
+        near = np.flatnonzero(others & ((sig == sig[i]).mean(1) >= ESTIMATE_FROM))
+        if not len(near):
+            continue
+        mine = slice(at[i], at[i] + size[i])
+        own[local[mine]] = w[mine]
+        head = np.cumsum(size[near]) - size[near]
+        places = np.arange(size[near].sum()) + np.repeat(at[near] - head, size[near])
+        shared = np.add.reduceat(np.minimum(w[places], own[local[places]]), head)
+        own[local[mine]] = 0
+        for j in near[shared >= similarity * (total[near] + total[i] - shared)]:
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
                 out.append((keys[i], keys[j]))
     return out
 
 
 def _verify_tiles(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
-    """Links between components from pairs of tiles ``t1, t2``."""
+    """Links between components from pairs of tiles ``t1, t2``; ``tiles`` has ``_key, label, sig, tile``."""
     needed = pairs.select("t1", "t2", F.explode(F.array("t1", "t2")).alias("tile")).distinct()
-    carried = needed.join(tiles, "tile").join(texts, "_key").select("t1", "t2", "_key", "label", "_text")
+    carried = needed.join(tiles, "tile").join(texts, "_key").select("t1", "t2", "_key", "label", "sig", "tile", "_text")
 
     def run(table: pa.Table) -> pa.Table:
         links = _tile_links(table, weights, similarity)
@@ -406,23 +414,42 @@ def _leader_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("leader").alias("a"), F.col("_key").alias("b")).agg(F.count("*").alias("shared"))
 
 
-def _open_tiles(members: DataFrame, nodes: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Pairs of tiles with nodes that share a bucket, may be similar and aren't in one component."""
-    labelled = members.join(tiles, "_key")
+def _open_tiles(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of tiles ``t1, t2``, tiles ``_key, label, sig, tile``).
+
+    A pair of tiles holds nodes that share a bucket, may be similar and aren't
+    in one component.  Tiles hold the nodes of open buckets: those with the
+    same largest one, about ``OPEN_SHINGLES`` at a time.  A group whose nodes
+    all meet in some buckets so has few tiles, and of n shingles in it only
+    n / ``OPEN_SHINGLES`` copies of each text are carried to pairs of tiles.
+    """
+    spark = members.sparkSession
+    labelled = members.join(labels, "_key")
     split = (
         labelled.groupBy("h", "label").agg(F.count("*").alias("c"))
         .groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("size"), F.max("c").alias("most"))
         .where(F.col("most") < F.col("size"))
         .select(
-            "h", "main", F.ceil((F.col("size") - F.col("most")) / TILE_MEMBERS).cast("int").alias("rest_tiles"),
+            "h", "main", "size", F.ceil((F.col("size") - F.col("most")) / TILE_MEMBERS).cast("int").alias("rest_tiles"),
             F.ceil(F.col("size") / TILE_MEMBERS).cast("int").alias("all_tiles"),
         )
     )
-    rows = labelled.join(split, "h").join(nodes.select("_key", "sig"), "_key")
-    rows = write_and_read(
-        rows.select("h", "_key", "label", "sig", (F.col("label") != F.col("main")).alias("rest"), "tile", "rest_tiles", "all_tiles"),
-        scratch_path(members.sparkSession, "near-open"),
+    opened = write_and_read(
+        labelled.join(split, "h").select(
+            "h", "_key", "label", (F.col("label") != F.col("main")).alias("rest"), "size", "rest_tiles", "all_tiles"
+        ),
+        scratch_path(spark, "near-open"),
+    )
+    home = opened.groupBy("_key").agg(F.max(F.struct("size", "h")).alias("home"), F.first("label").alias("label"))
+    home = home.join(nodes.select("_key", "n", "sig"), "_key").withColumn("home", F.col("home.h"))
+    chunks = home.groupBy("home").agg(F.ceil(F.sum("n") / OPEN_SHINGLES).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("_key"), F.greatest(F.lit(1), F.col("chunks")))
+    tiles = write_and_read(
+        home.join(chunks, "home").select("_key", "label", "sig", F.xxhash64("home", chunk).alias("tile")),
+        scratch_path(spark, "near-open-tiles"),
     )
+    rows = opened.drop("label", "size").join(tiles, "_key")
+    rows = write_and_read(rows, scratch_path(spark, "near-open-rows"))
 
     def own(count: str) -> Column:
         return F.pmod(F.xxhash64("_key"), F.col(count)).cast("int")
@@ -449,7 +476,8 @@ def _open_tiles(members: DataFrame, nodes: DataFrame, tiles: DataFrame) -> DataF
         return pa.table([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["t1", "t2"])
 
     tiled = rest.groupBy("h", "r", "m").cogroup(every.groupBy("h2", "r2", "m2"))
-    return tiled.applyInArrow(run, "t1 long, t2 long").distinct()
+    pairs = tiled.applyInArrow(run, "t1 long, t2 long").distinct()
+    return write_and_read(pairs, scratch_path(spark, "near-tile-pairs")), tiles
 
 
 # -- the operator --------------------------------------------------------------
@@ -493,7 +521,7 @@ def near_nodes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFra
     labels = components(_verify(first, tiles, carried, weights, similarity))
     tiles = tiles.join(labels.select(F.col("node").alias("_key"), "label"), "_key", "left")
     tiles = write_and_read(tiles.withColumn("label", F.coalesce("label", "_key")), scratch_path(spark, "near-labels"))
-    found = _verify_tiles(_open_tiles(members, nodes, tiles), tiles, carried, weights, similarity)
+    found = _verify_tiles(*_open_tiles(members, nodes, tiles.select("_key", "label")), carried, weights, similarity)
     # links between components: their labels are the nodes of a smaller graph
     named = found.join(tiles.select(F.col("_key").alias("a"), F.col("label").alias("la")), "a").join(
         tiles.select(F.col("_key").alias("b"), F.col("label").alias("lb")), "b"

@@ -99,6 +99,7 @@ def test_open_buckets_find_links_that_leaders_miss(docs_df, monkeypatch):
     monkeypatch.setattr(near_dup, "LEADERS", 0)  # nothing but the second look
     monkeypatch.setattr(near_dup, "TILE_MEMBERS", 8)
     monkeypatch.setattr(near_dup, "TILE_SHINGLES", 600)
+    monkeypatch.setattr(near_dup, "OPEN_SHINGLES", 700)
     check(docs_df, corpus(7))
 
 
