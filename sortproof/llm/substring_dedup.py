@@ -1,10 +1,11 @@
-"""Substring de-duplication by relative Lempel-Ziv parsing against an index of reference blocks.
-
-A document is parsed greedily: a factor is a run of words found in documents
-of smaller id, extended word by word as long as the index has the next window
-of ``window`` words; factors of at least ``window`` words are duplicate spans
-and their words go.  A window that crosses the boundary of two blocks or
-factors is looked up like any other, so no span is lost there.
+"""Substring de-duplication against an index of content-defined reference blocks.
+
+A window of ``window`` words is a duplicate if the same words start a window
+in a document of smaller id; the words that such windows cover go.  This is a
+join of windows with the indexed blocks.  It finds what a greedy relative
+Lempel-Ziv parse with factors of ``window`` words or more finds, the union of
+all windows inside and across its factors, but it does not walk a document and
+extend factors: there are no (start, length, reference) triples.
 
 The index is never held in one place:
 
