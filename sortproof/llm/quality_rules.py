@@ -6,6 +6,20 @@ rule how often its votes are bad on good and on bad documents (its
 accuracies) and how many documents are good.  The posterior probability that
 a document is good decides, instead of all rules having to pass.
 
+* What makes a document bad is a defect that a rule sees: but for a share
+  ``MISSED``, bad documents have a bad vote, and how often each rule sees the
+  defects of the others is learnt from documents with one.  Votes alone can't
+  tell a class of documents without any bad vote from a bad class with few, so
+  without this tie EM may take the plain majority for bad.
+* Rules are written to be sure of themselves when they vote bad: the rate of
+  bad votes on good documents has a beta prior around ``FALSE_ALARM`` that
+  weighs as much as ``PRIOR_WEIGHT`` times the corpus, at any size of it.  So
+  junk that one rule sees alone goes.
+* EM runs twice: from "no bad vote is good", and from the same without the
+  rules that vote bad on more than ``SUSPECT`` of what they vote on, whose
+  prior then weighs next to nothing.  The fit of greater likelihood is taken:
+  a rule that is wrong all over the corpus is found out by its votes.
+
 * The texts are read once for the votes.  What EM iterates over is one row per
   distinct vote pattern, 3^rules at most, whatever the size of the corpus; each
   iteration is one aggregation of these rows to a few dozen sums.
@@ -34,12 +48,18 @@ from sortproof.session import scratch_path, write_and_read
 REPEAT_WORDS = 8
 ITERATIONS = 25
 TOLERANCE = 1e-5
-#: Pseudo-counts: every rule is taken to vote each way now and then on both kinds.
-SMOOTHING = 1.0
-#: Rules are written to be sure of themselves when they vote bad: on good documents at most so
-#: many of their votes are.  Junk of one kind often fails one rule and passes all others, and
-#: without this bound EM can take such junk for good and the rule for a poor one.
-MAX_FALSE_ALARM = 0.003
+#: Share of bad documents that no rule sees.
+MISSED = 0.02
+#: Beta prior of the rate of bad votes on good documents: its mean, and its weight in corpora.
+FALSE_ALARM = 0.002
+PRIOR_WEIGHT = 10.0
+#: The prior's weight for a rule that is suspected of being wrong.
+SUSPECT_WEIGHT = 0.1
+#: A rule that votes bad more often than this may be the one that is wrong.
+SUSPECT = 0.25
+#: The prior's mean and weight for the rate on bad documents.
+CAUGHT = 0.3
+CAUGHT_WEIGHT = 0.01
 KEEP_FROM = 0.5
 
 GOOD, BAD, ABSTAIN = 1, -1, 0
@@ -177,45 +197,102 @@ class RuleModel:
         """Probability that a rule is right on a document of even odds, when it votes."""
         return [(1 - g + b) / 2 for g, b in zip(self.on_good, self.on_bad, strict=True)]
 
-    def posterior(self, votes: Sequence[Column]) -> Column:
-        """Probability that a document with these votes is good; abstaining says nothing."""
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
+    def weights(self, votes: Sequence[Column]) -> tuple[Column, Column]:
+        """How much a good and a bad document with these votes weigh, up to a common factor; abstaining says nothing."""
+        good, bad = F.lit(self.prior), F.lit((1 - self.prior) * (1 - MISSED))
         for vote, g, b in zip(votes, self.on_good, self.on_bad, strict=True):
-            odds = odds + F.when(vote == BAD, F.lit(math.log(g / b))).when(
-                vote == GOOD, F.lit(math.log((1 - g) / (1 - b)))
-            ).otherwise(F.lit(0.0))
-        return 1 / (1 + F.exp(-odds))
+            good = good * F.when(vote == BAD, F.lit(g)).when(vote == GOOD, F.lit(1 - g)).otherwise(F.lit(1.0))
+            bad = bad * F.when(vote == BAD, F.lit(b)).when(vote == GOOD, F.lit(1 - b)).otherwise(F.lit(1.0))
+        return good, F.when(no_bad_vote(votes), F.lit((1 - self.prior) * MISSED)).otherwise(bad)
+
+    def posterior(self, votes: Sequence[Column]) -> Column:
+        """Probability that a document with these votes is good."""
+        good, bad = self.weights(votes)
+        return good / (good + bad)
+
+    def table(self) -> Column:
+        """The same weights as arrays, by 3 * rule + vote + 1; last what they are multiplied with.
 
+        EM evaluates these: as its numbers are in arrays, its query is compiled
+        once for all steps.
+        """
+        good = [x for g in self.on_good for x in (g, 1.0, 1 - g)] + [self.prior]
+        bad = [x for b in self.on_bad for x in (b, 1.0, 1 - b)] + [(1 - self.prior) * (1 - MISSED), (1 - self.prior) * MISSED]
+        good, bad = (", ".join(f"{x!r}D" for x in xs) for xs in (good, bad))
+        return F.expr(f"named_struct('good', array({good}), 'bad', array({bad}))")
 
-def _from_sums(sums: Sequence[float], n_rules: int) -> RuleModel:
+
+def no_bad_vote(votes: Sequence[Column]) -> Column:
+    return F.least(F.lit(ABSTAIN), F.lit(ABSTAIN), *votes) > BAD
+
+
+def _from_sums(sums: Sequence[float], n_rules: int, prior_weights: Sequence[float]) -> RuleModel:
     """The model from expected counts: good and bad documents, then four sums per rule."""
-    n_good, n_bad = float(sums[0]) + SMOOTHING, float(sums[1]) + SMOOTHING
+    n_good, n_bad = float(sums[0]), float(sums[1])
+    n = max(1.0, n_good + n_bad)
     on_good, on_bad = [], []
     for r in range(n_rules):
         good_bad, good_all, bad_bad, bad_all = (float(x) for x in sums[2 + 4 * r : 6 + 4 * r])
-        on_good.append(min(MAX_FALSE_ALARM, (good_bad + SMOOTHING) / (good_all + 2 * SMOOTHING)))
-        on_bad.append((bad_bad + SMOOTHING) / (bad_all + 2 * SMOOTHING))
-    return RuleModel(n_good / (n_good + n_bad), tuple(on_good), tuple(on_bad))
+        on_good.append((good_bad + FALSE_ALARM * prior_weights[r] * n) / (good_all + prior_weights[r] * n))
+        on_bad.append((bad_bad + CAUGHT * CAUGHT_WEIGHT * n) / (bad_all + CAUGHT_WEIGHT * n))
+    return RuleModel((n_good + 1) / (n_good + n_bad + 2), tuple(on_good), tuple(on_bad))
+
+
+def _step(good: Column, bad: Column, columns: Sequence[Column]) -> list[Column]:
+    """The sums that :func:`_from_sums` takes, for documents that are good and bad with these weights."""
+    sums = [F.sum(good), F.sum(bad)]
+    for c in columns:
+        sums += [F.sum(F.when(c == BAD, good)), F.sum(F.when(c != ABSTAIN, good))]
+        # the rates of bad documents are learnt where a rule has seen them
+        sums += [F.sum(F.when(F.col("__seen") & (c == BAD), bad)), F.sum(F.when(F.col("__seen") & (c != ABSTAIN), bad))]
+    return sums
 
 
 def fit_rules(patterns: DataFrame, votes: Sequence[str], iterations: int = ITERATIONS) -> RuleModel:
-    """EM over rows of vote columns and ``n``, starting from "no bad vote" as the guess of good."""
+    """EM over rows of vote columns and ``n``, from two starts; both take one aggregation per step."""
     columns = [F.col(f"`{v}`") for v in votes]
-    guess = F.when(F.least(*columns, F.lit(ABSTAIN)) == BAD, F.lit(0.05)).otherwise(F.lit(0.95))
-    model: RuleModel | None = None
-    for _ in range(iterations):
-        p = guess if model is None else model.posterior(columns)
-        weighed = patterns.select(*columns, (F.col("n") * p).alias("__good"), (F.col("n") * (1 - p)).alias("__bad"))
-        sums = [F.sum("__good"), F.sum("__bad")]
-        for c in columns:
-            for kind in ("__good", "__bad"):
-                sums += [F.sum(F.when(c == BAD, F.col(kind))), F.sum(F.when(c != ABSTAIN, F.col(kind)))]
-        row = weighed.agg(*[F.coalesce(x, F.lit(0.0)).alias(f"s{i}") for i, x in enumerate(sums)]).first()
-        new = _from_sums(row, len(columns))
-        if model is not None and _change(model, new) < TOLERANCE:
-            return new
-        model = new
-    return model
+    n_rules, starts = len(columns), 2
+    width = 2 + 4 * n_rules
+    shares = patterns.agg(*[
+        F.coalesce(F.sum(F.when(c == BAD, F.col("n"))) / F.nullif(F.sum(F.when(c != ABSTAIN, F.col("n"))), F.lit(0)), F.lit(0.0)).alias(f"f{i}")
+        for i, c in enumerate(columns)
+    ]).first()
+    trusted = [c for c, share in zip(columns, shares, strict=True) if share <= SUSPECT]
+    prior_weights = [[PRIOR_WEIGHT] * n_rules, [PRIOR_WEIGHT if share <= SUSPECT else SUSPECT_WEIGHT for share in shares]]
+    rows = patterns.select(
+        *columns, F.col("n").cast("double").alias("__n"), F.array(*columns).alias("__votes"),
+        (~no_bad_vote(columns)).alias("__seen"), (~no_bad_vote(trusted)).alias("__seen1"),
+    ).withColumn("__seen0", F.col("__seen"))
+
+    def weighed_by(table: Column, first: int) -> Column:
+        """Product over the rules of the table's entries for their votes."""
+        entries = F.transform(F.col("__votes"), lambda v, r: F.get(table, 3 * r + v + 1))
+        return F.aggregate(entries, F.get(table, F.lit(first)), lambda a, x: a * x)
+
+    guessed, weighed, parts, sums = {}, {}, {}, []
+    for i in range(starts):
+        guessed[f"__good{i}"] = F.when(F.col(f"__seen{i}"), F.lit(0.05)).otherwise(F.lit(0.95))
+        guessed[f"__bad{i}"] = F.when(F.col(f"__seen{i}"), F.lit(0.95)).otherwise(F.lit(0.05))
+        good, bad = (F.col(f"__table{i}.{k}") for k in ("good", "bad"))
+        weighed[f"__good{i}"] = weighed_by(good, 3 * n_rules)
+        weighed[f"__bad{i}"] = F.when(F.col("__seen"), weighed_by(bad, 3 * n_rules)).otherwise(F.get(bad, F.lit(3 * n_rules + 1)))
+        whole = F.col(f"__good{i}") + F.col(f"__bad{i}")
+        parts |= {f"__p{i}": F.col("__n") * F.col(f"__good{i}") / whole, f"__q{i}": F.col("__n") * F.col(f"__bad{i}") / whole,
+                  f"__d{i}": F.col("__n") * F.log(whole)}
+        sums += [*_step(F.col(f"__p{i}"), F.col(f"__q{i}"), columns), F.sum(f"__d{i}")]
+    sums = [F.coalesce(x, F.lit(0.0)).alias(f"s{i}") for i, x in enumerate(sums)]
+    models: list[RuleModel] = []
+    for step in range(iterations + 1):
+        tables = {f"__table{i}": m.table() for i, m in enumerate(models)}
+        shared = rows.withColumns(tables).withColumns(weighed) if models else rows.withColumns(guessed)
+        row = [float(x) for x in shared.withColumns(parts).agg(*sums).first()]
+        sums_of = [row[i * (width + 1) : (i + 1) * (width + 1)] for i in range(starts)]
+        new = [_from_sums(p[:width], n_rules, w) for p, w in zip(sums_of, prior_weights, strict=True)]
+        if models and (step == iterations or max(_change(a, b) for a, b in zip(models, new, strict=True)) < TOLERANCE):
+            likelihood = [p[width] for p in sums_of]
+            return models[likelihood.index(max(likelihood))]
+        models = new
+    raise ValueError("iterations must be positive")
 
 
 def _change(a: RuleModel, b: RuleModel) -> float:
