@@ -18,17 +18,21 @@ reversed).  The loss is logistic, so scores are probabilities.
   counts are one aggregation.  ``MODELS`` classifiers train in parallel tasks
   on resampled rows and their mean scores.
 * Every document is scored whole, in one pass without a shuffle.
-* The class prior is the share of toxic rows among the labels learnt from.
+* The class prior, the share of toxic texts in U, is estimated from P and U
+  alone (``estimate_prior``): labels say nothing of it, as they may be of toxic
+  texts only or of any other choice.  A caller who knows it gives it.
 
 Cases: null and empty texts have no features and get the score of the bias; a
-label table without toxic rows scores 0 throughout; rows without an id are
-scored and never learnt from; repeated rows score alike; of repeated labels
+label table without toxic rows scores 0 throughout, and so, with a warning,
+does one whose toxic rows are not among the documents or have nothing in
+common; rows without an id are scored and never learnt from; repeated rows score alike; of repeated labels
 one toxic is enough; an empty table gives an empty table; other columns are
 not looked at.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +58,9 @@ MODELS = 3
 STEPS = 600
 RATE = 0.05
 DECAY = 1e-4
+#: The part of P that a set must hold to bound the prior, and what the prior is kept within.
+PRIOR_REACH = 0.3
+PRIOR_BOUNDS = (0.001, 0.9)
 #: At this score a text counts as toxic.
 THRESHOLD = 0.7
 SEED = 5
@@ -126,6 +133,37 @@ def pu_gradient(
     return first + max(0.0, second), grad
 
 
+def estimate_prior(row: np.ndarray, feature: np.ndarray, positive: np.ndarray, n_features: int) -> float:
+    """Share of positives among the unlabelled rows.
+
+    Rows are scored by the log lifts of their features, learnt on the other
+    half of the rows.  Of any set of texts, U's share of it is at least the
+    prior times P's share; the sets here are the texts above a score, and the
+    least ratio of the two shares, each with one standard error added, is the
+    estimate (too low a prior costs recall, the error goes with the size of the
+    sample).  Sets with less than ``PRIOR_REACH`` of P are too small to tell.
+    """
+    n, ratios = len(positive), []
+    half = np.zeros(n, bool)
+    for kind in (positive, ~positive):
+        half[np.flatnonzero(kind)[1::2]] = True
+    for test in (half, ~half):
+        learnt = ~test[row]
+        counts = [np.bincount(feature[learnt & (positive[row] == k)], minlength=n_features) + 0.5 for k in (True, False)]
+        sizes = [1 + (~test & (positive == k)).sum() for k in (True, False)]
+        lift = np.log(counts[0] / sizes[0]) - np.log(counts[1] / sizes[1])
+        score = np.bincount(row, lift[feature], n)
+        in_p, in_u = np.sort(score[test & positive])[::-1], np.sort(score[test & ~positive])
+        if not len(in_p) or not len(in_u):
+            continue
+        share_p = np.arange(1, len(in_p) + 1) / len(in_p)
+        share_u = (len(in_u) - np.searchsorted(in_u, in_p, "left") + 0.5) / (len(in_u) + 1)
+        n_above = np.arange(1, len(in_p) + 1), len(in_u) - np.searchsorted(in_u, in_p, "left") + 0.5
+        upper = share_u / share_p * (1 + np.sqrt(1 / n_above[0] + 1 / n_above[1]))
+        ratios.append(upper[share_p >= PRIOR_REACH].min())
+    return float(np.clip(np.mean(ratios), *PRIOR_BOUNDS)) if ratios else PRIOR_BOUNDS[0]
+
+
 def train(
     row: np.ndarray, feature: np.ndarray, positive: np.ndarray, n_features: int, prior: float, steps: int = STEPS
 ) -> np.ndarray:
@@ -142,20 +180,26 @@ def train(
     return w
 
 
-def _learn(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled: int) -> np.ndarray | None:
+def _nothing(why: str) -> None:
+    warnings.warn(f"toxic labels but no model, all scores are 0: {why}", stacklevel=3)
+
+
+def _learn(
+    docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled: int, prior: float | None
+) -> np.ndarray | None:
     """Table of weights by feature, one column per classifier, the biases in its last row; None without positives."""
     spark = docs.sparkSession
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n_toxic, n_known = known.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
-    if not n_toxic:
+    known = known.where(F.col("toxic") == 1)
+    if known.isEmpty():
         return None
-    prior = float(np.clip(n_toxic / n_known, 0.001, 0.5))
     order = F.xxhash64(F.lit(SEED), "doc_id")
-    chosen = known.where(F.col("toxic") == 1).orderBy(order, "doc_id").limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
+    chosen = known.orderBy(order, "doc_id").limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
     pool = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text")
     share = min(1.0, max_unlabelled / max(1, pool.count()))
-    in_share = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+    drawn = F.xxhash64(F.lit(SEED + 1), "doc_id")
+    in_share = F.lit(True) if share >= 1 else drawn < F.lit(int(share * 2.0**64) - 2**63)
     positives = pool.join(F.broadcast(chosen), "doc_id")  # max_positive ids at most
     unlabelled = pool.where(in_share).withColumn("positive", F.lit(False))
     features = _sample_features(positives.select("positive", "text").unionByName(unlabelled.select("positive", "text")))
@@ -163,7 +207,7 @@ def _learn(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled
     features = write_and_read(features, scratch_path(spark, "toxicity-sample"))
     n_p, n_u = features.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
     if not n_p or not n_u:
-        return None
+        return _nothing("no labelled or no other document outside the test fold")
     in_p, in_u = F.col("p") / n_p, (F.col("u") + 1) / n_u
     lift = in_p / in_u
     kept = [
@@ -174,7 +218,7 @@ def _learn(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled
         .orderBy((in_p * F.log(lift)).desc(), "feature").limit(MAX_FEATURES).collect()
     ]
     if not kept:
-        return None
+        return _nothing("the toxic documents have no features of their own")
     known_features = np.sort(np.array(kept, np.int64))
     wanted = set(kept)
 
@@ -187,6 +231,8 @@ def _learn(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled
     positive = np.array([r["positive"] for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r["features"]) for r in rows])
     feature = np.searchsorted(known_features, np.array([x for r in rows for x in r["features"]], np.int64))
+    if prior is None:
+        prior = estimate_prior(row, feature, positive, len(known_features))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -220,15 +266,17 @@ def score_texts(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED
+    docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED,
+    prior: float | None = None,
 ) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1, higher: toxic likelier) of every document of ``doc_id, text``.
 
-    ``labels`` has ``doc_id`` and ``toxic`` (0 or 1); only its rows outside
-    the test fold are learnt from.
+    ``labels`` has ``doc_id`` and ``toxic`` (0 or 1); only its toxic rows
+    outside the test fold are learnt from.  ``prior`` is the share of toxic
+    documents, if it is known.
     """
     source = docs.select("doc_id", "text")
-    weights = _learn(source, labels.select("doc_id", "toxic"), max_positive, max_unlabelled)
+    weights = _learn(source, labels.select("doc_id", "toxic"), max_positive, max_unlabelled, prior)
     if weights is None:
         return source.select("doc_id", F.lit(0.0).alias("score"))
 
