@@ -80,7 +80,8 @@ def _keyed(docs: DataFrame, ranges: int, seed: int) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, share: float = 1.0, max_epochs: float = 3.0, ranges: int = RANGES, seed: int = SEED
+    docs: DataFrame, share: float = 1.0, max_epochs: float = 3.0, ranges: int = RANGES, seed: int = SEED,
+    keep_source: bool = False,
 ) -> DataFrame:
     """``doc_id, _t, size, source_size, target, taken`` for every document.
 
@@ -108,7 +109,7 @@ def mix(
     start = F.col("range_start") + F.col("_end") - F.col("size")
     cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
     return placed.select(
-        "doc_id", "_t", "size", "source_size", "target",
+        "doc_id", "_t", *(["_sn", "_sv"] if keep_source else []), "size", "source_size", "target",
         (epochs * F.col("size") + F.coalesce(cut, F.lit(0))).cast("long").alias("taken"),
     )
 
@@ -118,25 +119,27 @@ def mixed_documents(docs: DataFrame, share: float = 1.0, max_epochs: float = 3.0
 
     The document at a source's cut is kept whole, so a source exceeds its
     target by less than that document's size.  Documents without words are
-    no part of any mix and stay as they are, once.
+    no part of any mix and stay as they are, once.  Rows of equal id, text and
+    source are one document with a count: the mix takes as many of them as it
+    takes rows, all as the first one's columns.
     """
-    copies = (
-        mix(docs.select("doc_id", "text", "source"), share, max_epochs)
-        .select(
-            F.col("doc_id").alias("__id"), F.col("_t").alias("__t"),
-            F.when(F.col("size") == 0, F.lit(1))
-            .otherwise(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__copies"),
+    identity = {
+        "__id_null": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        "__t": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
+        "__sn": F.col("source").isNull(), "__sv": F.coalesce(F.col("source").cast("string"), F.lit("")),
+    }
+    taken = mix(docs.select("doc_id", "text", "source"), share, max_epochs, keep_source=True)
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.ceil(F.col("taken") / F.col("size"))).cast("int")
+    copies = (  # a row per copy, without its text
+        taken.select(
+            F.col("doc_id").isNull().alias("__id_null"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"),
+            F.col("_t").alias("__t"), F.col("_sn").alias("__sn"), F.col("_sv").alias("__sv"), times.alias("__times"),
         )
-        .groupBy("__id", "__t")
-        .agg(F.max("__copies").alias("__copies"))
-        .where(F.col("__copies") > 0)
-    )
-    joined = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).join(
-        copies, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__t"))
-    )
-    return joined.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+        .where(F.col("__times") > 0)
+        .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     )
+    once = docs.withColumns(identity).dropDuplicates(list(identity))  # a row per document, on the keys of the join
+    return copies.join(once, list(identity)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:

@@ -87,3 +87,19 @@ def test_repeated_rows_each_count(docs_df):
     out = mixing_digest(docs_df(rows)).collect()
     assert len(out) == 5
     assert sum(r["taken"] for r in out) == sum(round(t) for t in {r["source_size"]: r["target"] for r in out}.values())
+
+
+def test_repeated_rows_at_the_cut(docs_df):
+    """100 equal rows of ten words with a budget of 600: sixty of them, not all."""
+    text = " ".join(["w"] * 10)
+    rows = [(1, text, "a")] * 100 + [(2, text, "b")] * 40 + [(3, "x y", "b")] * 200
+    sizes = {"a": 1000, "b": 800}
+    out = mixed_documents(docs_df(rows)).collect()
+    want = targets(sizes)
+    for s in sizes:
+        words = sum(len(r["text"].split()) for r in out if r["source"] == s)
+        assert want[s] - 0.5 <= words < want[s] + 10.5
+    # equal ids and texts in two sources are two documents
+    twice = [(1, "a b c", "p")] * 6 + [(1, "a b c", "q")] * 2 + [(None, "a b", None)] * 3
+    out = mixed_documents(docs_df(twice)).collect()
+    assert {r["source"] for r in out} == {"p", "q", None} and all((r["source"] is None) == (r["doc_id"] is None) for r in out)
