@@ -167,6 +167,18 @@ def wrap_int64(dec: Column) -> Column:
     return (F.pmod(dec + two63, two64) - two63).cast("bigint")
 
 
+def wide_sum(c: Column | str) -> Column:
+    """Exact sum of a BIGINT as DECIMAL(38,0), 0 without rows.
+
+    Summed in three pieces of 21, 21 and 22 bits (the last with the sign), as
+    longs: exact up to 2^41 rows, and no decimal is made per row.
+    """
+    x, low = _c(c), F.lit((1 << 21) - 1)
+    pieces = [x.bitwiseAND(low), F.shiftright(x, 21).bitwiseAND(low), F.shiftright(x, 42)]
+    wide = [F.coalesce(F.sum(p), F.lit(0)).cast("decimal(38,0)") for p in pieces]
+    return wide[0] + wide[1] * F.lit(1 << 21).cast("decimal(38,0)") + wide[2] * F.lit(1 << 42).cast("decimal(38,0)")
+
+
 def wrapping_sum(c: Column | str) -> Column:
     """Sum with Java ``long`` wrap-around; ANSI ``sum(bigint)`` would raise."""
-    return wrap_int64(F.coalesce(F.sum(_c(c).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")))
+    return wrap_int64(wide_sum(c))

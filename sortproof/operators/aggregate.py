@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sortproof.functions.record import row_hash, size_estimate, wrapping_sum
+from sortproof.functions.record import row_hash, size_estimate, wide_sum, wrapping_sum
 from sortproof.schema import RECORD_COLUMNS
 
 
@@ -69,7 +69,7 @@ def observe_records(df: DataFrame, name: str = "records", impl: str = "jvm") ->
     obs = Observation(name)
     hashed = df.withColumn("_h", row_hash(impl=impl))
     observed = hashed.observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.sum(F.col("_h").cast("decimal(38,0)")).alias("checksum_sum")
+        obs, F.count(F.lit(1)).alias("rows"), wide_sum("_h").alias("checksum_sum")
     )
     return observed.drop("_h"), obs
 

@@ -165,3 +165,18 @@ def test_quarantine_of_nothing(spark, tmp_path):
 
     good, rejects = parse_quarantine(spark.createDataFrame([], "value string"), str(tmp_path / "q"))
     assert good.count() == rejects.count() == 0
+
+
+def test_checksums_are_summed_as_longs(spark):
+    from sortproof.functions.record import wide_sum, wrapping_sum
+    from sortproof.operators.aggregate import count_and_checksum
+
+    top, low = (1 << 63) - 1, -(1 << 63)
+    for values in ([top] * 5 + [low] * 2 + [-1, 0, None, 1 << 42, -(1 << 21) - 1], [low] * 7, [None], []):
+        df = spark.createDataFrame([(v,) for v in values], "h long")
+        total = sum(v or 0 for v in values)
+        got = df.agg(wide_sum("h").alias("s"), wrapping_sum("h").alias("w")).first()
+        assert int(got.s) == total and got.w == (total + (1 << 63)) % (1 << 64) - (1 << 63)
+    df = spark.createDataFrame([(1, "a", "b", "c")], "id int, name string, address string, continent string")
+    plan = count_and_checksum(df)._jdf.queryExecution().executedPlan().toString()
+    assert "sum(cast(_h" not in plan and "partial_sum" in plan
