@@ -58,3 +58,63 @@ def test_sort_with_positions_is_one_range_exchange(spark, tmp_path):
     # the copy breaker is the last sort key, after every record column
     keys = s.split("Exchange rangepartitioning(")[1].split("], ")[0]
     assert keys.index("_copy") > keys.index("address")
+
+
+def _small_tables(spark, tmp_path) -> str:
+    """80 line items, 5 parts, 4 suppliers, with the columns that the records view reads."""
+    sf = str(tmp_path / "tables")
+    tables = {
+        "lineitem": ([(i, i % 5 + 1, i % 4 + 1, i % 7 + 1) for i in range(1, 81)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int"),
+        "part": ([(i, f"part {i}", f"Brand#{i}", "SMALL TIN") for i in range(1, 6)],
+                 "p_partkey long, p_name string, p_brand string, p_type string"),
+        "supplier": ([(i, i % 2) for i in range(1, 5)], "s_suppkey long, s_nationkey int"),
+        "nation": ([(0, 0), (1, 1)], "n_nationkey int, n_regionkey int"),
+        "region": ([(0, "ASIA"), (1, "EUROPE")], "r_regionkey int, r_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{sf}/{name}.parquet")
+    return sf
+
+
+def _text(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_merged_tables_come_from_one_landed_view(spark, tmp_path, monkeypatch):
+    from sortproof.plans import queries
+
+    sf, seen, write = _small_tables(spark, tmp_path), [], queries.write_sorted
+    monkeypatch.setattr(queries, "write_sorted", lambda df, *a, **b: seen.append(df) or write(df, *a, **b))
+    got = [(r.id, r.pos) for r in queries.QUERIES["merge_tables"](spark, sf).orderBy("pos").collect()]
+    assert got == [(i, n + 1) for n, i in enumerate(sorted(i for i, _ in got))] and len(got) == 80
+    assert len(seen) == 9 and not any("Join" in _text(d) for d in seen)
+
+
+def test_logs_are_written_from_one_landed_view(spark, tmp_path, monkeypatch):
+    from sortproof.plans import queries
+
+    sf, seen = _small_tables(spark, tmp_path), []
+    for name in ("write_keyed_log", "write_single_partition_log", "write_sorted_log"):
+        write = getattr(queries, name)
+        monkeypatch.setattr(queries, name, lambda df, *a, write=write, **b: seen.append(df) or write(df, *a, **b))
+    assert all(r.passed for r in queries.QUERIES["verify_logs"](spark, sf).collect())
+    assert len(seen) == 4 and not any("Join" in _text(d) for d in seen)
+
+
+def test_chunk_files_are_read_once_and_appends_read_their_own_files(spark, tmp_path, monkeypatch):
+    from sortproof.plans import queries
+
+    sf = _small_tables(spark, tmp_path)
+    report = queries.QUERIES["chunk_budget"](spark, sf)
+    assert not any("/run=" in f for f in report.inputFiles())
+    assert report.first()["rows"] == 80
+    seen, write = {}, queries.write_and_read
+
+    def watched(df, path, *a, **b):
+        seen[path.rsplit("/", 1)[-1].rsplit("-", 1)[0]] = b.get("partition_by")
+        return write(df, path, *a, **b)
+
+    monkeypatch.setattr(queries, "write_and_read", watched)
+    state = queries.QUERIES["stream_monitor_appends"](spark, sf).collect()
+    assert seen["planted"] == ["append"] and sum(r.n + r.rejected for r in state) == 80
