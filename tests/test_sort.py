@@ -20,7 +20,7 @@ from sortproof.operators.sort import (
     write_sorted,
 )
 from sortproof.operators.verify import chunk_check
-from sortproof.sinks.log import read_runs, write_runs
+from sortproof.sinks.log import read_run_groups, read_runs, write_runs
 from sortproof.sources.log import read_lines
 
 
@@ -209,3 +209,45 @@ def test_copies_of_one_landed_file_spread_over_ranges(spark, tmp_path):
     assert sum(sizes) == 60_000 and len(sizes) >= 5 and max(sizes) < 20_000
     ranks = global_rank(t).selectExpr("count(distinct pos) as n", "max(pos) as m").first()
     assert (ranks["n"], ranks["m"]) == (60_000, 60_000)
+
+
+def test_run_groups_hold_every_file_once(spark, records_df, tmp_path):
+    rows = [(i, "n", "a" * (i % 90), "c") for i in range(900)]
+    path = str(tmp_path / "runs")
+    write_runs(records_df(rows).repartition(3), "id", path, budget_bytes=2_000)
+    whole = sorted(map(tuple, read_runs(spark, path).collect()))
+    groups = list(read_run_groups(spark, path, files_at_once=12))
+    lists = [set(g.inputFiles()) for g in groups]
+    assert len(groups) > 5 and max(map(len, lists)) <= 12
+    assert sum(map(len, lists)) == len(set().union(*lists)) == len(read_runs(spark, path).inputFiles())
+    assert sorted(tuple(r) for g in groups for r in g.collect()) == whole
+    assert len(list(read_run_groups(spark, path))) == 1
+
+
+def test_short_chunks_are_judged_by_the_partitions_that_were_cut(spark):
+    from sortproof.plans import queries
+
+    # without its wide column the view falls into one partition, with it into several
+    conf = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        wide = F.concat(*[F.sha2(F.concat("id", F.lit(f"x{i}")), 512) for i in range(20)])
+        planted = spark.range(3_000).selectExpr("int(id) AS id", "'n' AS name", "'c' AS continent").withColumn("address", wide)
+        r = queries._chunk_report(spark, planted.repartition("id").select("id", "name", "address", "continent")).first()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert (r["rows"], r.violations, r.over_budget, r.too_many_short, r.least, r.greatest) == (3_000, 0, 0, False, 0, 2_999)
+
+
+def test_a_short_chunk_before_the_last_is_reported(spark, records_df, monkeypatch):
+    from sortproof.plans import queries
+
+    rows = [(i, "n", "a" * 500, "c") for i in range(40)]
+    write = queries.write_runs
+    monkeypatch.setattr(queries, "CHUNK_BUDGET", 10_000)
+    assert not queries._chunk_report(spark, records_df(rows).coalesce(1)).first().too_many_short
+    monkeypatch.setattr(queries, "write_runs", lambda df, key, path, budget: write(df, key, path, budget // 2))
+    assert queries._chunk_report(spark, records_df(rows).coalesce(1)).first().too_many_short
